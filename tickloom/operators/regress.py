@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import finite
 from ..schema import FEATURES, SPLIT_SEED
+from ..session import durable
 from .series import small_side
 
 LABEL = "target"
@@ -40,45 +41,61 @@ def fit_linear(
     ridge: float = 0.0,
     by: Sequence[str] = ("ticker",),
 ) -> DataFrame:
-    """Least squares for every group at once: (*by, intercept, weights).
-
-    The covariances are one map-side aggregate over all groups.  What is left
-    of a group then is one short row, solved as a small linear system.  The
-    smallest solution is taken where inputs depend on each other.  ``ridge``
-    is the penalty on the squared weights, the intercept is free.
+    """Least squares for every group at once: (*by, n, intercept, weights).
+
+    Two map-side aggregates over all groups: the means, then the sums of
+    products around them (around zero, digits would cancel).  ``train`` is read
+    twice, so it should be a stored table.  What is left of a group is one
+    short row, solved as a small linear system; the smallest solution is taken
+    where inputs depend on each other.  ``ridge`` is the penalty on the squared
+    weights, the intercept is free.
     """
-    inputs = list(inputs)
-    number = {name: F.col(name).cast("double") for name in [*inputs, label]}
-    pairs = list(combinations_with_replacement(inputs, 2))
+    names = [*inputs, label]
+    number = {name: F.col(name).cast("double") for name in names}
     rows = usable(train, inputs).where(finite(number[label]).isNotNull())
-    moments = rows.groupBy(*by).agg(
-        F.count("*").alias("n"),
-        F.array(*(F.avg(number[name]) for name in [*inputs, label])).alias("means"),
-        F.array(*(F.covar_pop(number[a], number[b]) for a, b in pairs)).alias("xx"),
-        F.array(*(F.covar_pop(number[a], number[label]) for a in inputs)).alias("xy"),
+    rows = rows.select(*by, *(number[name].alias(f"x{i}") for i, name in enumerate(names)))
+    slots = range(len(names))
+    means = durable(
+        rows.groupBy(*by).agg(
+            F.count("*").alias("n"), *(F.avg(f"x{i}").alias(f"m{i}") for i in slots)
+        )
+    )
+    around = rows.join(small_side(means.drop("n")), list(by)).select(
+        *by, *((F.col(f"x{i}") - F.col(f"m{i}")).alias(f"x{i}") for i in slots)
     )
-    solve = _solver(len(inputs), ridge)
-    return moments.select(*by, "n", solve("n", "means", "xx", "xy").alias("fit")).select(
+    products = [
+        F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"p{i}_{j}")
+        for i, j in combinations_with_replacement(slots, 2)
+    ]
+    moments = around.groupBy(*by).agg(*products).join(means, list(by))
+    solve = _solver(len(names), ridge)
+    fit = solve(
+        F.array(*(F.col(f"m{i}") for i in slots)),
+        F.array(*(F.col(f"p{i}_{j}") for i, j in combinations_with_replacement(slots, 2))),
+    )
+    return moments.select(*by, "n", fit.alias("fit")).select(
         *by, "n", F.col("fit.intercept").alias("intercept"), F.col("fit.weights").alias("weights")
     )
 
 
-def _solver(k: int, ridge: float):
-    upper = np.triu_indices(k)
+def _solver(size: int, ridge: float):
+    """A UDF from the means and products of inputs and label (last) to the fit."""
+    upper = np.triu_indices(size)
 
     @F.pandas_udf("intercept double, weights array<double>")
-    def solve(n: pd.Series, means: pd.Series, xx: pd.Series, xy: pd.Series) -> pd.DataFrame:
+    def solve(means: pd.Series, products: pd.Series) -> pd.DataFrame:
         fits = []
-        for rows, mean, pairs, cross in zip(n, means, xx, xy):
-            square = np.zeros((k, k))
+        for mean, pairs in zip(means, products):
+            square = np.zeros((size, size))
             square[upper] = pairs
-            square = np.maximum(square, square.T) if k == 1 else square + np.triu(square, 1).T
-            # Inputs differ in size by orders of magnitude: solve them as correlations.
-            size = np.sqrt(np.diag(square))
-            size[size == 0] = 1.0
-            scaled = square / np.outer(size, size) + np.diag(ridge / (rows * size**2))
-            weights = np.linalg.lstsq(scaled, np.asarray(cross) / size, rcond=1e-10)[0] / size
-            fits.append((mean[k] - float(weights @ np.asarray(mean[:k])), weights.tolist()))
+            square += np.triu(square, 1).T
+            inputs, cross = square[:-1, :-1], square[:-1, -1]
+            # Inputs differ in size by orders of magnitude: solve for correlations.
+            scale = np.sqrt(np.diag(inputs))
+            scale[scale == 0] = 1.0
+            system = inputs / np.outer(scale, scale) + np.diag(ridge / scale**2)
+            weights = np.linalg.lstsq(system, cross / scale, rcond=1e-10)[0] / scale
+            fits.append((float(mean[-1] - weights @ mean[:-1]), weights.tolist()))
         return pd.DataFrame(fits, columns=["intercept", "weights"])
 
     return solve
@@ -158,18 +175,25 @@ class RbfFeatures:
         return Pipeline(stages=[waves, assembler(names), line]).fit(train)
 
     def _statement(self, names: list[str], mean, std) -> str:
+        """The waves as SQL; the scaling is worked into their constants.
+
+        One expression over an array of constants: as hundreds of separate
+        terms they would be too much code to compile.
+        """
         draw = np.random.default_rng(SPLIT_SEED)
         frequency = draw.normal(0, sqrt(2 / len(self.inputs)), (len(names), len(self.inputs)))
         shift = draw.uniform(0, 2 * pi, len(names))
-        scale = np.array([1 / s if s > 0 else 0.0 for s in std])
-        columns = []
-        for i, name in enumerate(names):
-            slope = frequency[i] * scale
-            start = shift[i] - float(slope @ np.array(mean))
-            terms = [f"{float(w)!r}D * {x}" for w, x in zip(slope, self.inputs)]
-            wave = f"cos({' + '.join([*terms, f'{start!r}D'])})"
-            columns.append(f"{sqrt(2 / len(names))!r}D * {wave} AS {name}")
-        return f"SELECT *, {', '.join(columns)} FROM __THIS__"
+        slope = frequency * np.array([1 / s if s > 0 else 0.0 for s in std])
+        waves = np.column_stack([slope, shift - slope @ np.array(mean)]).tolist()
+        constants = ", ".join(f"array({', '.join(f'{c!r}D' for c in wave)})" for wave in waves)
+        inputs = ", ".join(f"CAST({name} AS DOUBLE)" for name in self.inputs)
+        phase = "aggregate(zip_with(w, inputs, (a, b) -> a * b), 0D, (sum, term) -> sum + term)"
+        columns = ", ".join(f"waves[{i}] AS {name}" for i, name in enumerate(names))
+        return f"""
+            SELECT *, {columns} FROM (
+              SELECT *, transform(array({constants}),
+                w -> {sqrt(2 / len(names))!r}D * cos({phase})) AS waves
+              FROM (SELECT *, array({inputs}, 1D) AS inputs FROM __THIS__))"""
 
 
 # Builders of everything that is fitted ticker by ticker.

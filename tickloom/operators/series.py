@@ -160,10 +160,16 @@ def _cut(df: DataFrame, cuts: DataFrame, how: str) -> DataFrame:
     ).select(*df.columns)
 
 
-def number_rows(rows: DataFrame, max_rows: int = MAX_SERIES_ROWS) -> DataFrame:
-    """Add ``row_no`` (from 1, in series order) and ``series_rows`` (series length)."""
+def number_rows(
+    rows: DataFrame, max_rows: int = MAX_SERIES_ROWS, longest: int | None = None
+) -> DataFrame:
+    """Add ``row_no`` (from 1, in series order) and ``series_rows`` (series length).
+
+    ``longest`` is an upper bound of the series lengths, where one is known; it
+    saves a pass over rows that are costly to make.
+    """
     rows = ordered(rows)
-    placed = place_in_cells(rows, max_rows)
+    placed = place_in_cells(rows, max_rows, longest)
     if placed is None:
         series = Window.partitionBy("ticker")
         return rows.select(

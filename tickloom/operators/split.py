@@ -10,10 +10,13 @@ from .series import MAX_SERIES_ROWS, number_rows
 
 
 def tail_split(
-    df: DataFrame, share: float = TEST_SHARE, max_rows: int = MAX_SERIES_ROWS
+    df: DataFrame,
+    share: float = TEST_SHARE,
+    max_rows: int = MAX_SERIES_ROWS,
+    longest: int | None = None,
 ) -> DataFrame:
     """Add ``is_test``: the last ceil(share * n) rows of each ticker."""
-    numbered = number_rows(df, max_rows)
+    numbered = number_rows(df, max_rows, longest)
     held_out = F.ceil(F.col("series_rows") * F.lit(share))
     is_test = F.col("row_no") > F.col("series_rows") - held_out
     return numbered.withColumn("is_test", is_test).drop("row_no", "series_rows")
@@ -30,12 +33,14 @@ def random_split(df: DataFrame, share: float = TEST_SHARE, seed: int = SPLIT_SEE
     return tuple(df.randomSplit([1 - share, share], seed))
 
 
-def fold_ids(df: DataFrame, folds: int = 5, max_rows: int = MAX_SERIES_ROWS) -> DataFrame:
+def fold_ids(
+    df: DataFrame, folds: int = 5, max_rows: int = MAX_SERIES_ROWS, longest: int | None = None
+) -> DataFrame:
     """Add ``fold``: contiguous folds of each ticker, the first ones longer by one row.
 
     A ticker with fewer rows than folds cannot be folded and fails the query.
     """
-    numbered = number_rows(df, max_rows)
+    numbered = number_rows(df, max_rows, longest)
     at = F.col("row_no") - 1
     size = F.floor(F.col("series_rows") / folds)
     longer = F.col("series_rows") % folds

@@ -17,7 +17,7 @@ from ..functions import scalar
 from ..operators import clean, ensemble, evaluate, features, frequency, regress, series, split
 from ..operators.features import SERVING, TRAINING
 from ..schema import FEATURES, MESSAGE_SCHEMA, ORDER
-from ..session import durable, work_path
+from ..session import durable, stored, work_path
 from ..sources import kafka, lake, metrics
 from ..streaming import ingest
 from . import serve, train
@@ -361,8 +361,17 @@ def lake_compact(spark, folder):
 # Splits and evaluation
 
 
-def _rows(spark, folder) -> DataFrame:
-    return features.features(ticks(spark, folder), SERVING)
+def _rows(spark, folder, longest: int | None = None) -> DataFrame:
+    return features.features(ticks(spark, folder), SERVING, longest=longest)
+
+
+def _split_rows(spark, folder) -> DataFrame:
+    """Feature rows with ``is_test``, made in one pass over the ticks.
+
+    A ticker has no more feature rows than ticks, so one count serves both steps.
+    """
+    longest = series.longest_series(ticks(spark, folder))
+    return split.tail_split(_rows(spark, folder, longest), longest=longest)
 
 
 # Forecasts that are plain columns.
@@ -380,7 +389,7 @@ def _forecast_columns() -> dict[str, Column]:
 
 def _forecasts(spark, folder) -> DataFrame:
     """Column forecasts and their mean, for the test rows of each ticker."""
-    test = split.tail_split(_rows(spark, folder)).where("is_test")
+    test = _split_rows(spark, folder).where("is_test")
     made = _forecast_columns()
     made["Voting Ensemble"] = ensemble.voting(list(made.values()))
     return evaluate.long_predictions(test, made, "ticker", "event_time", "seq", "price", "target")
@@ -391,7 +400,7 @@ def _metrics(spark, folder) -> DataFrame:
 
 
 def tail_split(spark, folder):
-    return split.tail_split(_rows(spark, folder)).select("ticker", "seq", "is_test")
+    return _split_rows(spark, folder).select("ticker", "seq", "is_test")
 
 
 def tail_split_chunked(spark, folder):
@@ -407,7 +416,9 @@ def hash_split(spark, folder):
 
 
 def kfold_ids(spark, folder):
-    return split.fold_ids(_rows(spark, folder)).select("ticker", "seq", "fold")
+    longest = series.longest_series(ticks(spark, folder))
+    folded = split.fold_ids(_rows(spark, folder, longest), longest=longest)
+    return folded.select("ticker", "seq", "fold")
 
 
 def mae_rmse_accuracy(spark, folder):
@@ -513,8 +524,8 @@ def ridge_one_feature(spark, folder):
 
 
 def train_lr(spark, folder):
-    """Least squares on the 12 features, all tickers in one aggregate."""
-    parts = split.tail_split(_rows(spark, folder))
+    """Least squares on the 12 features, all tickers at once."""
+    parts = stored(_split_rows(spark, folder), "parts")
     fitted = durable(regress.fit_linear(parts.where(~F.col("is_test"))))
     scored = regress.score_linear(parts.where("is_test"), fitted)
     scored = scored.withColumn("model", F.lit("Linear Regression"))
@@ -523,7 +534,7 @@ def train_lr(spark, folder):
 
 def train_lr_many_tickers(spark, folder):
     rows = features.features(ticks(spark, folder, "user_id"), TRAINING)
-    parts = split.hash_split(rows)
+    parts = stored(split.hash_split(rows), "parts")
     fitted = durable(regress.fit_linear(parts.where(~F.col("is_test"))))
     scored = regress.score_linear(parts.where("is_test"), fitted)
     return rounded(evaluate.evaluate(scored.withColumn("model", F.lit("Linear Regression"))))

@@ -48,6 +48,14 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/tickloom/{label}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
+    """``df`` written once as a table in the shared folder, for several passes over it."""
+    spark, path = df.sparkSession, work_path(df.sparkSession, label)
+    writer = df.write.partitionBy(by) if by else df.write
+    writer.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Compute ``df`` once, on storage that outlives the executors."""
     spark = df.sparkSession
