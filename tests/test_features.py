@@ -73,7 +73,7 @@ def test_cells_do_not_change_the_result(make_ticks, profile, max_rows):
 
 def test_cells_hold_runs_of_the_series_and_are_small(make_ticks):
     rows = [("D", 5.0 if i > 20 else i * 0.1, i * 3, 50.0, 1) for i in range(3000)]
-    placed = series.place_in_cells(make_ticks(rows), 100)
+    placed = series.place_in_cells(make_ticks(rows), 100, series.Size(3000, 3000))
     cells = {}
     for row in sorted(placed.collect(), key=lambda r: (r.event_time, r.seq)):
         cells.setdefault((row.cell_time, row.cell_seq), []).append((row.event_time, row.seq))
@@ -100,11 +100,20 @@ def test_row_numbers_by_cells(make_ticks):
 
 
 def test_one_shuffle_and_one_sort(make_ticks):
-    plan = features(make_ticks(walk("A", 50)), longest=50)._jdf.queryExecution().executedPlan()
+    plan = features(make_ticks(walk("A", 50)), size=series.Size(50, 50))._jdf.queryExecution().executedPlan()
     assert plan.toString().count("Exchange") == 1
     assert plan.toString().count("Sort [") == 1
 
 
+def test_tasks_grow_with_the_data(make_ticks):
+    ticks = make_ticks(walk("A", 50))
+    for total, tasks in ((100, 2), (1_000 * series.ROWS_PER_TASK, 1_000)):
+        made = features(ticks, size=series.Size(50, total))
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1
+        assert "hashpartitioning(ticker#" in plan and f", {tasks})" in plan
+
+
 def test_zoneless_times_work_the_same(make_ticks):
     rows = walk("A", 300, seed=9)
     ticks = make_ticks(rows)

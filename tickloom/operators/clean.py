@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.scalar import zero_or_missing
 from ..schema import FEATURES, MIN_TRAIN_ROWS
-
-_NUMBERS = (T.NumericType,)
-
+from ..session import durable
+from .series import ordered, small_side
 
 def one_ticker(df: DataFrame, ticker: str) -> DataFrame:
     """Exact-case equality; prunes partitions when the lake is scanned."""
@@ -41,19 +39,31 @@ def first_per_time(df: DataFrame) -> DataFrame:
 def min_rows(df: DataFrame, at_least: int = MIN_TRAIN_ROWS) -> DataFrame:
     """Rows of tickers that have at least ``at_least`` rows.
 
-    Counting is map-side; the semi join is left to the optimizer, which sees
-    the real size of the ticker list and splits a hot ticker if it shuffles.
+    The counts are stored first, so that a list of tickers of a moderate size
+    filters the rows where they are, without a shuffle.
     """
-    enough = df.groupBy("ticker").agg(F.count("*").alias("_n")).where(F.col("_n") >= at_least)
-    return df.join(enough, "ticker", "left_semi")
+    counts = df.groupBy("ticker").agg(F.count("*").alias("_n"))
+    enough = durable(counts.where(F.col("_n") >= at_least).select("ticker"))
+    return df.join(small_side(enough), "ticker", "left_semi")
 
 
 def latest(ticks: DataFrame) -> DataFrame:
-    """The last tick of every ticker, merged before the shuffle."""
-    rest = [name for name in ticks.columns if name != "ticker"]
-    last = F.max_by(F.struct(*rest), F.struct("event_time", "seq")).alias("_last")
-    known = ticks.where(F.col("ticker").isNotNull() & F.col("event_time").isNotNull())
-    return known.groupBy("ticker").agg(last).select("ticker", "_last.*").select(*ticks.columns)
+    """The last tick of every ticker.
+
+    The last times come first, from two columns only.  They are then looked up,
+    skipping files that end before the earliest of them.  (Carrying whole rows
+    through one aggregate would sort all ticks.)
+    """
+    known = ordered(ticks)
+    last = durable(known.groupBy("ticker").agg(F.max("event_time").alias("event_time")))
+    earliest = last.agg(F.min("event_time")).first()[0]
+    if earliest is not None:
+        known = known.where(F.col("event_time") >= F.lit(earliest))
+    rest = [name for name in ticks.columns if name not in ("ticker", "event_time")]
+    at_last = known.join(small_side(last), ["ticker", "event_time"])
+    newest = F.max_by(F.struct(*rest), "seq").alias("_newest")
+    found = at_last.groupBy("ticker", "event_time").agg(newest)
+    return found.select("ticker", "event_time", "_newest.*").select(*ticks.columns)
 
 
 def last_n(df: DataFrame, n: int) -> DataFrame:

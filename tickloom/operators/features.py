@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import finite, ieee_ratio
 from ..schema import ORDER
-from .series import CELL, MAX_SERIES_ROWS, ordered, place_in_cells
+from .series import CELL, MAX_SERIES_ROWS, Size, ordered, place_in_cells, size_of, spread
 
 LOOKBACK = 19
 
@@ -74,20 +74,22 @@ def features(
     ticks: DataFrame,
     profile: Profile = SERVING,
     max_rows: int = MAX_SERIES_ROWS,
-    longest: int | None = None,
+    size: Size | None = None,
 ) -> DataFrame:
     """The 12 features and the target of every tick that has all of them.
 
     One shuffle by ticker while the tickers are short.  Longer ones go by
-    cells, with the same result.  ``longest`` is the length of the longest
-    ticker, where the caller knows it already.
+    cells, with the same result.  ``size`` of the ticks is measured if it is
+    not given.
     """
     rows = ordered(ticks)
-    placed = place_in_cells(rows, max_rows, longest)
+    size = size or size_of(rows)
+    placed = place_in_cells(rows, max_rows, size)
     if placed is None:
-        full = _with_windows(rows, Window.partitionBy("ticker").orderBy(*ORDER), profile)
+        series = Window.partitionBy("ticker").orderBy(*ORDER)
+        full = _with_windows(spread(rows, size, "ticker"), series, profile)
     else:
-        full = _by_cells(placed, profile).drop(*CELL)
+        full = _by_cells(spread(placed, size, "ticker", *CELL), profile).drop(*CELL)
     return drop_incomplete(full)
 
 

@@ -10,6 +10,9 @@ job that places a row again finds the same cell.
 
 from __future__ import annotations
 
+from math import ceil
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +22,9 @@ from ..session import BROADCAST_ROWS, durable
 
 MAX_SERIES_ROWS = 4_000_000
 
+# About 200 MB of ticks and their features.
+ROWS_PER_TASK = 2_000_000
+
 CELL = ["cell_time", "cell_seq"]
 
 # A cell too large is cut into this many slices for each max_rows it holds, so
@@ -73,21 +79,31 @@ def small_side(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def longest_series(rows: DataFrame) -> int:
-    """Rows of the longest ticker; reads the ticker only."""
-    return rows.groupBy("ticker").count().agg(F.max("count")).first()[0] or 0
+class Size(NamedTuple):
+    """Rows of the longest ticker and of all tickers; upper bounds will do."""
 
+    longest: int
+    total: int
 
-def place_in_cells(
-    rows: DataFrame, max_rows: int = MAX_SERIES_ROWS, longest: int | None = None
-) -> DataFrame | None:
-    """Add the ``CELL`` columns; None when no ticker is longer than ``max_rows``.
 
-    ``longest`` saves the count where the caller has it.
-    """
-    if longest is None:
-        longest = longest_series(rows)
-    if longest <= max_rows:
+def size_of(rows: DataFrame) -> Size:
+    """Measured by one map-side count that reads the ticker only."""
+    counts = rows.groupBy("ticker").agg(F.count("*").alias("n"))
+    longest, total = counts.agg(F.max("n"), F.sum("n")).first()
+    return Size(longest or 0, total or 0)
+
+
+def spread(rows: DataFrame, size: Size, *keys: str) -> DataFrame:
+    """Partition by the keys, with more tasks than the session's default if the data calls for it."""
+    needed = ceil(size.total / ROWS_PER_TASK)
+    if needed <= int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return rows
+    return rows.repartition(needed, *keys)
+
+
+def place_in_cells(rows: DataFrame, max_rows: int, size: Size) -> DataFrame | None:
+    """Add the ``CELL`` columns; None when no ticker is longer than ``max_rows``."""
+    if size.longest <= max_rows:
         return None
     whole = {"cell_time": F.lit(0).cast("long"), "cell_seq": F.lit(0).cast("long")}
     placed = rows.withColumns({**whole, "_micros": micros(rows)})
@@ -161,22 +177,24 @@ def _cut(df: DataFrame, cuts: DataFrame, how: str) -> DataFrame:
 
 
 def number_rows(
-    rows: DataFrame, max_rows: int = MAX_SERIES_ROWS, longest: int | None = None
+    rows: DataFrame, max_rows: int = MAX_SERIES_ROWS, size: Size | None = None
 ) -> DataFrame:
     """Add ``row_no`` (from 1, in series order) and ``series_rows`` (series length).
 
-    ``longest`` is an upper bound of the series lengths, where one is known; it
-    saves a pass over rows that are costly to make.
+    A known ``size`` saves a pass over rows that are costly to make.
     """
     rows = ordered(rows)
-    placed = place_in_cells(rows, max_rows, longest)
+    size = size or size_of(rows)
+    placed = place_in_cells(rows, max_rows, size)
     if placed is None:
+        rows = spread(rows, size, "ticker")
         series = Window.partitionBy("ticker")
         return rows.select(
             "*",
             F.row_number().over(series.orderBy(*ORDER)).cast("long").alias("row_no"),
             F.count("*").over(series).alias("series_rows"),
         )
+    placed = spread(placed, size, "ticker", *CELL)
     # One row per cell: the running sums below see only this short table.
     cells = placed.groupBy("ticker", *CELL).agg(F.count("*").alias("_n"))
     series = Window.partitionBy("ticker")

@@ -6,17 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import SPLIT_SEED, TEST_SHARE
-from .series import MAX_SERIES_ROWS, number_rows
+from .series import MAX_SERIES_ROWS, Size, number_rows
 
 
 def tail_split(
     df: DataFrame,
     share: float = TEST_SHARE,
     max_rows: int = MAX_SERIES_ROWS,
-    longest: int | None = None,
+    size: Size | None = None,
 ) -> DataFrame:
     """Add ``is_test``: the last ceil(share * n) rows of each ticker."""
-    numbered = number_rows(df, max_rows, longest)
+    numbered = number_rows(df, max_rows, size)
     held_out = F.ceil(F.col("series_rows") * F.lit(share))
     is_test = F.col("row_no") > F.col("series_rows") - held_out
     return numbered.withColumn("is_test", is_test).drop("row_no", "series_rows")
@@ -34,19 +34,19 @@ def random_split(df: DataFrame, share: float = TEST_SHARE, seed: int = SPLIT_SEE
 
 
 def fold_ids(
-    df: DataFrame, folds: int = 5, max_rows: int = MAX_SERIES_ROWS, longest: int | None = None
+    df: DataFrame, folds: int = 5, max_rows: int = MAX_SERIES_ROWS, size: Size | None = None
 ) -> DataFrame:
     """Add ``fold``: contiguous folds of each ticker, the first ones longer by one row.
 
     A ticker with fewer rows than folds cannot be folded and fails the query.
     """
-    numbered = number_rows(df, max_rows, longest)
+    numbered = number_rows(df, max_rows, size)
     at = F.col("row_no") - 1
-    size = F.floor(F.col("series_rows") / folds)
+    short = F.floor(F.col("series_rows") / folds)
     longer = F.col("series_rows") % folds
-    head = longer * (size + 1)
-    fold = F.when(at < head, F.floor(at / (size + 1))).otherwise(
-        longer + F.floor(F.try_divide(at - head, size))
+    head = longer * (short + 1)
+    fold = F.when(at < head, F.floor(at / (short + 1))).otherwise(
+        longer + F.floor(F.try_divide(at - head, short))
     )
     too_few = F.raise_error(F.concat(F.lit("too few rows to fold: "), F.col("ticker")))
     checked = F.when(F.col("series_rows") < folds, too_few.cast("int")).otherwise(fold.cast("int"))

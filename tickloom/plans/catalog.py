@@ -246,7 +246,8 @@ def historical_bars(spark, folder):
     made = lake.bars_to_ticks(
         bars, "o_orderpriority", "o_orderdate", "o_totalprice", "o_custkey", "o_orderkey"
     )
-    return rounded(features.features(made, SERVING))
+    # These prices are 1000 times those of the events.
+    return rounded(features.features(made, SERVING), 4)
 
 
 # Messages
@@ -361,17 +362,17 @@ def lake_compact(spark, folder):
 # Splits and evaluation
 
 
-def _rows(spark, folder, longest: int | None = None) -> DataFrame:
-    return features.features(ticks(spark, folder), SERVING, longest=longest)
+def _rows(spark, folder, size: series.Size | None = None) -> DataFrame:
+    return features.features(ticks(spark, folder), SERVING, size=size)
 
 
 def _split_rows(spark, folder) -> DataFrame:
     """Feature rows with ``is_test``, made in one pass over the ticks.
 
-    A ticker has no more feature rows than ticks, so one count serves both steps.
+    There are no more feature rows than ticks, so one count serves both steps.
     """
-    longest = series.longest_series(ticks(spark, folder))
-    return split.tail_split(_rows(spark, folder, longest), longest=longest)
+    size = series.size_of(ticks(spark, folder))
+    return split.tail_split(_rows(spark, folder, size), size=size)
 
 
 # Forecasts that are plain columns.
@@ -416,8 +417,8 @@ def hash_split(spark, folder):
 
 
 def kfold_ids(spark, folder):
-    longest = series.longest_series(ticks(spark, folder))
-    folded = split.fold_ids(_rows(spark, folder, longest), longest=longest)
+    size = series.size_of(ticks(spark, folder))
+    folded = split.fold_ids(_rows(spark, folder, size), size=size)
     return folded.select("ticker", "seq", "fold")
 
 

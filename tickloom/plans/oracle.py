@@ -19,8 +19,8 @@ FEATURE_COLUMNS = (
 )
 
 
-def _r(*names: str) -> str:
-    return ", ".join(f"round({name}, 6) AS {name}" for name in names)
+def _r(*names: str, digits: int = 6) -> str:
+    return ", ".join(f"round({name}, {digits}) AS {name}" for name in names)
 
 
 def _ticks(ticker: str = "event_type") -> str:
@@ -94,9 +94,9 @@ f AS (SELECT ticker, event_time, seq, {', '.join(FEATURE_COLUMNS)} FROM w
 _DOUBLES = tuple(name for name in FEATURE_COLUMNS if name != "volume")
 
 
-def _feature_query(profile: str, ticks: str) -> str:
+def _feature_query(profile: str, ticks: str, digits: int = 6) -> str:
     return f"""WITH {_features(profile, ticks)}
-SELECT ticker, event_time, seq, volume, {_r(*_DOUBLES)} FROM f"""
+SELECT ticker, event_time, seq, volume, {_r(*_DOUBLES, digits=digits)} FROM f"""
 
 
 def _recent(n: int, ticks: str) -> str:
@@ -226,7 +226,7 @@ SELECT ticker, seq, volume, {_r(*(c for c in _DOUBLES if c != 'target'))} FROM d
         "tick_count": "SELECT count(*) AS n FROM events",
         "min_rows_filter": f"""WITH {_ticks('user_id')} SELECT ticker, event_time, seq, price, volume
 FROM ticks WHERE ticker IN (SELECT ticker FROM ticks GROUP BY ticker HAVING count(*) >= 65)""",
-        "historical_bars": _feature_query("serving", BARS),
+        "historical_bars": _feature_query("serving", BARS, digits=4),
         "json_payload": f"""WITH {_ticks()}
 SELECT 'stock_' || upper(ticker) AS topic, CAST(json_object(
   'timestamp', strftime(event_time, '%Y-%m-%d %H:%M:%S.%f'), 'ticker', upper(ticker),

@@ -9,7 +9,14 @@ from pyspark.sql import functions as F
 
 from ..operators.clean import fill_zero, first_per_time, last_n
 from ..operators.features import LOOKBACK, SERVING, Profile, features
-from ..operators.series import MAX_SERIES_ROWS, day_number, ordered, small_side, start_of_day
+from ..operators.series import (
+    MAX_SERIES_ROWS,
+    Size,
+    day_number,
+    ordered,
+    small_side,
+    start_of_day,
+)
 from ..schema import DEFAULT_MODELS, FEATURES
 from ..session import BROADCAST_ROWS, durable
 from ..sources.metrics import ROW_SCHEMA, no_metrics, read_metrics, read_metrics_document
@@ -72,15 +79,15 @@ def _start_days(days: DataFrame, wanted: int) -> DataFrame:
 def _recent_part(
     rows: DataFrame, starts: DataFrame, n: int, profile: Profile, max_rows: int
 ) -> DataFrame:
-    first_day, longest, tickers = starts.agg(
-        F.min("read_from"), F.max("to_read"), F.count("*")
+    first_day, longest, total, tickers = starts.agg(
+        F.min("read_from"), F.max("to_read"), F.sum("to_read"), F.count("*")
     ).first()
     # A constant bound reaches the scan, where files and row groups are skipped.
     tail = rows.where(F.col("event_time") >= start_of_day(rows, first_day or 0))
     limits = starts.select("ticker", "read_from", "keep_from")
     limits = F.broadcast(limits) if tickers <= BROADCAST_ROWS else limits
     tail = tail.join(limits, "ticker").where("_day >= read_from").drop("read_from")
-    made = features(tail, profile, max_rows, longest or 0)
+    made = features(tail, profile, max_rows, Size(longest or 0, total or 0))
     made = made.where("_day >= keep_from").drop("_day", "keep_from")
     return last_n(first_per_time(made), n)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,9 +81,10 @@ def compact(
     later filter on time skip it.
     """
     key = ["ticker", "event_time", "seq"]
-    ranged = ticks.repartitionByRange(files, *key) if files else ticks.repartitionByRange(*key)
+    files = files or max(1, ceil(ticks.count() / rows_per_file))
     (
-        ranged.sortWithinPartitions(*key)
+        ticks.repartitionByRange(files, *key)
+        .sortWithinPartitions(*key)
         .write.mode("errorifexists")
         .option("maxRecordsPerFile", rows_per_file)
         .partitionBy("ticker")
