@@ -180,6 +180,29 @@ def test_latest_and_last_n(make_ticks):
     assert [r.seq for r in clean.last_of_series(ticks, "A", 3).collect()] == [28, 29, 77]
 
 
+def test_last_n_beyond_the_top_n_limit(make_ticks):
+    ticks = make_ticks(walk("A", 1300) + walk("B", 5))
+    got = {(r.ticker, r.seq) for r in clean.last_n(ticks, 1200).collect()}
+    assert got == {("A", i) for i in range(100, 1300)} | {("B", i) for i in range(5)}
+
+
+@pytest.mark.parametrize("back, ahead", [(2, 0), (0, 3), (4, 1)])
+def test_any_bounded_window_can_go_by_cells(make_ticks, back, ahead):
+    ticks = make_ticks(walk("A", 200) + walk("B", 7)).repartition(3)
+
+    def compute(rows, window):
+        frame = window.rowsBetween(-back, ahead)
+        return rows.select("*", F.sum("seq").over(frame).alias("total"))
+
+    got = series.by_series(ticks, compute, back, ahead, max_rows=9)
+    assert got.columns == [*ticks.columns, "total"]
+    assert {(r.ticker, r.seq, r.total) for r in got.collect()} == {
+        (t, i, sum(j for j in range(i - back, i + ahead + 1) if 0 <= j < n))
+        for t, n in (("A", 200), ("B", 7))
+        for i in range(n)
+    }
+
+
 def test_last_n_is_limited_before_the_shuffle(make_ticks):
     plan = clean.last_n(make_ticks(walk("A", 30)), 5)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan.split("Exchange")[-1]

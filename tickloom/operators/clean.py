@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import zero_or_missing
 from ..schema import FEATURES, MIN_TRAIN_ROWS
 from ..session import durable
-from .series import ordered, small_side
+from .series import number_rows, ordered, small_side
 
 def one_ticker(df: DataFrame, ticker: str) -> DataFrame:
     """Exact-case equality; prunes partitions when the lake is scanned."""
@@ -66,12 +66,20 @@ def latest(ticks: DataFrame) -> DataFrame:
     return found.select("ticker", "event_time", "_newest.*").select(*ticks.columns)
 
 
+# Beyond this the optimizer no longer limits a ranking before the shuffle.
+_TOP_N = 1000
+
+
 def last_n(df: DataFrame, n: int) -> DataFrame:
     """The last ``n`` rows of every ticker.
 
     The rank filter is a top-n for the optimizer: each task passes on at most
-    ``n`` rows per ticker.
+    ``n`` rows per ticker.  A large ``n`` goes by row numbers instead.
     """
+    if n > _TOP_N:
+        numbered = number_rows(df)
+        newest_rows = numbered.where(F.col("row_no") > F.col("series_rows") - n)
+        return newest_rows.drop("row_no", "series_rows")
     newest = Window.partitionBy("ticker").orderBy(F.desc("event_time"), F.desc("seq"))
     ranked = df.withColumn("_rank", F.row_number().over(newest))
     return ranked.where(F.col("_rank") <= n).drop("_rank")

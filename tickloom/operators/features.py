@@ -8,15 +8,14 @@ values are not.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 from operator import add
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.scalar import finite, ieee_ratio
-from ..schema import ORDER
-from .series import CELL, MAX_SERIES_ROWS, Size, ordered, place_in_cells, size_of, spread
+from .series import MAX_SERIES_ROWS, Size, by_series
 
 LOOKBACK = 19
 
@@ -70,6 +69,17 @@ def relative_change(percent: bool) -> Column:
     return ieee_ratio(F.col("price"), F.col("lag1")) - 1
 
 
+def feature_columns(
+    ticks: DataFrame,
+    profile: Profile = SERVING,
+    max_rows: int = MAX_SERIES_ROWS,
+    size: Size | None = None,
+) -> DataFrame:
+    """Every tick with its features and target; null where they do not exist."""
+    compute = partial(_with_windows, profile=profile)
+    return by_series(ticks, compute, LOOKBACK, profile.horizon, max_rows, size)
+
+
 def features(
     ticks: DataFrame,
     profile: Profile = SERVING,
@@ -78,19 +88,9 @@ def features(
 ) -> DataFrame:
     """The 12 features and the target of every tick that has all of them.
 
-    One shuffle by ticker while the tickers are short.  Longer ones go by
-    cells, with the same result.  ``size`` of the ticks is measured if it is
-    not given.
+    ``size`` of the ticks is measured if it is not given.
     """
-    rows = ordered(ticks)
-    size = size or size_of(rows)
-    placed = place_in_cells(rows, max_rows, size)
-    if placed is None:
-        series = Window.partitionBy("ticker").orderBy(*ORDER)
-        full = _with_windows(spread(rows, size, "ticker"), series, profile)
-    else:
-        full = _by_cells(spread(placed, size, "ticker", *CELL), profile).drop(*CELL)
-    return drop_incomplete(full)
+    return drop_incomplete(feature_columns(ticks, profile, max_rows, size))
 
 
 def drop_incomplete(df: DataFrame) -> DataFrame:
@@ -164,28 +164,3 @@ def _deviation_of_blocks(n: int, full: bool) -> Column:
         squares.append(F.when(rows > 0, rows * (within + between * between)).otherwise(0.0))
     spread = F.sqrt(reduce(add, squares) / (held - 1))
     return F.when(held == n if full else held > 1, spread)
-
-
-def _by_cells(placed: DataFrame, profile: Profile) -> DataFrame:
-    """Features of series cut into cells; needs one full shuffle.
-
-    Inside a cell, a row with 19 ticks behind it and ``horizon`` ahead is
-    complete.  Rows nearer to an edge are computed again from the rims: the
-    first and last 19 + horizon rows of every cell, lined up per ticker.  An
-    edge row finds all its neighbours there, also across cells that are
-    shorter than a rim.  Rims are a fixed number of rows per cell.
-    """
-    reach = LOOKBACK + profile.horizon
-    in_cell = Window.partitionBy("ticker", *CELL).orderBy(*ORDER)
-
-    def short_of(back: int, ahead: int) -> Column:
-        return (
-            F.lag("seq", back).over(in_cell).isNull() | F.lead("seq", ahead).over(in_cell).isNull()
-        )
-
-    edge = short_of(LOOKBACK, profile.horizon).alias("_edge")
-    inner = _with_windows(placed.select("*", edge), in_cell, profile).where(~F.col("_edge"))
-    rims = placed.select("*", edge, short_of(reach, reach).alias("_rim")).where("_rim").drop("_rim")
-    series = Window.partitionBy("ticker").orderBy(*ORDER)
-    outer = _with_windows(rims, series, profile).where("_edge")
-    return inner.unionByName(outer).drop("_edge")

@@ -10,10 +10,11 @@ job that places a row again finds the same cell.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from math import ceil
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -211,3 +212,43 @@ def number_rows(
         .withColumn("row_no", F.col("_before") + F.row_number().over(in_cell))
         .select(*rows.columns, "row_no", "series_rows")
     )
+
+
+def by_series(
+    rows: DataFrame,
+    compute: Callable[[DataFrame, WindowSpec], DataFrame],
+    back: int,
+    ahead: int,
+    max_rows: int = MAX_SERIES_ROWS,
+    size: Size | None = None,
+) -> DataFrame:
+    """``compute(rows, window)`` over the ordered series of each ticker.
+
+    ``compute`` adds window columns and keeps the others; a row may depend on
+    ``back`` rows before it and ``ahead`` rows after it.  One shuffle by ticker
+    while the tickers are short.  Longer ones go by cells, also with one full
+    shuffle: inside a cell, a row with enough rows on both sides is complete.
+    Rows nearer to an edge are computed again from the rims, the first and last
+    ``back + ahead`` rows of every cell lined up per ticker.  An edge row finds
+    all its neighbours there, even across cells shorter than a rim.
+    """
+    rows = ordered(rows)
+    size = size or size_of(rows)
+    placed = place_in_cells(rows, max_rows, size)
+    series = Window.partitionBy("ticker").orderBy(*ORDER)
+    if placed is None:
+        return compute(spread(rows, size, "ticker"), series)
+    placed = spread(placed, size, "ticker", *CELL)
+    in_cell = Window.partitionBy("ticker", *CELL).orderBy(*ORDER)
+
+    def short_of(before: int, after: int) -> Column:
+        first = F.lag("seq", before).over(in_cell).isNull() if before else F.lit(False)
+        last = F.lead("seq", after).over(in_cell).isNull() if after else F.lit(False)
+        return first | last
+
+    edge = short_of(back, ahead).alias("_edge")
+    rim = short_of(back + ahead, back + ahead).alias("_rim")
+    inner = compute(placed.select("*", edge), in_cell).where(~F.col("_edge"))
+    rims = placed.select("*", edge, rim).where("_rim").drop("_rim")
+    outer = compute(rims, series).where("_edge")
+    return inner.unionByName(outer).drop("_edge", *CELL)

@@ -9,14 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import scalar
 from ..operators import clean, ensemble, evaluate, features, frequency, regress, series, split
 from ..operators.features import SERVING, TRAINING
-from ..schema import FEATURES, MESSAGE_SCHEMA, ORDER
+from ..schema import FEATURES, MESSAGE_SCHEMA
 from ..session import durable, stored, work_path
 from ..sources import kafka, lake, metrics
 from ..streaming import ingest
@@ -79,45 +79,41 @@ def features_many_tickers(spark, folder):
     return rounded(features.features(ticks(spark, folder, "user_id"), SERVING))
 
 
-def _windowed(spark, folder, make: Callable[..., dict[str, Column]]) -> DataFrame:
-    """Tick key and window columns; a single window over all of them."""
-    by_ticker = Window.partitionBy("ticker").orderBy(*ORDER)
-    return rounded(
-        ticks(spark, folder).select(
-            "ticker", "seq", *(c.alias(name) for name, c in make(by_ticker).items())
-        )
-    )
+def _windowed(
+    spark, folder, make: Callable[[WindowSpec], dict[str, Column]], back: int, ahead: int = 0
+) -> DataFrame:
+    """Tick key and window columns that look ``back`` and ``ahead`` so many rows."""
+
+    def compute(rows: DataFrame, window: WindowSpec) -> DataFrame:
+        return rows.select("*", *(c.alias(name) for name, c in make(window).items()))
+
+    rows = ticks(spark, folder)
+    made = series.by_series(rows, compute, back, ahead)
+    return rounded(made.drop(*(c for c in rows.columns if c not in ("ticker", "seq"))))
 
 
 def lags(spark, folder):
     return _windowed(
-        spark, folder, lambda w: {f"lag{k}": features.lag_price(k, w) for k in (1, 2, 3)}
+        spark, folder, lambda w: {f"lag{k}": features.lag_price(k, w) for k in (1, 2, 3)}, 3
     )
 
 
 def lead_target(spark, folder):
     return _windowed(
-        spark,
-        folder,
-        lambda w: {
-            "target_1": features.target_price(1, w),
-            "target_5": features.target_price(5, w),
-        },
+        spark, folder, lambda w: {f"target_{k}": features.target_price(k, w) for k in (1, 5)}, 0, 5
     )
 
 
+def _means(full: bool) -> Callable[[WindowSpec], dict[str, Column]]:
+    return lambda w: {f"MA{n}": features.rolling(F.avg, n, w, full) for n in (5, 10, 20)}
+
+
 def ma_full(spark, folder):
-    return _windowed(
-        spark, folder, lambda w: {f"MA{n}": features.rolling(F.avg, n, w, True) for n in (5, 10, 20)}
-    )
+    return _windowed(spark, folder, _means(True), 19)
 
 
 def ma_partial(spark, folder):
-    return _windowed(
-        spark,
-        folder,
-        lambda w: {f"MA{n}": features.rolling(F.avg, n, w, False) for n in (5, 10, 20)},
-    )
+    return _windowed(spark, folder, _means(False), 19)
 
 
 def rolling_std(spark, folder):
@@ -128,31 +124,30 @@ def rolling_std(spark, folder):
             "std_5_full": features.rolling(F.stddev_samp, 5, w, True),
             "std_20_partial": features.rolling(F.stddev_samp, 20, w, False),
         },
+        19,
     )
 
 
-def _changes(spark, folder) -> DataFrame:
-    by_ticker = Window.partitionBy("ticker").orderBy(*ORDER)
-    return ticks(spark, folder).withColumn("lag1", features.lag_price(1, by_ticker))
-
-
 def price_change(spark, folder):
-    changed = _changes(spark, folder)
-    return rounded(
-        changed.select("ticker", "seq", (F.col("price") - F.col("lag1")).alias("price_change"))
+    return _windowed(
+        spark,
+        folder,
+        lambda w: {"price_change": F.col("price") - features.lag_price(1, w)},
+        1,
     )
 
 
 def pct_change(spark, folder):
-    changed = _changes(spark, folder)
-    return rounded(
-        changed.select(
-            "ticker",
-            "seq",
+    def compute(rows: DataFrame, window: WindowSpec) -> DataFrame:
+        before = rows.withColumn("lag1", features.lag_price(1, window))
+        return before.select(
+            "*",
             features.relative_change(False).alias("fraction"),
             features.relative_change(True).alias("percent"),
         )
-    )
+
+    changed = series.by_series(ticks(spark, folder), compute, 1, 0)
+    return rounded(changed.select("ticker", "seq", "fraction", "percent"))
 
 
 def row_numbers(spark, folder):
@@ -216,8 +211,7 @@ def fill_zero(spark, folder):
 
 
 def falsy_default(spark, folder):
-    by_ticker = Window.partitionBy("ticker").orderBy(*ORDER)
-    base = features._with_windows(ticks(spark, folder), by_ticker, SERVING)
+    base = features.feature_columns(ticks(spark, folder), SERVING)
     return rounded(clean.request_defaults(base).select("ticker", "seq", *FEATURES))
 
 
