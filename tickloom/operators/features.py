@@ -104,63 +104,84 @@ _BLOCK = 5
 def _with_windows(rows: DataFrame, series: WindowSpec, profile: Profile) -> DataFrame:
     """All feature columns, equal to ``rolling`` and its companions one by one.
 
-    A frame of 20 ticks is summed anew at every row.  So only blocks of 5 are
-    framed; longer windows are put together from the blocks ending 0, 5, 10
-    and 15 rows back.  Both steps share one shuffle and one sort.
+    A frame of 20 ticks is gone through anew at every row.  So only blocks of
+    5 are framed; longer windows are put together from the blocks that end 0,
+    5, 10 and 15 rows back.  Both steps share one shuffle and one sort.
     """
-    price = finite(F.col("price")) if profile.full_windows else F.col("price")
-    block = series.rowsBetween(1 - _BLOCK, Window.currentRow)
+    framed = _full_blocks(series) if profile.full_windows else _partial_blocks(series)
     blocks = rows.select(
         "*",
         *(lag_price(k, series).alias(f"lag{k}") for k in (1, 2, 3)),
         target_price(profile.horizon, series).alias("target"),
-        F.count(price).over(block).alias("_n0"),
-        F.sum(price).over(block).alias("_s0"),
-        F.var_pop(price).over(block).alias("_v0"),
+        *(column.alias(f"{name}0") for name, column in framed.items()),
     )
-    measures = ("n", "s", "v") if profile.spread > _BLOCK else ("n", "s")
+    missing = None if profile.full_windows else 0
     earlier = blocks.select(
         "*",
         *(
-            F.lag(f"_{m}0", _BLOCK * k).over(series).alias(f"_{m}{k}")
+            F.lag(f"{name}0", _BLOCK * k, missing).over(series).alias(f"{name}{k}")
             for k in (1, 2, 3)
-            for m in measures
+            for name in framed
         ),
     )
-    full = profile.full_windows
+    made = _of_full_blocks() if profile.full_windows else _of_partial_blocks()
     return earlier.select(
         *rows.columns,
         "lag1",
         "lag2",
         "lag3",
-        _mean_of_blocks(5, full).alias("MA5"),
-        _mean_of_blocks(10, full).alias("MA10"),
-        _mean_of_blocks(20, full).alias("MA20"),
-        _mean_of_blocks(profile.spread, full).alias("rolling_mean"),
-        _deviation_of_blocks(profile.spread, full).alias("rolling_std"),
+        *(made[f"MA{n}"].alias(f"MA{n}") for n in (5, 10, 20)),
+        made[f"MA{profile.spread}"].alias("rolling_mean"),
+        made["deviation"].alias("rolling_std"),
         (F.col("price") - F.col("lag1")).alias("price_change"),
         relative_change(profile.percent).alias("pct_change"),
         "target",
     )
 
 
-def _sum_of_blocks(measure: str, n: int) -> Column:
-    parts = [F.coalesce(F.col(f"_{measure}{k}"), F.lit(0)) for k in range(n // _BLOCK)]
-    return reduce(add, parts)
+def _full_blocks(series: WindowSpec) -> dict[str, Column]:
+    """Mean and deviation of the last 5 prices, null unless all are usable."""
+    return {
+        "_mean": rolling(F.avg, _BLOCK, series, full=True),
+        "_deviation": rolling(F.stddev_samp, _BLOCK, series, full=True),
+    }
 
 
-def _mean_of_blocks(n: int, full: bool) -> Column:
-    held = _sum_of_blocks("n", n)
-    return F.when(held == n if full else held > 0, _sum_of_blocks("s", n) / held)
+def _of_full_blocks() -> dict[str, Column]:
+    mean = [F.col(f"_mean{k}") for k in range(4)]
+    return {
+        "MA5": mean[0],
+        "MA10": (mean[0] + mean[1]) / 2,
+        "MA20": (mean[0] + mean[1] + mean[2] + mean[3]) / 4,
+        "deviation": F.col("_deviation0"),
+    }
 
 
-def _deviation_of_blocks(n: int, full: bool) -> Column:
-    """Sample deviation: the variance within the blocks plus that between their means."""
-    held, mean = _sum_of_blocks("n", n), _mean_of_blocks(n, full)
-    squares = []
-    for k in range(n // _BLOCK):
-        rows, total, within = F.col(f"_n{k}"), F.col(f"_s{k}"), F.col(f"_v{k}")
-        between = F.lit(0.0) if n == _BLOCK else F.try_divide(total, rows) - mean
-        squares.append(F.when(rows > 0, rows * (within + between * between)).otherwise(0.0))
-    spread = F.sqrt(reduce(add, squares) / (held - 1))
-    return F.when(held == n if full else held > 1, spread)
+def _partial_blocks(series: WindowSpec) -> dict[str, Column]:
+    """Number, mean and variance of up to 5 prices; zeros where there are none."""
+    frame = series.rowsBetween(1 - _BLOCK, Window.currentRow)
+    price = F.col("price")
+    return {
+        "_n": F.count(price).over(frame).cast("double"),
+        "_mean": F.coalesce(F.avg(price).over(frame), F.lit(0.0)),
+        "_variance": F.coalesce(F.var_pop(price).over(frame), F.lit(0.0)),
+    }
+
+
+def _of_partial_blocks() -> dict[str, Column]:
+    """Means and the deviation by the offsets of the blocks from the latest one.
+
+    Offsets are of the size of the deviation itself, so no digits cancel.
+    """
+    n = [F.col(f"_n{k}") for k in range(4)]
+    mean = [F.col(f"_mean{k}") for k in range(4)]
+    offset = [mean[k] - mean[0] for k in range(4)]
+    held, shift = reduce(add, n), reduce(add, [n[k] * offset[k] for k in (1, 2, 3)])
+    squares = [n[k] * (F.col(f"_variance{k}") + offset[k] * offset[k]) for k in range(4)]
+    spread = F.greatest(reduce(add, squares) - F.try_divide(shift * shift, held), F.lit(0.0))
+    return {
+        "MA5": F.when(n[0] > 0, mean[0]),
+        "MA10": F.when(n[0] + n[1] > 0, mean[0] + n[1] * offset[1] / (n[0] + n[1])),
+        "MA20": F.when(held > 0, mean[0] + shift / held),
+        "deviation": F.when(held > 1, F.sqrt(spread / (held - 1))),
+    }
