@@ -11,6 +11,7 @@ from tickloom.operators.evaluate import evaluate
 from tickloom.operators.features import TRAINING, features
 from tickloom.plans import serve, train
 from tickloom.schema import FEATURES
+from tickloom.sources import lake
 
 
 @pytest.fixture(scope="module")
@@ -177,3 +178,29 @@ def test_stacking_is_ridge_over_base_predictions(spark):
     w = np.linalg.solve(centered.T @ centered + np.eye(2), centered.T @ (y - y.mean()))
     want = y.mean() + centered @ w
     assert np.allclose(sorted(r.prediction for r in got), sorted(want), atol=1e-8)
+
+
+def test_retrain_from_a_lake(spark, tmp_path):
+    draw, price, ticks = random.Random(8), 100.0, []
+    for i in range(90):
+        price += draw.gauss(0, 1) - 0.2 * (price - 100)
+        ticks.append((i, price, i + 1, "AAPL"))
+    df = spark.createDataFrame(ticks, "seq long, price double, volume long, ticker string")
+    time = F.timestamp_seconds(F.col("seq") * 300)
+    df = df.select(time.cast("string").alias("timestamp"), time.alias("event_time"), "*")
+    path, bases = str(tmp_path / "lake"), ["Linear Regression"]
+    assert train.retrain(spark, path, str(tmp_path / "none"), bases=bases) is None
+    lake.write(df, path)
+    run = train.retrain(spark, path, str(tmp_path / "run"), bases=bases)
+    assert {r.model for r in run.metrics().collect()} == {
+        "Linear Regression",
+        "Voting Ensemble",
+        "Stacking Ensemble",
+    }
+    published = serve.metrics_lookup(spark, str(tmp_path / "run" / "metrics"), "aapl").collect()
+    assert len(published) == 3 and all(r.accuracy.endswith("%") for r in published)
+
+
+def test_records(spark):
+    df = spark.createDataFrame([("A", 1.5)], "ticker string, price double")
+    assert [r.record for r in serve.records(df).collect()] == ['{"ticker":"A","price":1.5}']

@@ -603,6 +603,7 @@ def top_keys(spark, folder):
     return frequency.top_keys(table(spark, folder, "lineitem"), "l_partkey", 20)
 
 
+# In this order; the trainings of many models come last.
 REGISTERED: list[Query] = [
     features_p,
     features_s,
@@ -660,21 +661,21 @@ REGISTERED: list[Query] = [
     market_state,
     market_age,
     metrics_lookup,
+    key_frequency,
+    hourly_frequency,
+    top_keys,
     ols_one_feature,
     ridge_one_feature,
     train_lr,
     train_lr_many_tickers,
     train_lr_mllib,
     train_rf,
+    feature_importance,
+    predict_requests,
+    train_rbf,
     train_gbt,
     train_boosted,
-    train_rbf,
     stacking,
-    feature_importance,
-    predict_requests,
-    key_frequency,
-    hourly_frequency,
-    top_keys,
 ]
 
 

@@ -17,7 +17,7 @@ from ..operators.series import (
     small_side,
     start_of_day,
 )
-from ..schema import DEFAULT_MODELS, FEATURES
+from ..schema import DEFAULT_MODELS
 from ..session import BROADCAST_ROWS, durable
 from ..sources.metrics import ROW_SCHEMA, no_metrics, read_metrics, read_metrics_document
 
@@ -92,6 +92,11 @@ def _recent_part(
     return last_n(first_per_time(made), n)
 
 
+def records(df: DataFrame) -> DataFrame:
+    """Each row as one JSON text, for a caller that wants records."""
+    return df.select(F.to_json(F.struct(*df.columns)).alias("record"))
+
+
 def band(model: Column, prediction: Column) -> dict[str, Column]:
     """The published price and its band: 1 % around an ensemble, 2 % around others."""
     width = F.when(model.contains("Ensemble"), F.lit(0.01)).otherwise(F.lit(0.02))
@@ -162,8 +167,3 @@ def metrics_lookup(spark: SparkSession, path: str, ticker: str) -> DataFrame:
         stored = read_metrics(spark, path)
         broken = spark.createDataFrame([], ROW_SCHEMA)
     return stored.where(F.col("ticker") == ticker.upper()).unionByName(broken)
-
-
-def missing_features() -> Column:
-    """True for a request that lacks a feature."""
-    return F.greatest(*(F.col(name).isNull() for name in FEATURES))
