@@ -8,6 +8,7 @@ Expected values come from ``oracle.py``; models have none.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession, WindowSpec
 from pyspark.sql import functions as F
@@ -535,9 +536,15 @@ def train_lr_many_tickers(spark, folder):
     return rounded(evaluate.evaluate(scored.withColumn("model", F.lit("Linear Regression"))))
 
 
+def _train(spark, folder, *models: str) -> train.Trained:
+    size = series.size_of(ticks(spark, folder))
+    tail = partial(split.tail_split, size=size)
+    rows = _rows(spark, folder, size)
+    return train.train_models(rows, work_path(spark, "training"), models, tail)
+
+
 def _trained(spark, folder, *models: str) -> DataFrame:
-    run = train.train_models(_rows(spark, folder), work_path(spark, "training"), models)
-    return rounded(run.metrics())
+    return rounded(_train(spark, folder, *models).metrics())
 
 
 def train_lr_mllib(spark, folder):
@@ -561,25 +568,22 @@ def train_rbf(spark, folder):
 
 
 def stacking(spark, folder):
-    run = train.train_ensembles(_rows(spark, folder), work_path(spark, "ensembles"))
+    size = series.size_of(ticks(spark, folder))
+    rows = _rows(spark, folder, size)
+    run = train.train_ensembles(rows, work_path(spark, "ensembles"), size=size)
     return rounded(run.metrics())
 
 
 def feature_importance(spark, folder):
-    run = train.train_models(
-        _rows(spark, folder), work_path(spark, "training"), ["Random Forest"]
-    )
-    models, _ = train.load_models(run.registry())
+    models, _ = train.load_models(_train(spark, folder, "Random Forest").registry())
     return train.feature_importance(spark, models)
 
 
 def predict_requests(spark, folder):
     """Latest features of each ticker, answered by saved models."""
-    rows = _rows(spark, folder)
-    run = train.train_models(rows, work_path(spark, "training"), ["Linear Regression"])
-    models, _ = train.load_models(run.registry())
+    models, _ = train.load_models(_train(spark, folder, "Linear Regression").registry())
     asked = F.explode(F.array(F.lit("Linear Regression"), F.lit("Stacking Ensemble")))
-    latest = clean.last_n(rows, 1).withColumn("model", asked)
+    latest = durable(serve.recent(ticks(spark, folder), 1).withColumn("model", asked))
     answered = train.predict(latest.select("ticker", "model", *FEATURES), models)
     return serve.with_band(answered).select(
         "ticker", "model", "status", "predicted_price", "confidence_lower", "confidence_upper"
