@@ -241,7 +241,7 @@ def link_classes(sets: DataFrame, members: DataFrame, percent: int) -> DataFrame
 
 
 def near_copies(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """A row per document: doc_id, n_shingles, class (64-bit name of its set) and component_id."""
+    """A row per document: doc_id, n_shingles, class (64-bit name of its set), component (a class of its group) and component_id."""
     rows = staged(docs.select("doc_id", "text").mapInArrow(_set_rows(shingle, percent), _SETS), "sets")
     classes = rows.where("class != 0 AND doc_id IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("least"))
     signed = rows.where("signatures IS NOT NULL").join(classes.select("class", F.col("least").alias("doc_id")), ["class", "doc_id"], "left_semi")
@@ -256,7 +256,34 @@ def near_copies(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
     labels = components(link_classes(sets, members, percent))
     named = _labelled(classes, labels)
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = named.join(least, "component").select("class", "component_id")
+    named = named.join(least, "component").select("class", "component", "component_id")
     joined = rows.drop("signatures").join(named, "class", "left")
     alone = F.when(F.col("class") == 0, F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("component_id"))
-    return joined.select("doc_id", "n_shingles", "class", alone.alias("component_id"))
+    return joined.select("doc_id", "n_shingles", "class", "component", alone.alias("component_id"))
+
+
+def with_class(docs: DataFrame, name: str, shingle: int = SHINGLE) -> DataFrame:
+    """``docs`` with the class of each text as LONG column ``name``."""
+    schema = StructType([*docs.schema.fields, StructField(name, LongType())])
+    place = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = to_arrow(schema)
+        for batch in batches:
+            names = pa.array([_signed(set_id(s)) for s in shingle_sets(batch.column(place), shingle)], pa.int64())
+            yield pa.RecordBatch.from_arrays([*(c.cast(f.type) for c, f in zip(batch.columns, types, strict=False)), names], schema=types)
+
+    return docs.mapInArrow(run, schema)
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one document of each group: the one with the least doc_id; rows without words or doc_id stay."""
+    found = near_copies(docs, shingle, percent).where("doc_id = component_id AND class != 0")
+    kept = staged(found.groupBy("component").agg(F.min(F.struct("class", "doc_id")).alias("k")).select("k.class", "k.doc_id"), "kept")
+    kept = kept.select(F.col("class").alias("__kept"), F.col("doc_id").alias("__id"))
+    rows = with_class(docs, "__class", shingle)
+    joined = rows.join(kept, (F.col("__class") == F.col("__kept")) & (F.col("doc_id") == F.col("__id")), "left")
+    first = Window.partitionBy("__class", "doc_id").orderBy(*(F.col(c) for c in docs.columns))
+    numbered = joined.withColumn("__row", F.row_number().over(first))
+    unlinked = (F.col("__class") == 0) | F.col("doc_id").isNull()
+    return numbered.where(unlinked | (F.col("__kept").isNotNull() & (F.col("__row") == 1))).select(*docs.columns)

@@ -87,7 +87,7 @@ def _cut(width: int):
         """Kept text, counts and removed intervals of each row, given its repeated hashes."""
         flagged = batch.column("__hashes")
         n_words, n_removed, kept, spans = [], [], [], []
-        for t in tokens(batch.column("__text")):
+        for t in tokens(batch.column("text")):
             at, hashes = windows(t, width)
             cuts = np.searchsorted(t.row[at], np.arange(t.rows + 1) + t.first)
             bounds = t.bounds()
@@ -123,7 +123,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, buffer: int = BUFFER_WIN
     flags = staged(repeated_windows(docs, width, buffer), "repeats")
     per_doc = flags.groupBy("doc_id").agg(F.collect_list("hash").alias("__hashes")).withColumnRenamed("doc_id", "__doc")
     others = [c for c in docs.columns if c not in {f.name for f in _RESULT}]
-    joined = docs.select(*others, F.col("text").alias("__text")).join(per_doc, F.col("doc_id") == F.col("__doc"), "left").drop("__doc")
+    joined = docs.select(*others).join(per_doc, docs["doc_id"] == per_doc["__doc"], "left").drop("__doc")
     schema = StructType([docs.schema[c] for c in others] + _RESULT)
     cut = _cut(width)
 
