@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import partenum, substring
+from tickloom.llm import packing, partenum, substring
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,3 +25,8 @@ def _with_text(rows: DataFrame, docs: DataFrame, changed, text) -> DataFrame:
     """The columns of ``docs`` with new texts, and their lengths, where ``changed``."""
     columns = {"text": text, "n_chars": F.char_length(text).cast("long")}
     return rows.select(*(F.when(changed, columns[c]).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in docs.columns))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and their places in sequences of 1024 tokens."""
+    return packing.pack(docs)
