@@ -29,30 +29,35 @@ WIDTH = 13
 #: Windows that a task compares among themselves before they are shuffled.
 BUFFER_WINDOWS = 1_500_000
 
-_ROWS = StructType([StructField(c, LongType()) for c in ("key", "hash", "doc_id", "known")])
+#: ``hash`` is null where it equals ``key``.
+_ROWS = StructType([StructField(c, LongType()) for c in ("key", "doc_id", "hash")])
 
 
 def _window_rows(width: int, buffer: int):
-    """(key, hash, doc_id, known) once per document and window.
+    """(key, doc_id, hash) once per document and window.
 
     Of a buffer's documents with the same window only the smallest goes on to be
     compared under that window's hash, so a window shared by very many documents
     sends a row per buffer; the larger ones are known to lose it and are spread.
+    Rows keep the order of the documents, in which ids repeat and compress well.
     """
 
     def flush(hashes: list[np.ndarray], docs: list[np.ndarray]) -> pa.RecordBatch:
         h, d = np.concatenate(hashes), np.concatenate(docs)
         order = np.lexsort((d, h))
-        h, d = h[order], d[order]
+        by_hash, by_doc = h[order], d[order]
         new_hash = np.ones(len(h), bool)
-        new_hash[1:] = h[1:] != h[:-1]
+        new_hash[1:] = by_hash[1:] != by_hash[:-1]
         once = new_hash.copy()
-        once[1:] |= d[1:] != d[:-1]
-        least = d[np.flatnonzero(new_hash)][np.cumsum(new_hash) - 1]
-        h, d, known = h[once], d[once], (d > least)[once]
+        once[1:] |= by_doc[1:] != by_doc[:-1]
+        least = by_doc[np.flatnonzero(new_hash)][np.cumsum(new_hash) - 1]
+        kept, known = np.zeros(len(h), bool), np.zeros(len(h), bool)
+        kept[order[once]] = True
+        known[order[by_doc > least]] = True
+        h, d, known = h[kept], d[kept], known[kept]
         key = np.where(known, mix(h ^ mix(d.view(np.uint64))), h)
-        arrays = (key.view(np.int64), h.view(np.int64), d, known.astype(np.int64))
-        return pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], schema=to_arrow(_ROWS))
+        arrays = [pa.array(key.view(np.int64)), pa.array(d), pa.array(h.view(np.int64), mask=~known)]
+        return pa.RecordBatch.from_arrays(arrays, schema=to_arrow(_ROWS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, docs, held = [], [], 0
@@ -79,7 +84,8 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH, buffer: int = BUFFER_W
     """(doc_id, hash) of each window that also starts in a document with a smaller doc_id."""
     rows = docs.select("doc_id", "text").mapInArrow(_window_rows(width, buffer), _ROWS)
     first = F.min("doc_id").over(Window.partitionBy("key"))
-    return rows.withColumn("first", first).where("known = 1 OR doc_id > first").select("doc_id", "hash")
+    lost = rows.withColumn("first", first).where("hash IS NOT NULL OR doc_id > first")
+    return lost.select("doc_id", F.coalesce("hash", "key").alias("hash"))
 
 
 def _cut(width: int):
