@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import packing, partenum, substring
+from tickloom.llm import packing, partenum, substring, toxicity
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents predicted toxic go; the classifier learns from the labels of ``sf_dir``."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.drop(docs, toxicity.train(docs, labels))
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
