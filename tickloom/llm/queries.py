@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import packing, partenum, quality, substring, toxicity
+from tickloom.llm import decontaminate, packing, partenum, quality, substring, toxicity
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,6 +18,12 @@ def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """A row per contaminated document and item; a document's equal rows give one."""
+    found = decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.groupBy("doc_id", "item_id").agg(F.max("n_covered").alias("n_covered"), F.max("n_item_words").alias("n_item_words"))
+
+
 def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cut = substring.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))

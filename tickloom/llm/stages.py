@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import packing, partenum, substring, toxicity
+from tickloom.llm import decontaminate, packing, partenum, substring, toxicity
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,6 +33,11 @@ def _with_text(rows: DataFrame, docs: DataFrame, changed, text) -> DataFrame:
     return rows.select(*(F.when(changed, columns[c]).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in docs.columns))
 
 
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold an item of the benchmark of ``sf_dir`` go."""
+    return decontaminate.drop(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences of 1024 tokens."""
     return packing.pack(docs)
