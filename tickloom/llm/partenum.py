@@ -7,10 +7,12 @@ words the whole sequence is the one shingle).  Two documents link when 100 * |A
 Sizes fall into bands [l, floor(l * 100 / percent)], so linked sets lie in the same
 or in adjacent bands.  A set signs for its own band and for the one below.  For a
 band with greatest size r, two sets that link differ in at most k shingles, so if the
-domain is cut into k + 1 parts, at least one part of both is equal (subsets of one
-part out of k + 1 are enumerated).  An empty part says nothing, so it is signed
-together with each part of a second, independent partition, where one must be equal
-again.  So every pair that links shares a signature.
+domain is cut into k + 1 + m parts, at least m + 1 parts of both are equal.  Signatures
+are the single parts, enumerated.  Parts with fewer than two shingles say little: a set
+with at most m of them signs only the others, and still one equal part is among those.
+A set with more signs parts of one shingle as well; one with more than m empty parts
+signs the empty parts too, each with every part of a second, independent partition, where
+one must be equal again.  So every pair that links shares a signature.
 
 Documents with equal sets form one class, and all else runs on classes.  A signature
 with few classes gives all its pairs.  One with many gives only pairs with a leader,
@@ -40,6 +42,8 @@ from tickloom.llm.text import mix, mix_one, shingle_sets
 
 SHINGLE = 4
 PERCENT = 85
+#: Parts beyond k + 1, as a share of them.
+SPARE = 0.06
 #: Signatures shared by at most so many classes give all their pairs.
 SMALL = 12
 #: Leaders that are tried before all pairs of separate classes are.
@@ -61,30 +65,33 @@ class Bands:
 
     def __init__(self, percent: int):
         self.percent, self._source = percent, bands(percent)
-        self.lows: list[int] = []
         self.highs: list[int] = []
+        self._parts: dict[int, tuple[int, int, np.ndarray]] = {}
 
     def band(self, size: int) -> int:
         while not self.highs or self.highs[-1] < size:
-            low, high = next(self._source)
-            self.lows.append(low)
-            self.highs.append(high)
+            self.highs.append(next(self._source)[1])
         return int(np.searchsorted(self.highs, size))
 
-    def parts(self, band: int) -> int:
-        """k + 1, for sets r of this band and s of at most r * 100 / percent.
+    def parts(self, band: int) -> tuple[int, int, np.ndarray]:
+        """k + 1 + m, m, and where the parts of the hashes begin; a part is a range of hashes.
 
-        |r ^ s| <= (100 - p) / (100 + p) * (|r| + |s|) <= |r| * (100 - p) / p.
+        For sets r of this band and s of at most r * 100 / percent,
+        |r ^ s| <= (100 - p) / (100 + p) * (|r| + |s|) <= |r| * (100 - p) / p = k.
         """
-        return self.highs[band] * (100 - self.percent) // self.percent + 1
-
-
-def _contents(shingles: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and size of each part of a sorted set; parts are ranges of the hash."""
-    edges = np.array([(j << 64) // parts for j in range(1, parts)], _U)
-    cuts = np.zeros(parts + 1, np.int64)
-    cuts[1:-1] = np.searchsorted(shingles, edges)
-    cuts[-1] = len(shingles)
+        found = self._parts.get(band)
+        if found is None:
+            least = self.highs[band] * (100 - self.percent) // self.percent + 1
+            spare = round(SPARE * least) + 1 if least > 8 else 0
+            parts = least + spare
+            edges = np.array([(j << 64) // parts for j in range(1, parts)], _U)
+            found = self._parts[band] = (parts, spare, edges)
+        return found
+
+
+def _contents(shingles: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and size of each part of a sorted set."""
+    cuts = np.concatenate(([0], np.searchsorted(shingles, edges), [len(shingles)]))
     sums = np.zeros(len(shingles) + 1, _U)
     np.cumsum(mix(shingles ^ _U(0xA5A5A5A5A5A5A5A5)), out=sums[1:])
     sizes = np.diff(cuts)
@@ -98,16 +105,20 @@ def signatures(shingles: np.ndarray, limits: Bands) -> np.ndarray:
     own = limits.band(len(shingles))
     found, second = [], None
     for band in range(max(0, own - 1), own + 1):
-        parts = limits.parts(band)
-        hashes, sizes = _contents(shingles, parts)
+        parts, spare, edges = limits.parts(band)
+        hashes, sizes = _contents(shingles, edges)
         place = mix(np.arange(parts, dtype=_U) + _U(mix_one(band + 1)))
         signed = mix(hashes ^ place)
+        if int((sizes < 2).sum()) <= spare:
+            found.append(signed[sizes > 1])
+            continue
         found.append(signed[sizes > 0])
-        for empty in np.flatnonzero(sizes == 0):
+        empty = np.flatnonzero(sizes == 0)
+        if len(empty) > spare:
             if second is None:
                 second = np.sort(mix(shingles + _U(0x51ED270B9F3C4D21)))
-            again, _ = _contents(second, parts)
-            found.append(mix(mix(again ^ place) + signed[empty]))
+            again, _ = _contents(second, edges)
+            found += [mix(mix(again ^ place) + signed[e]) for e in empty]
     return np.concatenate(found)
 
 

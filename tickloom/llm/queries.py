@@ -7,17 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import decontaminate, packing, partenum, quality, substring, toxicity
+from tickloom.llm import decontaminate, html, packing, partenum, quality, substring, toxicity, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html.extract(table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op2_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.read(warc.write(table(spark, folder, "pages"))).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """A row per contaminated document and item; a document's equal rows give one."""
     found = decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
