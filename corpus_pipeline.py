@@ -15,8 +15,11 @@ from tickloom.llm import stages
 from tickloom.llm.store import staged
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", stages.drop_toxic),
     ("ngram_jaccard_join", stages.keep_one_of_near_copies),
     ("substring_dedup", stages.cut_repeats),
+    ("benchmark_decontamination", stages.drop_contaminated),
+    ("best_fit_packing", stages.pack),
 ]
 
 #: Classifier, templates and tokenizer have no SQL form; the tests hold the rows against brute force.

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import decontaminate, html, packing, partenum, quality, substring, toxicity, warc
+from tickloom.llm import chat, decontaminate, html, packing, partenum, quality, rules, substring, toxicity, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -26,6 +26,14 @@ def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.read(warc.write(table(spark, folder, "pages"))).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op4_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    said = F.lit("</s>[INST] ok [/INST]")
+    # Conversation -1, once: its two turns from the head of a range.
+    own = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), said.alias("text"))
+    return chat.digests(chat.format_conversations(rows.unionByName(own)))
+
+
 def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """A row per contaminated document and item; a document's equal rows give one."""
     found = decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
@@ -37,6 +45,10 @@ def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return rules.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
