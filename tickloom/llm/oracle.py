@@ -37,5 +37,43 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
 """
 
 
+# Five bits of a SHA-1 at a time: a group of five hex digits holds four letters.
+OP3 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+h AS (SELECT page_id, strlen(t) AS n, sha1(t) AS x FROM p),
+b AS (SELECT page_id, n, x, list_transform(range(0, 8), i -> ('0x' || substr(x, CAST(5 * i + 1 AS INT), 5))::BIGINT) AS g FROM h),
+d AS (SELECT page_id, n, x, array_to_string(list_transform(range(0, 32),
+        k -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(((g[CAST(k // 4 + 1 AS INT)] >> CAST(15 - 5 * (k % 4) AS INT)) & 31) + 1 AS INT), 1)), '') AS payload_digest FROM b),
+f AS (SELECT x, min(page_id) AS first FROM d GROUP BY x)
+SELECT d.page_id, d.n AS payload_bytes, d.payload_digest,
+  CASE WHEN d.page_id = f.first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN d.page_id <> f.first THEN f.first END AS refers_to
+FROM d JOIN f USING (x)
+"""
+
+# A text grows by one for each backslash, < and [ that is escaped; a run of one role has one opening and one end.
+OP4 = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+t AS (
+  SELECT *, length(text) + length(regexp_replace(text, '[^\\<\[]', '', 'g')) AS n,
+    length(role) + length(regexp_replace(role, '[^\\<\[\n]', '', 'g')) AS r,
+    role IS NOT DISTINCT FROM lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS goes_on
+  FROM c)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(CASE WHEN goes_on THEN n + 10 ELSE n + r + 24 END)::BIGINT AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+
 def all_oracles() -> dict[str, str]:
-    return {"op6_substring_dedup": OP6, "op10_ngram_jaccard_join": OP10}
+    return {
+        "op3_warc": OP3,
+        "op4_chat_formatting": OP4,
+        "op6_substring_dedup": OP6,
+        "op10_ngram_jaccard_join": OP10,
+    }

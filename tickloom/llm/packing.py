@@ -2,8 +2,8 @@
 
 Hierarchical: each task packs the pieces of its documents by best fit (largest first,
 into the fullest bin that takes it) and passes on bins with at most ``slack`` free
-tokens.  The other bins are items of the next round, in an eighth of the tasks and
-never more than ``round_items`` to a task, until one task has held all that are left
+tokens.  The other bins are items of the next round (one below three quarters is taken
+apart into its pieces), in an eighth of the tasks and never more than ``round_items`` to a task, until one task has held all that are left
 or a round merges less than a hundredth.  Only piece lengths and checksums move, not
 token ids, unless they are asked for.
 
@@ -180,10 +180,17 @@ def _merged(capacity: int, with_ids: bool):
             return
         rows = pa.Table.from_batches(held).combine_chunks()
         listed = rows.column("pieces").chunk(0)
-        starts = listed.offsets.to_numpy()
-        bins = best_fit(rows.column("filled").to_pylist(), capacity)
-        order = np.concatenate([np.arange(starts[i], starts[i + 1]) for b in bins for i in b])
-        counts = [int(sum(starts[i + 1] - starts[i] for i in b)) for b in bins]
+        starts, filled = listed.offsets.to_numpy(), rows.column("filled").to_numpy()
+        lengths = listed.values.field("length").to_numpy()
+        # A bin that is far from full gives its pieces back, since smaller items fit better.
+        whole = np.repeat(filled * 4 >= 3 * capacity, np.diff(starts))
+        first = np.ones(len(lengths), bool)
+        first[whole] = False
+        first[starts[:-1]] = True
+        edges = np.r_[np.flatnonzero(first), len(lengths)]
+        bins = best_fit(np.add.reduceat(lengths, edges[:-1]).tolist(), capacity)
+        order = np.concatenate([np.arange(edges[i], edges[i + 1]) for b in bins for i in b])
+        counts = [int(sum(edges[i + 1] - edges[i] for i in b)) for b in bins]
         yield _binned(listed.values.take(pa.array(order)), counts, types)
 
     return run
