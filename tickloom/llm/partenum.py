@@ -14,11 +14,14 @@ A set with more signs parts of one shingle as well; one with more than m empty p
 signs the empty parts too, each with every part of a second, independent partition, where
 one must be equal again.  So every pair that links shares a signature.
 
-Documents with equal sets form one class, and all else runs on classes.  A signature
-with few classes gives all its pairs.  One with many gives only pairs with a leader,
-the class in most of the large signatures; pairs are verified on the exact sets,
-linked classes merge, and only pairs of still separate classes are looked at again.
-Links inside a component are not all listed, but none that joins two is lost.
+Documents with equal sets form one class, and all else runs on classes.  A class also
+has a sketch: the parities of its shingles in 512 cells.  Sets that link differ in at
+most (100 - p) / (100 + p) * (|r| + |s|) shingles and so in no more cells, so most pairs
+that only share a signature end in the join.  The others are verified on the exact sets.
+A signature with few classes gives all its pairs.  One with many first gives only pairs
+with leaders, the classes in most of the large signatures; linked classes merge, and then
+pairs of still separate classes are looked at.  Links inside a component are not all
+listed, but none that joins two is lost.
 
 Null or blank text: n_shingles 0, linked with nothing.  Null doc_id: counted, never
 linked, component_id null.  Rows that share a doc_id are told apart by their sets; an
@@ -46,8 +49,8 @@ PERCENT = 85
 SPARE = 0.06
 #: Signatures shared by at most so many classes give all their pairs.
 SMALL = 12
-#: Leaders that are tried before all pairs of separate classes are.
-LEADER_ROUNDS = 2
+#: 64-bit words of a sketch.
+SKETCH = 8
 
 _U = np.uint64
 
@@ -131,7 +134,13 @@ def set_id(shingles: np.ndarray) -> int:
     return mix_one(total) or 1
 
 
-_SETS = StructType([StructField("doc_id", LongType()), StructField("n_shingles", LongType()), StructField("class", LongType()), StructField("signatures", ArrayType(LongType()))])
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """Parities of the numbers of shingles in each of 64 * SKETCH cells."""
+    cells = (mix(shingles ^ _U(0x1F83D9ABFB41BD6B)) & _U(64 * SKETCH - 1)).astype(np.int64)
+    return np.packbits((np.bincount(cells, minlength=64 * SKETCH) & 1).astype(np.uint8)).view(np.int64)
+
+
+_SETS = StructType([StructField("doc_id", LongType()), StructField("n_shingles", LongType()), StructField("class", LongType()), StructField("signatures", ArrayType(LongType())), StructField("sketch", ArrayType(LongType()))])
 _MEMBER = StructType([StructField("class", LongType()), StructField("shingles", ArrayType(LongType()))])
 _LINK = StructType([StructField("a", LongType()), StructField("b", LongType())])
 
@@ -146,7 +155,7 @@ def _set_rows(shingle: int, percent: int):
         for batch in batches:
             for lo in range(0, batch.num_rows, 1000):
                 part = batch.slice(lo, 1000)
-                sizes, names, signed = [], [], []
+                sizes, names, signed, sketches = [], [], [], []
                 for s, doc in zip(shingle_sets(part.column(1), shingle), part.column(0).to_pylist(), strict=True):
                     name = _signed(set_id(s))
                     sizes.append(len(s))
@@ -154,10 +163,12 @@ def _set_rows(shingle: int, percent: int):
                     # A task signs an equal set again only for a smaller id, which may be the class's least.
                     if doc is None or name == 0 or seen.get(name, doc + 1) <= doc:
                         signed.append(None)
+                        sketches.append(None)
                     else:
                         seen[name] = doc
                         signed.append(signatures(s, limits).view(np.int64))
-                columns = [part.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), pa.array(signed, types.field(3).type)]
+                        sketches.append(sketch(s))
+                columns = [part.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), pa.array(signed, types.field(3).type), pa.array(sketches, types.field(4).type)]
                 yield pa.RecordBatch.from_arrays(columns, schema=types)
 
     return run
@@ -201,12 +212,19 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(_verified(percent), _LINK)
 
 
-def _pairs(left: DataFrame, right: DataFrame, by: str) -> DataFrame:
-    """Distinct pairs (a < b) of classes of two tables that meet in ``by``."""
-    x = left.select(by, F.col("class").alias("x"))
-    y = right.select(by, F.col("class").alias("y"))
-    met = x.join(y, by).where("x != y")
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+def _like(percent: int):
+    """Whether classes x and y may link, by sizes and sketches."""
+    cells = sum((F.bit_count(F.col(f"x.k{i}").bitwiseXOR(F.col(f"y.k{i}"))) for i in range(SKETCH)), F.lit(0))
+    sizes = F.col("x.size") + F.col("y.size")
+    near = 100 * F.least("x.size", "y.size") >= percent * F.greatest("x.size", "y.size")
+    return near & ((100 + percent) * cells <= (100 - percent) * sizes)
+
+
+def _pairs(x: DataFrame, y: DataFrame, percent: int, apart=None) -> DataFrame:
+    """Distinct pairs (a < b) of classes that share a signature, may link and are ``apart``."""
+    met = (F.col("x.signature") == F.col("y.signature")) & (F.col("x.class") != F.col("y.class")) & _like(percent)
+    joined = x.alias("x").join(y.alias("y"), met if apart is None else met & apart)
+    return joined.select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
 
 
 def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -215,57 +233,68 @@ def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
     return members.join(found, "class", "left").withColumn("component", F.coalesce("component", "class"))
 
 
-def link_classes(sets: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) that make the components of all links, from signature members (signature, class, n)."""
-    small = members.where(F.col("n") <= SMALL)
-    large = members.where(F.col("n") > SMALL)
-    links = staged(_links(_pairs(small, small, "signature").where("a < b"), sets, percent), "links")
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after more links."""
+    return components(labels.select(F.col("vertex").alias("a"), F.col("component").alias("b")).union(links))
+
+
+def link_components(members: DataFrame, sets_of, percent: int) -> DataFrame:
+    """(vertex, component) of all links of signature members (signature, class, n, size, sketch).
+
+    ``sets_of`` gives the exact sets of a table of classes.
+    """
+    small, large = members.where(F.col("n") <= SMALL), members.where(F.col("n") > SMALL)
+    pairs = staged(_pairs(small, small, percent, F.col("x.class") < F.col("y.class")), "pairs")
+    wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).union(large.select("class"))
+    sets = staged(sets_of(wanted.distinct()), "shingles")
     if large.isEmpty():
-        return links
+        return components(staged(_links(pairs, sets, percent), "links"))
     support = large.groupBy("class").agg(F.sum("n").alias("support"))
     large = staged(large.join(support, "class"), "large")
-    for _ in range(LEADER_ROUNDS):
-        labelled = _labelled(large, components(links))
-        split = labelled.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        open_ = labelled.join(split.where("low < high").select("signature"), "signature")
-        # Components of a signature by size; then the best supported class outside of the largest leads.
-        ranked = open_.groupBy("signature", "component").agg(F.count("*").alias("size"), F.max(F.struct("support", "class")).alias("best"))
-        order = F.struct("size", "component")
-        top = ranked.groupBy("signature").agg(F.max(F.struct(order.alias("o"), "best")).alias("t"))
-        ranked = ranked.join(top, "signature")
-        rest = ranked.where(F.col("component") != F.col("t.o.component")).groupBy("signature").agg(F.max("best").alias("best"))
-        first = top.select("signature", F.col("t.best.class").alias("class"))
-        leaders = staged(first.union(rest.select("signature", F.col("best.class").alias("class"))), "leaders")
-        lead = _labelled(leaders, components(links)).select("signature", F.col("class").alias("x"), F.col("component").alias("cx"))
-        met = open_.join(lead, "signature").where("component != cx").select(F.least("class", "x").alias("a"), F.greatest("class", "x").alias("b")).distinct()
-        links = staged(links.union(_links(met, sets, percent)), "links")
-    # What is still apart within a signature: every class outside of the signature's largest component
-    # meets the signature's other components; a group of signatures with the same largest one is taken together.
-    labelled = staged(_labelled(large, components(links)), "labelled")
-    sizes = labelled.groupBy("signature", "component").agg(F.count("*").alias("size"))
-    top = sizes.groupBy("signature").agg(F.max(F.struct("size", "component")).alias("t"), F.count("*").alias("parts")).where("parts > 1")
-    grouped = labelled.join(top.select("signature", F.col("t.component").alias("main")), "signature")
-    outside = grouped.where("component != main").select("main", "class", "component").distinct()
-    inside = grouped.select("main", F.col("class").alias("y"), F.col("component").alias("cy")).distinct()
-    met = outside.join(inside, "main").where("component != cy").select(F.least("class", "y").alias("a"), F.greatest("class", "y").alias("b")).distinct()
-    return staged(links.union(_links(met, sets, percent)), "links")
+    best = F.max(F.struct("support", "class")).alias("best")
+    leaders = large.groupBy("signature").agg(best).select("signature", F.col("best.class").alias("class"))
+    led = _pairs(large.join(leaders, ["signature", "class"], "left_semi"), large, percent)
+    labels = components(staged(_links(pairs.union(led).distinct(), sets, percent), "links"))
+    # Signatures whose classes are not one component yet: the best class outside of the largest component leads,
+    # then whatever is outside of it meets all that is apart from it.
+    for last in (False, True):
+        labelled = staged(_labelled(large, labels), "labelled")
+        sizes = labelled.groupBy("signature", "component").agg(F.count("*").alias("count"), best)
+        largest = sizes.groupBy("signature").agg(F.max(F.struct("count", "component")).alias("t"), F.count("*").alias("parts")).where("parts > 1")
+        largest = staged(largest.select("signature", F.col("t.component").alias("main")), "main")
+        if largest.isEmpty():
+            return labels
+        outside = labelled.join(largest, "signature").where("component != main")
+        if not last:
+            leaders = outside.groupBy("signature").agg(best).select("signature", F.col("best.class").alias("class"))
+            outside = outside.join(leaders, ["signature", "class"], "left_semi")
+        inside = labelled.join(largest.select("signature"), "signature", "left_semi")
+        apart = F.col("x.component") != F.col("y.component")
+        labels = _joined(labels, staged(_links(_pairs(outside, inside, percent, apart), sets, percent), "links"))
+    return labels
 
 
 def near_copies(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """A row per document: doc_id, n_shingles, class (64-bit name of its set), component (a class of its group) and component_id."""
     rows = staged(docs.select("doc_id", "text").mapInArrow(_set_rows(shingle, percent), _SETS), "sets")
-    classes = rows.where("class != 0 AND doc_id IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("least"))
+    known = rows.where("class != 0 AND doc_id IS NOT NULL")
+    classes = known.groupBy("class").agg(F.min("doc_id").alias("least"), F.max("n_shingles").alias("size"), F.max("sketch").alias("sketch"))
+    classes = staged(classes.select("class", "least", "size", *(F.col("sketch")[i].alias(f"k{i}") for i in range(SKETCH))), "classes")
     signed = rows.where("signatures IS NOT NULL").join(classes.select("class", F.col("least").alias("doc_id")), ["class", "doc_id"], "left_semi")
     spread = signed.select("class", F.explode("signatures").alias("signature"))
     n = F.count("*").over(Window.partitionBy("signature"))
     # A class whose least document comes in several rows is once in a signature.
-    members = staged(spread.withColumn("n", n).where("n > 1").dropDuplicates(["signature", "class"]), "members")
-    wanted = staged(members.select("class").distinct().join(classes, "class"), "wanted")
-    texts = docs.join(wanted.select(F.col("least").alias("doc_id")).distinct(), "doc_id", "left_semi").select("text")
-    found = texts.mapInArrow(_shingle_rows(shingle), _MEMBER).join(wanted.select("class"), "class", "left_semi")
-    sets = staged(found.dropDuplicates(["class"]), "shingles")
-    labels = components(link_classes(sets, members, percent))
-    named = _labelled(classes, labels)
+    members = spread.withColumn("n", n).where("n > 1").dropDuplicates(["signature", "class"])
+    members = staged(members.join(classes.drop("least"), "class"), "members")
+
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        chosen = staged(wanted.join(classes, "class").select("class", "least"), "wanted")
+        texts = docs.join(chosen.select(F.col("least").alias("doc_id")).distinct(), "doc_id", "left_semi").select("text")
+        found = texts.mapInArrow(_shingle_rows(shingle), _MEMBER).join(chosen.select("class"), "class", "left_semi")
+        return found.dropDuplicates(["class"])
+
+    labels = link_components(members, sets_of, percent)
+    named = _labelled(classes.select("class", "least"), labels)
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     named = named.join(least, "component").select("class", "component", "component_id")
     joined = rows.drop("signatures").join(named, "class", "left")
