@@ -41,9 +41,10 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
 OP3 = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
 h AS (SELECT page_id, strlen(t) AS n, sha1(t) AS x FROM p),
-b AS (SELECT page_id, n, x, list_transform(range(0, 8), i -> ('0x' || substr(x, CAST(5 * i + 1 AS INT), 5))::BIGINT) AS g FROM h),
-d AS (SELECT page_id, n, x, array_to_string(list_transform(range(0, 32),
-        k -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(((g[CAST(k // 4 + 1 AS INT)] >> CAST(15 - 5 * (k % 4) AS INT)) & 31) + 1 AS INT), 1)), '') AS payload_digest FROM b),
+b AS (SELECT page_id, n, x, [('0x' || substr(x, CAST(5 * i + 1 AS INT), 5))::BIGINT FOR i IN range(0, 8)] AS g FROM h),
+d AS (SELECT page_id, n, x, array_to_string([
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(((g[CAST(k // 4 + 1 AS INT)] >> CAST(15 - 5 * (k % 4) AS INT)) & 31) + 1 AS INT), 1)
+        FOR k IN range(0, 32)], '') AS payload_digest FROM b),
 f AS (SELECT x, min(page_id) AS first FROM d GROUP BY x)
 SELECT d.page_id, d.n AS payload_bytes, d.payload_digest,
   CASE WHEN d.page_id = f.first THEN 'response' ELSE 'revisit' END AS record_type,
