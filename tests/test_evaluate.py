@@ -102,37 +102,37 @@ def test_weights_are_taken_as_they_are(spark):
 
 
 def published(spark):
-    rows = [("AAPL", "SVR", "99.84%"), ("AAPL", "XGBoost", "99.85%"), ("TSLA", "SVR", "1.00%")]
+    rows = [("QRST", "SVR", "71.25%"), ("QRST", "XGBoost", "64.50%"), ("UVWX", "SVR", "1.00%")]
     return spark.createDataFrame(rows, "ticker string, model string, accuracy string")
 
 
 def test_metrics_lookup_in_json_lines(spark, tmp_path):
     path = str(tmp_path / "metrics")
-    before = serve.metrics_lookup(spark, path, "aapl").collect()
+    before = serve.metrics_lookup(spark, path, "qrst").collect()
     assert len(before) == 6 and {r.accuracy for r in before} == {"N/A"}
-    assert {r.ticker for r in before} == {"AAPL"}
+    assert {r.ticker for r in before} == {"QRST"}
     metrics.write_metrics(published(spark), path)
-    got = {(r.ticker, r.model, r.accuracy) for r in serve.metrics_lookup(spark, path, "aapl").collect()}
-    assert got == {("AAPL", "SVR", "99.84%"), ("AAPL", "XGBoost", "99.85%")}
+    got = {(r.ticker, r.model, r.accuracy) for r in serve.metrics_lookup(spark, path, "qrst").collect()}
+    assert got == {("QRST", "SVR", "71.25%"), ("QRST", "XGBoost", "64.50%")}
     assert serve.metrics_lookup(spark, path, "INFY").collect() == []
 
 
 def test_metrics_lookup_in_a_nested_document(spark, tmp_path):
     path = tmp_path / "metrics.json"
-    path.write_text('{\n "AAPL": {"SVR": "99.84%", "XGBoost": "99.85%"},\n "TSLA": {"SVR": "1.00%"}\n}')
+    path.write_text('{\n "QRST": {"SVR": "71.25%", "XGBoost": "64.50%"},\n "UVWX": {"SVR": "1.00%"}\n}')
     read = metrics.read_metrics_document(spark, str(path))
     assert {tuple(r) for r in read.collect()} == {tuple(r) for r in published(spark).collect()}
-    got = serve.metrics_lookup(spark, str(path), "tsla").collect()
-    assert [tuple(r) for r in got] == [("TSLA", "SVR", "1.00%")]
+    got = serve.metrics_lookup(spark, str(path), "uvwx").collect()
+    assert [tuple(r) for r in got] == [("UVWX", "SVR", "1.00%")]
     path.write_text("{ not json")
-    got = serve.metrics_lookup(spark, str(path), "tsla").collect()
-    assert [tuple(r) for r in got] == [("TSLA", None, "error")]
+    got = serve.metrics_lookup(spark, str(path), "uvwx").collect()
+    assert [tuple(r) for r in got] == [("UVWX", None, "error")]
 
 
 def test_metrics_of_many_tickers(spark):
-    asked = spark.createDataFrame([("aapl",), ("infy",), ("AAPL",)], "ticker string")
+    asked = spark.createDataFrame([("qrst",), ("infy",), ("QRST",)], "ticker string")
     got = serve.metrics_of(published(spark), asked).collect()
-    assert sorted(r.ticker for r in got) == ["AAPL"] * 2 + ["INFY"] * 6
+    assert sorted(r.ticker for r in got) == ["INFY"] * 6 + ["QRST"] * 2
 
 
 def test_band_and_direction(spark):

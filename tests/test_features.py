@@ -83,10 +83,44 @@ def test_cells_hold_runs_of_the_series_and_are_small(make_ticks):
     assert all(a[-1] < b[0] for a, b in zip(runs, runs[1:]))
 
 
-def test_copies_without_a_seq_of_their_own_are_refused(make_ticks):
-    ticks = make_ticks([("A", 1.0, 7, 5.0, 1)] * 50)
-    with pytest.raises(ValueError, match="seq"):
-        features(ticks, max_rows=10)
+def test_equal_keys_give_the_same_rows_at_every_size(make_ticks):
+    rows = [("A", 1.0, 7, float(i % 9), 1) for i in range(50)] + [("A", 2.0 + i, i, 5.0, i) for i in range(40)]
+    ticks = make_ticks(rows).repartition(5)
+    got = [sorted(map(tuple, features(ticks, max_rows=m).collect())) for m in (10, 10_000)]
+    assert got[0] == got[1] and len(got[0]) > 30
+    numbers = [sorted(map(tuple, series.number_rows(ticks, m).collect())) for m in (10, 10_000)]
+    assert numbers[0] == numbers[1] and len(numbers[0]) == 90
+
+
+def test_ticks_without_seq_are_refused_at_every_size(make_ticks):
+    ticks = make_ticks(walk("A", 30) + [("A", 100.0, None, 5.0, 1)])
+    jobs = [lambda m=m, f=f: f(ticks, max_rows=m).collect() for m in (5, 10_000) for f in (features, series.number_rows)]
+    jobs += [lambda n=n: clean.last_n(ticks, n).collect() for n in (3, 2_000)]
+    jobs += [lambda: clean.latest(ticks).collect(), lambda: clean.first_per_time(ticks).collect()]
+    for job in jobs:
+        with pytest.raises(Exception, match="seq"):
+            job()
+
+
+def test_rows_without_a_time_are_no_part_of_a_series(make_ticks):
+    ticks = make_ticks(walk("A", 30) + [("A", None, 99, 5.0, 1), (None, 1.0, 98, 5.0, 1)])
+    assert {clean.last_n(ticks, n).count() for n in (1000, 1001)} == {30}
+    assert clean.latest(ticks).count() == 1
+
+
+def test_one_stale_ticker_does_not_widen_the_scan(make_ticks, spark, tmp_path):
+    day = 24 * 60
+    rows = [("OLD", float(i), i, 1.0, 1) for i in range(30)]
+    rows += [("NEW", float(d * day + i), d * 100 + i, 1.0, 1) for d in range(1, 900) for i in range(2)]
+    path = str(tmp_path / "lake")
+    make_ticks(rows).repartitionByRange(60, "event_time").write.parquet(path)
+    ticks = spark.read.parquet(path)
+    ranges = series.day_ranges(spark.createDataFrame([(20_000, 20_000), (20_898, 20_899)], "low long, high long"))
+    assert ranges == [(20_000, 20_000), (20_898, 20_899)]
+    assert series.day_ranges(spark.createDataFrame([(i * 2, i * 2) for i in range(40)] + [(500, 501)], "low long, high long"), 2) == [(0, 78), (500, 501)]
+    assert {(r.ticker, r.seq) for r in clean.latest(ticks).collect()} == {("OLD", 29), ("NEW", 89_901)}
+    read = series.in_days(ticks, series.day_ranges(ticks.groupBy("ticker").agg(F.max(series.day_number(ticks)).alias("high")).select(F.col("high").alias("low"), "high")))
+    assert read.select(F.input_file_name()).distinct().count() <= 4
 
 
 def test_row_numbers_by_cells(make_ticks):

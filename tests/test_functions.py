@@ -62,7 +62,6 @@ def test_names(spark):
     assert one(spark, parts).asDict() == {"ticker": "AAPL", "slug": "random_forest"}
     assert one(spark, scalar.display_name(F.lit("ensemble"))) == "Stacking Ensemble"
     assert one(spark, scalar.display_name(F.lit("linear_regression"))) == "Linear Regression"
-    assert one(spark, scalar.model_slug(F.lit("Random Forest"))) == "random_forest"
     assert one(spark, scalar.topic_of(F.lit("aapl"), "stock_")) == "stock_AAPL"
 
 

@@ -6,7 +6,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from tickloom.operators import clean, ensemble, regress, split
+from tickloom.operators import clean, ensemble, regress, scoring, split
 from tickloom.operators.evaluate import evaluate
 from tickloom.operators.features import TRAINING, features
 from tickloom.plans import serve, train
@@ -89,7 +89,7 @@ def trained(rows, tmp_path_factory):
     try:
         yield train.train_models(rows, folder, models, at_least=10)
     finally:
-        del regress.ESTIMATORS["Broken"]
+        regress.ESTIMATORS.pop("Broken", None)
 
 
 def test_registry_tells_what_happened(trained):
@@ -120,33 +120,55 @@ def test_spark_ml_and_aggregate_fits_agree(trained, rows):
         assert row.mae == pytest.approx(want[row.ticker], rel=1e-3)
 
 
+def requests_of(rows, *models):
+    latest = clean.last_n(rows, 1).where("ticker = 'AAPL'").select(F.lower("ticker").alias("ticker"), *FEATURES)
+    return latest.withColumn("model", F.explode(F.array(*(F.lit(m).cast("string") for m in models))))
+
+
 def test_saved_models_answer_requests(spark, trained, rows):
-    registry = trained.registry()
-    registry = registry.unionByName(
-        spark.createDataFrame([("X", "Y", "/nowhere", "ok")], registry.schema)
-    )
-    models, bad = train.load_models(registry)
-    assert len(models) == 6 and [path for path, _ in bad] == ["/nowhere"]
-    latest = clean.last_n(rows, 1).where("ticker = 'AAPL'")
-    asked = latest.select(F.lower("ticker").alias("ticker"), *FEATURES).crossJoin(
-        spark.createDataFrame([("Random Forest",), ("SVR",)], "model string")
-    )
-    lacking = asked.where("model = 'Random Forest'").withColumn("lag2", F.lit(None).cast("double"))
-    answers = train.predict(asked.unionByName(lacking), models)
-    got = sorted((r.model, r.status, r.prediction is not None) for r in answers.collect())
-    assert got == [
+    asked = requests_of(rows, "Random Forest", "SVR", "Nobody", None, " ")
+    plain = asked.where("model = 'Random Forest'")
+    odd = [
+        plain.withColumn("lag2", F.lit(None).cast("double")),
+        plain.withColumn("lag2", F.lit(float("nan"))),
+        plain.withColumn("ticker", F.lit(None).cast("string")),
+    ]
+    for more in odd:
+        asked = asked.unionByName(more)
+    got = scoring.predict(asked, trained.models()).collect()
+    assert sorted((r.model, r.status, r.prediction is not None) for r in got) == [
+        ("Nobody", "not found", False),
         ("Random Forest", "invalid", False),
+        ("Random Forest", "invalid", False),
+        ("Random Forest", "not found", False),
         ("Random Forest", "ok", True),
-        ("SVR", "not found", False),
+        ("SVR", "ok", True),
+        ("Stacking Ensemble", "not found", False),
+        ("Stacking Ensemble", "not found", False),
     ]
-    assert {r.status for r in train.predict(asked, {}).collect()} == {"no models"}
-    banded = serve.with_band(answers.where("status = 'ok'")).first()
+    none = scoring.predict(asked, trained.models().limit(0))
+    assert [r.status for r in none.collect()] == ["no models"] * 8
+    banded = serve.with_band(scoring.predict(plain, trained.models())).first()
     assert banded.confidence_lower < banded.predicted_price < banded.confidence_upper
 
 
+def test_model_rows_predict_as_the_fitted_models_do(spark, trained, rows):
+    direct = trained.predictions()
+    test = direct.select("ticker", "event_time", "seq", "model", F.col("prediction").alias("want"))
+    asked = regress.usable(rows).join(test, ["ticker", "event_time", "seq"])
+    got = scoring.predict(asked, trained.models())
+    assert got.count() == test.count() > 0
+    assert got.where("abs(prediction - want) > 1e-6 OR prediction IS NULL").isEmpty()
+
+
+def test_requests_are_scanned_once_whatever_the_models(trained, rows):
+    asked = requests_of(rows, "Random Forest")
+    plans = [scoring.predict(asked, m)._jdf.queryExecution().optimizedPlan().toString() for m in (trained.models(), trained.models().limit(1))]
+    assert plans[0].count("Join") == plans[1].count("Join")
+
+
 def test_importances_are_ranked(spark, trained):
-    models, _ = train.load_models(trained.registry())
-    ranked = train.feature_importance(spark, models).collect()
+    ranked = train.feature_importance(trained.importances()).collect()
     assert len(ranked) == 2 * len(FEATURES)
     for ticker in ("AAPL", "TSLA"):
         mine = [r.importance for r in ranked if r.ticker == ticker]
@@ -156,8 +178,16 @@ def test_importances_are_ranked(spark, trained):
 
 def test_ensembles(rows, tmp_path):
     bases = ["Linear Regression", "RBF Features"]
-    run = train.train_ensembles(rows, str(tmp_path / "run"), bases, at_least=10)
+    # A folder named like one of the run's own.
+    run = train.train_ensembles(rows, str(tmp_path / "models" / "run"), bases, at_least=13)
     got = run.metrics().collect()
+    status = {(r.ticker, r.model): r.status.split(":")[0] for r in run.registry().collect()}
+    assert status == {(t, m): "skipped" if t == "TINY" else "ok" for t in ("AAPL", "TSLA", "TINY") for m in (*bases, *train.ENSEMBLES)}
+    asked = requests_of(rows, *train.ENSEMBLES, None)
+    assert [r.status for r in scoring.predict(asked, run.models()).collect()] == ["ok"] * 3
+    test = run.predictions().select("ticker", "event_time", "seq", "model", F.col("prediction").alias("want"))
+    saved = scoring.predict(regress.usable(rows).join(test, ["ticker", "event_time", "seq"]), run.models())
+    assert saved.where("abs(prediction - want) > 1e-6 OR prediction IS NULL").isEmpty()
     names = {*bases, "Voting Ensemble", "Stacking Ensemble"}
     assert {(r.ticker, r.model) for r in got} == {(t, m) for t in ("AAPL", "TSLA") for m in names}
     assert all(r.accuracy > 90 for r in got)
@@ -167,6 +197,30 @@ def test_ensembles(rows, tmp_path):
         assert row["Voting Ensemble"] == pytest.approx(mean)
 
 
+def test_runs_without_a_ticker_that_can_be_trained_are_empty(spark, rows, tmp_path):
+    for job, bases in ((train.train_models, ["Linear Regression"]), (train.train_ensembles, ["Linear Regression"])):
+        run = job(rows, str(tmp_path / job.__name__), bases, at_least=10_000)
+        assert run.metrics().isEmpty() and run.models().isEmpty() and run.predictions().isEmpty()
+        assert {r.status for r in run.registry().collect()} == {"skipped: too few rows"}
+
+
+def test_a_failing_base_leaves_the_others(spark, rows, tmp_path):
+    regress.ESTIMATORS["Broken"] = lambda: None
+    try:
+        run = train.train_ensembles(rows, str(tmp_path / "run"), ["Linear Regression", "Broken"], folds=2)
+    finally:
+        regress.ESTIMATORS.pop("Broken", None)
+    status = {r.status.split(":")[0] for r in run.registry().where("model = 'Stacking Ensemble'").collect()}
+    assert status == {"skipped"}
+    assert {r.model for r in run.metrics().collect()} == {"Linear Regression"}
+
+
+def test_a_ticker_shorter_than_the_folds_is_skipped(spark, rows, tmp_path):
+    few = rows.where("ticker != 'TINY' OR seq < 3")
+    run = train.train_ensembles(few, str(tmp_path / "run"), ["Linear Regression"], at_least=1)
+    assert {r.ticker for r in run.metrics().collect()} == {"AAPL", "TSLA"}
+
+
 def test_stacking_is_ridge_over_base_predictions(spark):
     draw = np.random.default_rng(0)
     x = draw.normal(50, 5, (60, 2))

@@ -69,11 +69,6 @@ def topic_of(ticker: Column, prefix: str) -> Column:
     return F.concat(F.lit(prefix), F.upper(ticker))
 
 
-def model_slug(name: Column) -> Column:
-    """``Random Forest`` as ``random_forest``."""
-    return F.replace(F.lower(name), F.lit(" "), F.lit("_"))
-
-
 def split_model_file(name: Column) -> Column:
     """``AAPL_random_forest`` as struct(ticker, slug), cut at the first underscore."""
     parts = F.split(name, "_", 2)

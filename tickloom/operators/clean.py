@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.scalar import zero_or_missing
 from ..schema import FEATURES, MIN_TRAIN_ROWS
 from ..session import durable
-from .series import number_rows, ordered, small_side
+from .series import TIED_ORDER, day_number, day_ranges, in_days, number_rows, numbered, ordered, small_side, tied
+
 
 def one_ticker(df: DataFrame, ticker: str) -> DataFrame:
     """Exact-case equality; prunes partitions when the lake is scanned."""
@@ -31,8 +32,8 @@ def first_per_time(df: DataFrame) -> DataFrame:
     time that repeats without end never meets in one task.
     """
     rest = [name for name in df.columns if name not in ("ticker", "event_time")]
-    first = F.min_by(F.struct(*rest), "seq").alias("_first")
-    kept = df.groupBy("ticker", "event_time").agg(first).select("ticker", "event_time", "_first.*")
+    first = F.min_by(F.struct(*rest), F.struct("seq", "_tie")).alias("_first")
+    kept = tied(numbered(df)).groupBy("ticker", "event_time").agg(first).select("ticker", "event_time", "_first.*")
     return kept.select(*df.columns)
 
 
@@ -51,18 +52,17 @@ def latest(ticks: DataFrame) -> DataFrame:
     """The last tick of every ticker.
 
     The last times come first, from two columns only.  They are then looked up,
-    skipping files that end before the earliest of them.  (Carrying whole rows
+    skipping files without one of their days.  (Carrying whole rows
     through one aggregate would sort all ticks.)
     """
     known = ordered(ticks)
     last = durable(known.groupBy("ticker").agg(F.max("event_time").alias("event_time")))
-    earliest = last.agg(F.min("event_time")).first()[0]
-    if earliest is not None:
-        known = known.where(F.col("event_time") >= F.lit(earliest))
+    day = day_number(last)
+    known = in_days(known, day_ranges(last.select(day.alias("low"), day.alias("high"))))
     rest = [name for name in ticks.columns if name not in ("ticker", "event_time")]
     at_last = known.join(small_side(last), ["ticker", "event_time"])
-    newest = F.max_by(F.struct(*rest), "seq").alias("_newest")
-    found = at_last.groupBy("ticker", "event_time").agg(newest)
+    newest = F.max_by(F.struct(*rest), F.struct("seq", "_tie")).alias("_newest")
+    found = tied(at_last).groupBy("ticker", "event_time").agg(newest)
     return found.select("ticker", "event_time", "_newest.*").select(*ticks.columns)
 
 
@@ -80,9 +80,9 @@ def last_n(df: DataFrame, n: int) -> DataFrame:
         numbered = number_rows(df)
         newest_rows = numbered.where(F.col("row_no") > F.col("series_rows") - n)
         return newest_rows.drop("row_no", "series_rows")
-    newest = Window.partitionBy("ticker").orderBy(F.desc("event_time"), F.desc("seq"))
-    ranked = df.withColumn("_rank", F.row_number().over(newest))
-    return ranked.where(F.col("_rank") <= n).drop("_rank")
+    newest = Window.partitionBy("ticker").orderBy(*(F.desc(k) for k in TIED_ORDER))
+    ranked = tied(ordered(df)).withColumn("_rank", F.row_number().over(newest))
+    return ranked.where(F.col("_rank") <= n).drop("_rank", "_tie")
 
 
 def last_of_series(df: DataFrame, ticker: str, n: int) -> DataFrame:
@@ -91,10 +91,6 @@ def last_of_series(df: DataFrame, ticker: str, n: int) -> DataFrame:
     return newest.orderBy("event_time", "seq")
 
 
-def select_features(df: DataFrame, *extra: str) -> DataFrame:
-    return df.select(*extra, *FEATURES)
-
-
 # Features that fall back to the price, not to 0.
 _PRICE_LIKE = ["MA5", "MA10", "MA20", "rolling_mean"]
 

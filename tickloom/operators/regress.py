@@ -167,24 +167,30 @@ class RbfFeatures:
         vectors = assembler(self.inputs, "raw").transform(train)
         scaler = StandardScaler(inputCol="raw", outputCol="scaled", withMean=True).fit(vectors)
         names = [f"wave{i}" for i in range(self.waves)]
-        waves = SQLTransformer(statement=self._statement(names, scaler.mean, scaler.std))
+        constants = self._waves(scaler.mean, scaler.std)
+        waves = SQLTransformer(statement=self._statement(names, constants))
         rows = max(train.count(), 1)
         line = LinearRegression(
             labelCol=LABEL, regParam=self.ridge / rows, standardization=False, solver="normal"
         )
-        return Pipeline(stages=[waves, assembler(names), line]).fit(train)
+        fitted = Pipeline(stages=[waves, assembler(names), line]).fit(train)
+        fitted.waves = constants
+        return fitted
 
-    def _statement(self, names: list[str], mean, std) -> str:
-        """The waves as SQL; the scaling is worked into their constants.
+    def _waves(self, mean, std) -> list[list[float]]:
+        """Frequencies and shift of each wave; the scaling is worked into them."""
+        draw = np.random.default_rng(SPLIT_SEED)
+        frequency = draw.normal(0, sqrt(2 / len(self.inputs)), (self.waves, len(self.inputs)))
+        shift = draw.uniform(0, 2 * pi, self.waves)
+        slope = frequency * np.array([1 / s if s > 0 else 0.0 for s in std])
+        return np.column_stack([slope, shift - slope @ np.array(mean)]).tolist()
+
+    def _statement(self, names: list[str], waves: list[list[float]]) -> str:
+        """The waves as SQL.
 
         One expression over an array of constants: as hundreds of separate
         terms they would be too much code to compile.
         """
-        draw = np.random.default_rng(SPLIT_SEED)
-        frequency = draw.normal(0, sqrt(2 / len(self.inputs)), (len(names), len(self.inputs)))
-        shift = draw.uniform(0, 2 * pi, len(names))
-        slope = frequency * np.array([1 / s if s > 0 else 0.0 for s in std])
-        waves = np.column_stack([slope, shift - slope @ np.array(mean)]).tolist()
         constants = ", ".join(f"array({', '.join(f'{c!r}D' for c in wave)})" for wave in waves)
         inputs = ", ".join(f"CAST({name} AS DOUBLE)" for name in self.inputs)
         phase = "aggregate(zip_with(w, inputs, (a, b) -> a * b), 0D, (sum, term) -> sum + term)"

@@ -70,9 +70,58 @@ def start_of_day(df: DataFrame, day: int, name: str = "event_time") -> Column:
     return F.timestamp_micros(F.lit(day * _DAY))
 
 
+#: Ranges of days that a scan is bounded by.
+DAY_RANGES = 16
+
+
+def day_ranges(spans: DataFrame, most: int = DAY_RANGES) -> list[tuple[int, int]]:
+    """At most ``most`` ranges of days that cover the spans (low, high), split where the gaps are widest.
+
+    So one ticker that ended years ago does not make all others be read from there on.
+    At most a row per calendar day reaches the driver.
+    """
+    by_day = spans.groupBy("low").agg(F.max("high").alias("high")).orderBy("low").collect()
+    ranges: list[list[int]] = []
+    for low, high in by_day:
+        if ranges and low <= ranges[-1][1] + 1:
+            ranges[-1][1] = max(ranges[-1][1], high)
+        else:
+            ranges.append([low, high])
+    gaps = sorted(range(1, len(ranges)), key=lambda i: ranges[i - 1][1] - ranges[i][0])[: most - 1]
+    starts = [0, *sorted(gaps)]
+    ends = [*(i - 1 for i in starts[1:]), len(ranges) - 1]
+    return [(ranges[a][0], ranges[b][1]) for a, b in zip(starts, ends)] if ranges else []
+
+
+def in_days(df: DataFrame, ranges: list[tuple[int, int]]) -> DataFrame:
+    """Rows of the days of some ranges: constants, which reach the scan, where files and row groups are skipped."""
+    time, wanted = F.col("event_time"), F.lit(False)
+    for low, high in ranges:
+        wanted = wanted | ((time >= start_of_day(df, low)) & (time < start_of_day(df, high + 1)))
+    return df.where(wanted)
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """Rows with a ``seq`` each; one without fails the query, at every size of the data.
+
+    Without it the order of equal times is open, and min_by and max_by pass the row over.
+    """
+    missing = F.raise_error(F.lit("a tick has no seq; number the lake with lake.with_seq"))
+    return rows.withColumn("seq", F.when(F.col("seq").isNull(), missing.cast("long")).otherwise(F.col("seq")))
+
+
 def ordered(rows: DataFrame) -> DataFrame:
-    """Rows that have a place in a series."""
-    return rows.where(F.col("ticker").isNotNull() & F.col("event_time").isNotNull())
+    """Rows that have a place in a series: those with a ticker and a time, which must have a ``seq``."""
+    return numbered(rows.where(F.col("ticker").isNotNull() & F.col("event_time").isNotNull()))
+
+
+#: Order of a series of ``tied`` rows.
+TIED_ORDER = [*ORDER, "_tie"]
+
+
+def tied(rows: DataFrame) -> DataFrame:
+    """Add ``_tie``, a hash of the row: ticks with equal keys go by it, so only equal rows are interchangeable."""
+    return rows.withColumn("_tie", F.xxhash64(*(F.col(c) for c in rows.columns)))
 
 
 def small_side(df: DataFrame) -> DataFrame:
@@ -111,13 +160,10 @@ def place_in_cells(rows: DataFrame, max_rows: int, size: Size) -> DataFrame | No
     pending = placed.select("ticker", *CELL, "_micros", "seq")
     while True:
         cuts = durable(_cuts(pending, max_rows))
+        # Ticks that share event_time and seq cannot be told apart: they stay one cell, which is sorted on disk.
+        cuts = cuts.where("width IS NOT NULL")
         if cuts.isEmpty():
             return placed.drop("_micros")
-        if not cuts.where("width IS NULL").isEmpty():
-            raise ValueError(
-                f"more than {max_rows} ticks of one ticker share event_time and seq; "
-                "their order is undefined. Give every tick its own seq (lake.with_seq)."
-            )
         cuts = small_side(cuts)
         placed = _cut(placed, cuts, "left")
         pending = _cut(pending, cuts, "inner")
@@ -186,18 +232,19 @@ def number_rows(
     """
     rows = ordered(rows)
     size = size or size_of(rows)
+    columns, rows = rows.columns, tied(rows)
     placed = place_in_cells(rows, max_rows, size)
     if placed is None:
         rows = spread(rows, size, "ticker")
         series = Window.partitionBy("ticker")
         return rows.select(
-            "*",
-            F.row_number().over(series.orderBy(*ORDER)).cast("long").alias("row_no"),
+            *columns,
+            F.row_number().over(series.orderBy(*TIED_ORDER)).cast("long").alias("row_no"),
             F.count("*").over(series).alias("series_rows"),
         )
     placed = spread(placed, size, "ticker", *CELL)
-    # One row per cell: the running sums below see only this short table.
-    cells = placed.groupBy("ticker", *CELL).agg(F.count("*").alias("_n"))
+    # One row per cell, stored: the running sums below see only this short table.
+    cells = durable(placed.groupBy("ticker", *CELL).agg(F.count("*").alias("_n")))
     series = Window.partitionBy("ticker")
     before = series.orderBy(*CELL).rowsBetween(Window.unboundedPreceding, -1)
     cells = cells.select(
@@ -206,11 +253,11 @@ def number_rows(
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
         F.sum("_n").over(series).alias("series_rows"),
     )
-    in_cell = Window.partitionBy("ticker", *CELL).orderBy(*ORDER)
+    in_cell = Window.partitionBy("ticker", *CELL).orderBy(*TIED_ORDER)
     return (
         placed.join(cells, ["ticker", *CELL])
         .withColumn("row_no", F.col("_before") + F.row_number().over(in_cell))
-        .select(*rows.columns, "row_no", "series_rows")
+        .select(*columns, "row_no", "series_rows")
     )
 
 
@@ -234,12 +281,13 @@ def by_series(
     """
     rows = ordered(rows)
     size = size or size_of(rows)
+    rows = tied(rows)
     placed = place_in_cells(rows, max_rows, size)
-    series = Window.partitionBy("ticker").orderBy(*ORDER)
+    series = Window.partitionBy("ticker").orderBy(*TIED_ORDER)
     if placed is None:
-        return compute(spread(rows, size, "ticker"), series)
+        return compute(spread(rows, size, "ticker"), series).drop("_tie")
     placed = spread(placed, size, "ticker", *CELL)
-    in_cell = Window.partitionBy("ticker", *CELL).orderBy(*ORDER)
+    in_cell = Window.partitionBy("ticker", *CELL).orderBy(*TIED_ORDER)
 
     def short_of(before: int, after: int) -> Column:
         first = F.lag("seq", before).over(in_cell).isNull() if before else F.lit(False)
@@ -251,4 +299,4 @@ def by_series(
     inner = compute(placed.select("*", edge), in_cell).where(~F.col("_edge"))
     rims = placed.select("*", edge, rim).where("_rim").drop("_rim")
     outer = compute(rims, series).where("_edge")
-    return inner.unionByName(outer).drop("_edge", *CELL)
+    return inner.unionByName(outer).drop("_edge", "_tie", *CELL)

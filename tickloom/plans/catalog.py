@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import scalar
-from ..operators import clean, ensemble, evaluate, features, frequency, regress, series, split
+from ..operators import clean, ensemble, evaluate, features, frequency, regress, scoring, series, split
 from ..operators.features import SERVING, TRAINING
 from ..schema import FEATURES, MESSAGE_SCHEMA
 from ..session import durable, stored, work_path
@@ -278,9 +278,21 @@ def json_parse(spark, folder):
 
 
 def json_rejects(spark, folder):
-    """Props text as message bodies: readable JSON, but no tick among them."""
-    bodies = table(spark, folder, "events").select(F.col("props").alias("value"))
-    return ingest.rejects(ingest.parse_ticks(bodies)).agg(F.count("*").alias("rejected"))
+    """Every second event as a tick's message, the others as their props text: readable JSON, but no tick."""
+    events = table(spark, folder, "events")
+    tick = F.to_json(
+        F.struct(
+            F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("timestamp"),
+            F.col("event_type").alias("ticker"),
+            F.col("value").alias("price"),
+            F.lit(1).alias("volume"),
+        )
+    )
+    body = F.when(F.col("event_id") % 2 == 1, tick).otherwise(F.col("props")).alias("value")
+    parsed = ingest.parse_ticks(events.select(body))
+    return parsed.agg(
+        F.count_if(~ingest.is_reject()).alias("accepted"), F.count_if(ingest.is_reject()).alias("rejected")
+    )
 
 
 def ts_parse(spark, folder):
@@ -406,9 +418,18 @@ def tail_split_chunked(spark, folder):
 
 
 def hash_split(spark, folder):
-    """Share of test rows of each ticker; the hash itself is Spark's own."""
-    parts = split.hash_split(_rows(spark, folder))
-    return parts.groupBy("ticker", "is_test").agg(F.count("*").alias("n"))
+    """Rows of each ticker, and whether the share of test rows is in a band; the hash itself is Spark's own."""
+    return _shares(split.hash_split(_rows(spark, folder)))
+
+
+def random_split(spark, folder):
+    seen, tested = split.random_split(_rows(spark, folder))
+    return _shares(seen.withColumn("is_test", F.lit(False)).unionByName(tested.withColumn("is_test", F.lit(True))))
+
+
+def _shares(parts: DataFrame) -> DataFrame:
+    share = F.count_if("is_test") / F.count("*")
+    return parts.groupBy("ticker").agg(F.count("*").alias("n"), share.between(0.08, 0.32).alias("share_in_band"))
 
 
 def kfold_ids(spark, folder):
@@ -459,7 +480,7 @@ def voting_mean(spark, folder):
 
 
 def leaderboard(spark, folder):
-    return rounded(evaluate.leaderboard(_metrics(spark, folder)))
+    return rounded(evaluate.leaderboard(_metrics(spark, folder), good_above=20.0))
 
 
 def best_model(spark, folder):
@@ -481,8 +502,10 @@ def predict_band(spark, folder):
 
 
 def direction(spark, folder):
-    up = serve.direction(F.col("prediction"), F.col("price"))
-    return rounded(_forecasts(spark, folder)).select("ticker", "seq", "model", up.alias("direction"))
+    """Of the published price, against the current one."""
+    up = serve.direction(F.col("predicted_price"), F.col("price"))
+    published = serve.with_band(rounded(_forecasts(spark, folder)))
+    return published.select("ticker", "seq", "model", up.alias("direction"))
 
 
 def market_state(spark, folder):
@@ -524,16 +547,39 @@ def train_lr(spark, folder):
     parts = stored(_split_rows(spark, folder), "parts")
     fitted = durable(regress.fit_linear(parts.where(~F.col("is_test"))))
     scored = regress.score_linear(parts.where("is_test"), fitted)
-    scored = scored.withColumn("model", F.lit("Linear Regression"))
-    return rounded(evaluate.evaluate(scored))
+    scored = durable(scored.withColumn("model", F.lit("Linear Regression")))
+    return _facts(evaluate.evaluate(scored), _persistence(scored))
 
 
 def train_lr_many_tickers(spark, folder):
+    """A line per user; exact facts of the test rows, since short series fit 12 features too well."""
     rows = features.features(ticks(spark, folder, "user_id"), TRAINING)
-    parts = stored(split.hash_split(rows), "parts")
+    parts = stored(split.tail_split(rows), "parts")
     fitted = durable(regress.fit_linear(parts.where(~F.col("is_test"))))
     scored = regress.score_linear(parts.where("is_test"), fitted)
-    return rounded(evaluate.evaluate(scored.withColumn("model", F.lit("Linear Regression"))))
+    metrics_ = evaluate.evaluate(scored.withColumn("model", F.lit("Linear Regression")))
+    bounds = F.col("accuracy").between(0, 100) & (F.col("rmse") >= F.col("mae"))
+    return metrics_.select("ticker", "n", F.round("mean_target", 6).alias("mean_target"), bounds.alias("is_sound"))
+
+
+def two_feature_lines(spark, folder):
+    """Least squares on two features, all tickers in one aggregate."""
+    fitted = regress.fit_linear(_rows(spark, folder), ["MA5", "lag3"])
+    weight = lambda i: F.get("weights", F.lit(i))
+    return rounded(fitted.select("ticker", "n", "intercept", weight(0).alias("w_ma5"), weight(1).alias("w_lag3")), 5)
+
+
+def record_rows(spark, folder):
+    """Each tick as one record."""
+    made = serve.records(ticks(spark, folder).select("ticker", "seq", "volume"))
+    return made.select("record")
+
+
+def unknown_market_state(spark, folder):
+    """The state of known tickers, and of order priorities, which have no ticks."""
+    asked = table(spark, folder, "orders").select(F.col("o_orderpriority").alias("ticker")).distinct()
+    asked = asked.unionByName(clean.distinct_tickers(ticks(spark, folder)))
+    return serve.market_state_of(ticks(spark, folder), asked, AS_OF)
 
 
 def _train(spark, folder, *models: str) -> train.Trained:
@@ -543,8 +589,25 @@ def _train(spark, folder, *models: str) -> train.Trained:
     return train.train_models(rows, work_path(spark, "training"), models, tail)
 
 
+def _facts(metrics: DataFrame, naive: DataFrame) -> DataFrame:
+    """Exact facts of a model's test rows, and whether its error is within a stated factor of persistence.
+
+    Ticks of the test data are independent draws, where persistence is about
+    1.4 times as far off as the mean; so no model that learned anything is,
+    in short series either, above 1.5 times persistence.
+    """
+    base = naive.select("ticker", F.col("mae").alias("naive"))
+    both = metrics.join(base, "ticker")
+    return both.select("ticker", "model", "n", F.round("mean_target", 6).alias("mean_target"), (F.col("mae") <= 1.5 * F.col("naive")).alias("within_bound"))
+
+
+def _persistence(test: DataFrame) -> DataFrame:
+    return evaluate.evaluate(evaluate.long_predictions(test, {"persistence": F.col("price")}, "ticker", "target"))
+
+
 def _trained(spark, folder, *models: str) -> DataFrame:
-    return rounded(_train(spark, folder, *models).metrics())
+    run = _train(spark, folder, *models)
+    return _facts(run.metrics(), _persistence(run.predictions()))
 
 
 def train_lr_mllib(spark, folder):
@@ -571,23 +634,69 @@ def stacking(spark, folder):
     size = series.size_of(ticks(spark, folder))
     rows = _rows(spark, folder, size)
     run = train.train_ensembles(rows, work_path(spark, "ensembles"), size=size)
-    return rounded(run.metrics())
+    return _facts(run.metrics(), _persistence(run.predictions().where("model = 'Voting Ensemble'")))
 
 
 def feature_importance(spark, folder):
-    models, _ = train.load_models(_train(spark, folder, "Random Forest").registry())
-    return train.feature_importance(spark, models)
+    """Facts of the ranked importances: per ticker, how many there are, whether they sum to 1 and are in order."""
+    saved = _train(spark, folder, "Random Forest").importances()
+    ranked = train.feature_importance(saved).withColumn("importance", F.col("importance"))
+    return ranked.groupBy("ticker", "model").agg(
+        F.count("*").alias("n_features"),
+        (F.abs(F.sum("importance") - 1) < 0.01).alias("sums_to_one"),
+        (F.min("importance") >= 0).alias("none_negative"),
+        F.sort_array(F.collect_set("feature")).alias("features"),
+    ).withColumn("features", F.array_join("features", ","))
+
+
+def _answered(spark, folder, run: train.Trained, *asked: str) -> DataFrame:
+    """The latest features of each ticker, asked of each model and with a missing feature."""
+    models = F.explode(F.array(*(F.lit(name) for name in asked), F.lit(None).cast("string")))
+    latest = durable(serve.recent(ticks(spark, folder), 1).select("ticker", *FEATURES))
+    requests = latest.withColumn("model", models)
+    lacking = latest.withColumns({"model": F.lit(asked[0]), "lag2": F.lit(None).cast("double")})
+    answered = scoring.predict(requests.unionByName(lacking), run.models())
+    # Within a few deviations of the long mean, whatever the model.
+    near = F.abs(F.col("prediction") - F.col("MA20")) <= 5 * F.col("rolling_std")
+    return serve.with_band(answered).select(
+        "ticker", "model", "status", F.coalesce(near, F.lit(False)).alias("is_near"), F.col("predicted_price").isNotNull().alias("has_price")
+    )
 
 
 def predict_requests(spark, folder):
-    """Latest features of each ticker, answered by saved models."""
-    models, _ = train.load_models(_train(spark, folder, "Linear Regression").registry())
-    asked = F.explode(F.array(F.lit("Linear Regression"), F.lit("Stacking Ensemble")))
-    latest = durable(serve.recent(ticks(spark, folder), 1).withColumn("model", asked))
-    answered = train.predict(latest.select("ticker", "model", *FEATURES), models)
-    return serve.with_band(answered).select(
-        "ticker", "model", "status", "predicted_price", "confidence_lower", "confidence_upper"
+    """Saved linear models asked by name, by a name nobody has, by none and with a missing feature."""
+    return _answered(spark, folder, _train(spark, folder, "Linear Regression"), "Linear Regression", "Nobody")
+
+
+def predict_ensembles(spark, folder):
+    """The latest row of each ticker, answered by both saved ensembles."""
+    size = series.size_of(ticks(spark, folder))
+    run = train.train_ensembles(
+        _rows(spark, folder, size), work_path(spark, "ensembles"), ["Linear Regression", "RBF Features"], size=size
     )
+    return _answered(spark, folder, run, "Voting Ensemble", "Stacking Ensemble")
+
+
+def stacking_linear(spark, folder):
+    """Stacking of two one-feature lines in closed form: by fold, then ridge over both."""
+    parts = stored(split.tail_split(_rows(spark, folder)), "parts")
+    train_rows = stored(split.fold_ids(parts.where(~F.col("is_test"))), "folds")
+    tested, held = parts.where("is_test"), None
+    for i, name in enumerate(("price", "MA5")):
+        # A fold's complement is everything minus the fold, for all folds in one aggregate.
+        spread = train_rows.withColumn("without", F.explode(F.array(*(F.lit(k) for k in range(5)))))
+        others = spread.where("fold != without")
+        by_fold = others.groupBy("ticker", F.col("without").alias("fold")).agg(
+            F.regr_slope("target", name).alias("slope"), F.regr_intercept("target", name).alias("line")
+        )
+        source = train_rows if held is None else held
+        held = source.join(by_fold, ["ticker", "fold"]).withColumn(f"base{i}", F.col("line") + F.col("slope") * F.col(name)).drop("line", "slope")
+        whole = train_rows.groupBy("ticker").agg(
+            F.regr_slope("target", name).alias("slope"), F.regr_intercept("target", name).alias("line")
+        )
+        tested = tested.join(whole, "ticker").withColumn(f"base{i}", F.col("line") + F.col("slope") * F.col(name)).drop("line", "slope")
+    scored = ensemble.stack(stored(held, "held"), tested, ["base0", "base1"], ridge=1.0)
+    return rounded(scored.select("ticker", "seq", F.col("prediction")), 4)
 
 
 # Frequencies
@@ -649,6 +758,7 @@ REGISTERED: list[Query] = [
     tail_split,
     tail_split_chunked,
     hash_split,
+    random_split,
     kfold_ids,
     mae_rmse_accuracy,
     persistence_many_tickers,
@@ -670,12 +780,17 @@ REGISTERED: list[Query] = [
     top_keys,
     ols_one_feature,
     ridge_one_feature,
+    two_feature_lines,
+    record_rows,
+    unknown_market_state,
     train_lr,
     train_lr_many_tickers,
     train_lr_mllib,
     train_rf,
     feature_importance,
     predict_requests,
+    predict_ensembles,
+    stacking_linear,
     train_rbf,
     train_gbt,
     train_boosted,

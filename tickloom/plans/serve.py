@@ -13,13 +13,14 @@ from ..operators.series import (
     MAX_SERIES_ROWS,
     Size,
     day_number,
+    day_ranges,
+    in_days,
     ordered,
     small_side,
-    start_of_day,
 )
 from ..schema import DEFAULT_MODELS
 from ..session import BROADCAST_ROWS, durable
-from ..sources.metrics import ROW_SCHEMA, no_metrics, read_metrics, read_metrics_document
+from ..sources.metrics import no_metrics, read_metrics, read_metrics_document
 
 
 def recent(
@@ -69,6 +70,7 @@ def _start_days(days: DataFrame, wanted: int) -> DataFrame:
     kept_rows = F.max(F.when(F.col("_day") == F.col("keep_from"), F.col("since"))).over(series)
     read = kept.withColumn("enough", F.col("since") >= kept_rows + LOOKBACK)
     return read.groupBy("ticker", "keep_from", "first_day").agg(
+        F.max("_day").alias("last_day"),
         F.coalesce(F.max(F.when(F.col("enough"), F.col("_day"))), F.col("first_day")).alias(
             "read_from"
         ),
@@ -79,11 +81,10 @@ def _start_days(days: DataFrame, wanted: int) -> DataFrame:
 def _recent_part(
     rows: DataFrame, starts: DataFrame, n: int, profile: Profile, max_rows: int
 ) -> DataFrame:
-    first_day, longest, total, tickers = starts.agg(
-        F.min("read_from"), F.max("to_read"), F.sum("to_read"), F.count("*")
-    ).first()
-    # A constant bound reaches the scan, where files and row groups are skipped.
-    tail = rows.where(F.col("event_time") >= start_of_day(rows, first_day or 0))
+    starts = durable(starts)
+    longest, total, tickers = starts.agg(F.max("to_read"), F.sum("to_read"), F.count("*")).first()
+    spans = starts.select(F.col("read_from").alias("low"), F.col("last_day").alias("high"))
+    tail = in_days(rows, day_ranges(spans))
     limits = starts.select("ticker", "read_from", "keep_from")
     limits = F.broadcast(limits) if tickers <= BROADCAST_ROWS else limits
     tail = tail.join(limits, "ticker").where("_day >= read_from").drop("read_from")
@@ -112,7 +113,7 @@ def with_band(predictions: DataFrame) -> DataFrame:
 
 
 def direction(predicted: Column, current: Column) -> Column:
-    """UP if the prediction is above the price; equal or missing is DOWN."""
+    """UP if the published prediction is above the price; equal or missing is DOWN."""
     return F.when(predicted > current, F.lit("UP")).otherwise(F.lit("DOWN"))
 
 
@@ -157,13 +158,7 @@ def metrics_lookup(spark: SparkSession, path: str, ticker: str) -> DataFrame:
     asked = spark.range(1).select(F.lit(ticker).alias("ticker"))
     if no_metrics(spark, path):
         return default_metrics(asked)
-    if path.endswith(".json"):
-        stored = read_metrics_document(spark, path)
-        broken = stored.where(F.col("ticker").isNull()).limit(1)
-        broken = broken.select(F.lit(ticker.upper()).alias("ticker"), "model").withColumn(
-            "accuracy", F.lit("error")
-        )
-    else:
-        stored = read_metrics(spark, path)
-        broken = spark.createDataFrame([], ROW_SCHEMA)
+    stored = read_metrics_document(spark, path) if path.endswith(".json") else read_metrics(spark, path)
+    broken = stored.where(F.col("ticker").isNull()).limit(1)
+    broken = broken.select(F.lit(ticker.upper()).alias("ticker"), "model").withColumn("accuracy", F.lit("error"))
     return stored.where(F.col("ticker") == ticker.upper()).unionByName(broken)

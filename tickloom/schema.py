@@ -77,6 +77,13 @@ DEFAULT_MODELS = [
     "SVR",
 ]
 
+# The model of a request that names none.
+DEFAULT_MODEL = "Stacking Ensemble"
+
+# Other names that requests and published lists use, and the model that answers for each.
+MODEL_ALIASES = {"XGBoost": "Boosted Trees", "SVR": "RBF Features"}
+
+# Fixed value: topics are this and the ticker.
 TOPIC_PREFIX = "stock_"
 SPLIT_SEED = 42
 TEST_SHARE = 0.2

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -33,12 +34,14 @@ def build_session(app: str = "tickloom", master: str | None = None, **conf: str)
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only where the cluster names none (a local test) is one made up.
+    Only a local session may have none; one is made up then.
     """
     named = spark.conf.get(_CHECKPOINT_DIR, None)
     if not named:
         named = spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError(f"{_CHECKPOINT_DIR} must name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="tickloom-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
@@ -57,6 +60,13 @@ def stored(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def removed(path: str) -> None:
+    """Delete a folder that ``work_path`` named, once its rows are no longer needed."""
+    system, place = fs.FileSystem.from_uri(path)
+    if system.get_file_info(place).type != fs.FileType.NotFound:
+        system.delete_dir(place)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Compute ``df`` once, on storage that outlives the executors."""
     spark = df.sparkSession

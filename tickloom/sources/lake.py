@@ -33,10 +33,18 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
 
 
 def scan(spark: SparkSession, path: str, schema: T.StructType = LAKE_SCHEMA) -> DataFrame:
-    """All ticks of a lake; no rows when the lake does not exist yet."""
+    """All ticks of a lake; no rows when the lake does not exist yet.
+
+    A lake written without ``event_time`` gets it from the time's text.  One written
+    without ``seq`` has none here, which every ordered operator refuses; ``with_seq``
+    numbers it.
+    """
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    ticks = spark.read.schema(schema).parquet(path)
+    if "event_time" in schema.names and "event_time" not in spark.read.parquet(path).columns:
+        ticks = ticks.withColumn("event_time", parse_time("timestamp"))
+    return ticks
 
 
 def scan_ticker(spark: SparkSession, path: str, ticker: str) -> DataFrame:
