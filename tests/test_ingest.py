@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from tickloom.operators.features import features
 from tickloom.schema import ENVELOPE_SCHEMA, MESSAGE_SCHEMA
 from tickloom.sources import kafka, lake
 from tickloom.streaming import ingest
@@ -189,3 +190,31 @@ def test_messages_are_read_back(spark):
     without_text = kafka.to_messages(ticks.drop("timestamp"))
     back = without_text.select(F.from_json("value", MESSAGE_SCHEMA)["timestamp"].alias("t"))
     assert {r.t for r in back.collect()} == {"2026-05-01 13:30:00.000000Z"}
+
+
+def test_a_stream_of_messages_goes_on_after_a_stop(spark, make_ticks, tmp_path):
+    source, sink, mark = (str(tmp_path / name) for name in ("in", "out", "mark"))
+    make_ticks([("a", 1.0, 1, 2.0, 3)]).write.parquet(source)
+    stream = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
+
+    def send():
+        query = kafka.publish_stream(kafka.to_messages(stream), mark, trigger={"availableNow": True}, form="parquet", path=sink)
+        query.awaitTermination()
+
+    send()
+    make_ticks([("b", 2.0, 2, 3.0, 4)]).write.mode("append").parquet(source)
+    send()
+    sent = spark.read.parquet(sink).collect()
+    assert sorted(r.topic for r in sent) == ["stock_A", "stock_B"]
+    kafka.publish(kafka.to_messages(spark.read.parquet(source)), form="json", path=str(tmp_path / "batch"))
+    assert spark.read.json(str(tmp_path / "batch")).count() == 2
+
+
+def test_a_lake_without_event_time_and_seq(spark, make_ticks, tmp_path):
+    path = str(tmp_path / "old")
+    rows = [(f"2026-05-01 09:{30 + i // 60:02d}:{i % 60:02d}", 100.0 + i, i, "A") for i in range(60)]
+    spark.createDataFrame(rows, "timestamp string, price double, volume int, ticker string").write.partitionBy("ticker").parquet(path)
+    ticks = lake.scan(spark, path)
+    assert ticks.where("event_time IS NULL").isEmpty() and ticks.count() == 60
+    with pytest.raises(Exception, match="seq"):
+        features(ticks).collect()

@@ -245,6 +245,15 @@ def historical_bars(spark, folder):
     return rounded(features.features(made, SERVING), 4)
 
 
+def csv_bars(spark, folder):
+    """The same bars, written as CSV and read back with their schema."""
+    path = work_path(spark, "csv")
+    columns = ["o_orderpriority", "o_orderdate", "o_totalprice", "o_custkey", "o_orderkey"]
+    table(spark, folder, "orders").select(*columns).write.option("header", "true").csv(path)
+    schema = "o_orderpriority string, o_orderdate timestamp_ntz, o_totalprice double, o_custkey long, o_orderkey long"
+    return lake.bars_to_ticks(lake.read_bars(spark, path, "csv", schema, header="true"), *columns)
+
+
 # Messages
 
 
@@ -521,7 +530,8 @@ def market_age(spark, folder):
 
 def metrics_lookup(spark, folder):
     """Metrics for every event type and, without any, for every order priority."""
-    published = evaluate.format_metrics(_metrics(spark, folder))
+    # A few rows, stored: both sides of the lookup read them.
+    published = durable(evaluate.format_metrics(_metrics(spark, folder)))
     published = published.withColumn("ticker", F.upper("ticker"))
     known = clean.distinct_tickers(ticks(spark, folder))
     unknown = table(spark, folder, "orders").select(F.col("o_orderpriority").alias("ticker"))
@@ -747,6 +757,7 @@ REGISTERED: list[Query] = [
     tick_count,
     min_rows_filter,
     historical_bars,
+    csv_bars,
     json_payload,
     json_parse,
     json_rejects,

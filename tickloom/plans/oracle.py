@@ -339,6 +339,8 @@ m AS (SELECT ticker, count(*) AS n, avg(MA5) AS mx, avg(target) AS my,
   covar_pop(MA5, target) AS cxy, var_pop(MA5) AS cxx FROM f GROUP BY ticker)
 SELECT ticker, n, round(my - cxy / (cxx + 100.0 / n) * mx, 6) AS intercept,
   round(cxy / (cxx + 100.0 / n), 6) AS slope FROM m""",
+        "csv_bars": """SELECT o_orderpriority AS ticker, o_orderdate AS event_time, o_orderkey AS seq,
+  o_totalprice AS price, o_custkey AS volume FROM orders""",
         "two_feature_lines": f"""WITH {_features('serving', _ticks())},
 m AS (SELECT ticker, count(*) AS n, avg(MA5) AS mx, avg(lag3) AS mz, avg(target) AS my,
   var_pop(MA5) AS xx, var_pop(lag3) AS zz, covar_pop(MA5, lag3) AS xz,

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 
 from ..functions.scalar import topic_of
 from ..schema import TOPIC_PREFIX
@@ -15,6 +16,7 @@ from ..schema import TOPIC_PREFIX
 
 def reader_options(brokers: str = "localhost:9092", prefix: str = TOPIC_PREFIX) -> dict[str, str]:
     """Every ticker topic, from the start, also after the broker dropped old data."""
+    # Option names and values of Spark's Kafka source.
     return {
         "kafka.bootstrap.servers": brokers,
         "subscribePattern": f"{prefix}.*",
@@ -52,6 +54,27 @@ def to_messages(ticks: DataFrame, prefix: str = TOPIC_PREFIX) -> DataFrame:
     )
 
 
-def publish(messages: DataFrame, brokers: str = "localhost:9092") -> None:
-    """Send a batch of messages; a stream uses ``writeStream`` with the same format."""
-    messages.write.format("kafka").option("kafka.bootstrap.servers", brokers).save()
+def writer_options(brokers: str = "localhost:9092") -> dict[str, str]:
+    return {"kafka.bootstrap.servers": brokers}
+
+
+def publish(messages: DataFrame, brokers: str = "localhost:9092", form: str = "kafka", **options: str) -> None:
+    """Send a batch of messages; ``form`` may name another sink that takes (topic, value)."""
+    messages.write.format(form).options(**writer_options(brokers), **options).save()
+
+
+def publish_stream(
+    messages: DataFrame,
+    checkpoint: str,
+    brokers: str = "localhost:9092",
+    trigger: dict | None = None,
+    form: str = "kafka",
+    **options: str,
+) -> StreamingQuery:
+    """Send a stream of messages as it comes; ``checkpoint`` is where it goes on after a stop.
+
+    The topic of each message is its ``topic`` column.
+    """
+    writer = messages.writeStream.format(form).options(**writer_options(brokers), **options)
+    writer = writer.option("checkpointLocation", checkpoint).outputMode("append")
+    return (writer.trigger(**trigger) if trigger else writer).start()

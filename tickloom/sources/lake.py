@@ -100,9 +100,12 @@ def compact(
     )
 
 
-def read_bars(spark: SparkSession, path: str, form: str = "parquet", **options: str) -> DataFrame:
-    """A table of price bars, as Parquet, CSV or another format Spark reads."""
-    return spark.read.format(form).options(**options).load(path)
+def read_bars(
+    spark: SparkSession, path: str, form: str = "parquet", schema: str | None = None, **options: str
+) -> DataFrame:
+    """A table of price bars, as Parquet, CSV or another format Spark reads; text formats need their schema."""
+    reader = spark.read.format(form).options(**options)
+    return (reader.schema(schema) if schema else reader).load(path)
 
 
 def bars_to_ticks(
