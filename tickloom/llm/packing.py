@@ -41,6 +41,8 @@ SLACK = 2
 ROUND_ITEMS = 50_000
 #: Pieces that a task packs together.
 LOCAL_ITEMS = 200_000
+#: Tokens that a task holds together when ids are kept.
+LOCAL_TOKENS = 8_000_000
 
 #: The pre-tokenizer of byte-level BPE (a fixed value of the format).
 BYTE_LEVEL_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -162,7 +164,7 @@ def _packed_pieces(path: str, capacity: int, end_id: int, local_items: int, with
                     for column, value in zip(columns, (doc.as_py(), piece, start, length, zlib.crc32(part.tobytes()), 0, part.astype(np.int32)), strict=False):
                         column.append(value)
                     start, length, piece = start + length, capacity, piece + 1
-            if len(columns[3]) >= local_items:
+            if len(columns[3]) >= (min(local_items, LOCAL_TOKENS // capacity) if with_ids else local_items):
                 yield flush()
         if columns[3]:
             yield flush()

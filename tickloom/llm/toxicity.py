@@ -206,7 +206,8 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = LIMIT, features: int
         return Model({}, np.zeros(0), float(np.log((prior + 1e-6) / (1 - prior + 1e-6))))
     texts = labelled.texts(docs, chosen)
     names = {f: i for i, f in enumerate(_selected(texts, counts, shares, features))}
-    rows = texts.mapInArrow(_examples(names), _EXAMPLE).collect()
+    # In a fixed order, so that weights do not hang on that of the tasks.
+    rows = sorted(texts.mapInArrow(_examples(names), _EXAMPLE).collect(), key=lambda r: (r["label"], r["real"], r["swapped"] or []))
     if not rows:
         return Model({}, np.zeros(0), float(np.log((counts[1] + 0.5) / (counts[0] + 0.5))))
     y = np.array([r["label"] for r in rows], float)
