@@ -38,6 +38,8 @@ HEADLINE = [
     "train_lr_mllib",
     "train_rf",
     "train_gbt",
+    "stacking_linear",
+    "predict_ensembles",
 ]
 
 
