@@ -26,7 +26,8 @@ listed, but none that joins two is lost.
 Null or blank text: n_shingles 0, linked with nothing.  Null doc_id: counted, never
 linked, component_id null.  Rows that share a doc_id are told apart by their sets; an
 equal row is in the same class.  Empty tables give no rows.  Extra columns of the input
-are not in the result.  Sets and shingles are named by 64-bit hashes.
+are not in the result.  Sets and shingles are named by 64-bit hashes.  The rows of one
+signature, two LONGs each, meet in one task to be counted, sorted on disk; sets and texts never do.
 """
 
 from __future__ import annotations
