@@ -23,6 +23,7 @@ def build_session(app: str = "tickloom", master: str | None = None, **conf: str)
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.scheduler.mode", "FAIR")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
     )
     if master:
         builder = builder.master(master)
