@@ -1,16 +1,18 @@
-"""Intermediate tables in the shared folder, and the wrapping of per-batch functions."""
+"""Intermediate tables in the shared folder."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
-
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
 from tickloom.session import stored
 
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Shuffle files go with the query that made them; Arrow batches are bounded by bytes as well as by rows.
+_SETTINGS = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+}
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
@@ -20,31 +22,14 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     as soon as it is written.
     """
     conf = df.sparkSession.conf
-    before = conf.get(_CLEANUP, None)
-    conf.set(_CLEANUP, "true")
+    before = {key: conf.get(key, None) for key in _SETTINGS}
+    for key, value in _SETTINGS.items():
+        conf.set(key, value)
     try:
         return stored(df, f"llm-{label}")
     finally:
-        conf.unset(_CLEANUP) if before is None else conf.set(_CLEANUP, before)
-
-
-def map_batches(
-    df: DataFrame,
-    function: Callable[[pa.RecordBatch], Iterable[dict]],
-    schema: StructType,
-) -> DataFrame:
-    """``mapInArrow`` for a function from one batch to dicts of columns, in the order of ``schema``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = to_arrow(schema)
-        for batch in batches:
-            for columns in function(batch):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(columns[f.name], f.type) if not isinstance(columns[f.name], pa.Array) else columns[f.name].cast(f.type) for f in types],
-                    schema=types,
-                )
-
-    return df.mapInArrow(run, schema)
+        for key, value in before.items():
+            conf.unset(key) if value is None else conf.set(key, value)
 
 
 def to_arrow(schema: StructType) -> pa.Schema:

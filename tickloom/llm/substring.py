@@ -64,7 +64,7 @@ def _window_rows(width: int, buffer: int):
         for batch in batches:
             ids = batch.column(0)
             valid = ids.is_valid().to_numpy(zero_copy_only=False)
-            ids = ids.fill_null(0).to_numpy()
+            ids = ids.fill_null(0).cast(pa.int64()).to_numpy()
             for t in tokens(batch.column(1)):
                 at, h = windows(t, width)
                 keep = valid[t.row[at]]
