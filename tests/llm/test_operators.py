@@ -312,6 +312,32 @@ def test_templates_and_slots(spark):
     assert decontaminate.contaminated(docs.limit(0), items).count() == 0
 
 
+def leaks(spark, rows, items):
+    found = decontaminate.contaminated(documents(spark, rows), spark.createDataFrame(items, "item_id long, text string"))
+    return {(r["doc_id"], r["item_id"]) for r in found.collect()}
+
+
+def test_exact_copies_are_found_whatever_their_words(spark):
+    names = "Anna Berg, Carl Dahl, Eva Falk, Gustav Holm, Ida Jansson, Karl Lund, Maria Nilsson"
+    items = [
+        (1, "Compute 12 x 7 + 3"),
+        (2, names),
+        (3, "Scores: 3 4 5 6 7 8 9 10 11 12 13 14 15"),
+        (4, "2 + 2 = ?"),
+        (5, "The War Of The Worlds And Other Stories Told"),
+        (6, "Minutes after the rain had stopped they left the house"),
+        (7, "How many legs does a spider of the Old World have"),
+        (8, "Xyzzy"),
+    ]
+    rows = [(i, f"so it says {t} and goes on") for i, t in items]
+    rows += [(12, f"say {names.upper()} now"), (13, "say " + items[2][1].lower()), (15, "say " + items[4][1].lower() + " now"), (16, "after 12 " + items[5][1]), (17, "say " + items[6][1].lower() + " now")]
+    rows += [(21, "Compute 12 x 7 - 3"), (24, "then 2, 2 and 2 - 2 = 0"), (23, "Scores: 3 4 5 6 7 8 9 10 11 12 13 14 16")]
+    own = {(i, i) for i, _ in items} | {(10 + i, i) for i in (2, 3, 5, 6, 7)}
+    got = leaks(spark, rows, items)
+    # Thirteen of the fourteen words of the scores are a copy of it.
+    assert got == own | {(23, 3)}
+
+
 # 3: WARC
 
 

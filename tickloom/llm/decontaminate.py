@@ -10,12 +10,16 @@ other way round.  So a passage is caught as it is, and with its numbers and name
 exchanged.  A document is contaminated by an item when consistent occurrences cover
 ``run`` of the item's words, or all of a shorter item.
 
+A template of few literal words would meet any text, so a window of them is joined by its
+own words instead, without case; so is an item of fewer than ``LEAST_WORDS`` words, by its
+whole length.  The other windows are joined in both ways, so that a copy in other case is
+found too, but for windows all in capitals.  Operators between words count there.
+
 Documents' windows are looked up in a bitmap of fixed size before the join, so nearly
 none of them are shuffled; the join is exact.  The benchmark's windows are broadcast
 only when counted to be few.
 
-Null or empty texts and items hold nothing; items of fewer than ``LEAST_WORDS`` words are
-too short to be told from chance and are not looked for.  Null ids are matched like
+Null or empty texts and items hold nothing, nor does mere punctuation.  Null ids are matched like
 others.  Rows that share a doc_id are told apart by their text.  Extra columns stay.
 """
 
@@ -23,20 +27,21 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField, StructType
 
 from tickloom.llm.store import staged, to_arrow
 from tickloom.llm.text import WORD, mix
 from tickloom.session import BROADCAST_ROWS
 
 WIDTH, RUN, LEAST_WORDS = 8, 13, 5
-#: Benchmark windows are few placeholders in the main: at least this share is literal words.
+#: Windows joined as templates are few placeholders in the main: at least this share is literal words.
 LITERAL_SHARE = 0.5
 #: Bits that a window's hash is looked up by.
 BITMAP_BITS = 22
@@ -52,12 +57,17 @@ UNITS = frozenset(
 NUMBER_WORDS = frozenset("zero one two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty hundred thousand million".split())
 _NUMBER = re.compile(r"[+-]?\d[\d.,:/]*(?:st|nd|rd|th)?")
 _GLUED = re.compile(r"\d[\d.,]*([a-z%]+)")
+#: Lone signs that tell one calculation from another.
+_OPERATORS = frozenset("+ - − * × · / ÷ = ≠ < > ≤ ≥ ^ ** == != <= >=".split())
 _EDGES = "!\"#&'()*+,-./:;<=>?@[\\]^_`{|}~¡«»¿‘’“”…"
 
 _LITERAL, _NUM, _UNIT, _NAME, _NUM_UNIT = range(5)
 _U = np.uint64
 _BASE = _U(0x9FB21C651E98DF25)
 _PLACEHOLDER = mix(np.arange(5, dtype=_U) + _U(0xC0FFEE))
+#: Windows are joined as templates, by their words, or by their words unless all in capitals.
+_TEMPLATE, _EXACT, _FOLDED = range(3)
+_SALT = mix(np.arange(3, dtype=_U) + _U(0x5EED))
 
 
 def canonical(word: str) -> tuple[int, str] | None:
@@ -78,6 +88,19 @@ def canonical(word: str) -> tuple[int, str] | None:
     return _LITERAL, low
 
 
+class Words(NamedTuple):
+    """Of each template word: row, kind, template hash, number, hash of the word without case, and of the operator before it, whether it may be a unit, whether it has small letters."""
+
+    row: np.ndarray
+    kind: np.ndarray
+    template: np.ndarray
+    number: np.ndarray
+    literal: np.ndarray
+    operator: np.ndarray
+    unit: np.ndarray
+    small: np.ndarray
+
+
 class Templates:
     """The template words of texts; words of before are remembered."""
 
@@ -89,23 +112,28 @@ class Templates:
         self._kinds: list[int] = []
         self._values: list[str] = []
         self._hashes: list[int] = []
+        self._small: list[bool] = []
+        self._operators: list[int] = []
         self._done = 0
-        self._tables: list[np.ndarray] = [np.zeros(0, np.int64), np.zeros(0, _U)]
+        self._tables: list[np.ndarray] = [np.zeros(0, np.int64), np.zeros(0, _U), np.zeros(0, bool)]
 
     def _id(self, word: str) -> int:
         found = canonical(word)
         if found is None:
             number = -1
+            if word in _OPERATORS:
+                self._operators.append(xxhash.xxh3_64_intdigest(word))
+                number -= len(self._operators)
         else:
             number = len(self._kinds)
             self._kinds.append(found[0])
             self._values.append(found[1])
             self._hashes.append(xxhash.xxh3_64_intdigest(found[1]))
+            self._small.append(word != word.upper())
         self._ids[word] = number
         return number
 
-    def of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Row, kind, template hash and word number of each template word."""
+    def of(self, texts: list[str | None]) -> Words:
         if len(self._ids) > CACHE:
             self._clear()
         ids, get, rows = [], self._ids.get, []
@@ -119,65 +147,95 @@ class Templates:
         number = np.array(ids, np.int64)
         row = np.repeat(np.arange(len(texts)), rows)
         real = number >= 0
-        number, row = number[real], row[real]
+        signs = np.zeros(len(number), _U)
+        at = np.flatnonzero(number < -1) + 1
+        at = at[at < len(number)]
+        signs[at] = np.array(self._operators, _U)[-2 - number[at - 1]]
+        number, row, signs = number[real], row[real], signs[real]
         if len(self._kinds) > self._done:
-            self._tables = [np.array(self._kinds, np.int64), np.array(self._hashes, _U)]
+            self._tables = [np.array(self._kinds, np.int64), np.array(self._hashes, _U), np.array(self._small, bool)]
             self._done = len(self._kinds)
-        kind, literal = (t[number] for t in self._tables)
-        lone = kind == _UNIT
+        kind, literal, small = (t[number] for t in self._tables)
+        unit = kind == _UNIT
+        lone = unit.copy()
         lone[1:] &= ~((kind[:-1] == _NUM) & (row[1:] == row[:-1]))
         kind[lone] = _LITERAL
-        return row, kind, np.where(kind == _LITERAL, literal, _PLACEHOLDER[kind]), number
+        return Words(row, kind, np.where(kind == _LITERAL, literal, _PLACEHOLDER[kind]), number, literal, signs, unit, small)
 
     def value(self, number: int) -> str:
         return self._values[number]
 
 
-def _rolled(hashes: np.ndarray, row: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    count = len(hashes) - n + 1
+def _rolled(words: Words, n: int, template: bool) -> tuple[np.ndarray, np.ndarray]:
+    """First word and hash of each window; of templates, or of words with the operators between them."""
+    first = words.template if template else words.literal
+    later = first if template else first + words.operator
+    count = len(first) - n + 1
     if count <= 0:
         return np.zeros(0, np.int64), np.zeros(0, _U)
-    total = np.full(count, n, _U)
-    for j in range(n):
-        total = total * _BASE + hashes[j : j + count]
-    at = np.flatnonzero(row[:count] == row[n - 1 :])
+    total = np.full(count, n, _U) * _BASE + first[:count]
+    for j in range(1, n):
+        total = total * _BASE + later[j : j + count]
+    at = np.flatnonzero(words.row[:count] == words.row[n - 1 :])
     return at, mix(total[at])
 
 
-_SLOTS = ArrayType(StringType())
+def _in_window(flags: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """How many words of each window have a flag."""
+    sums = np.concatenate(([0], np.cumsum(flags)))
+    return sums[at + n] - sums[at]
 
 
-def _schema(id_name: str) -> StructType:
-    return StructType([StructField(c, LongType()) for c in (id_name, "text_key", "window", "n", "at", "words")] + [StructField("slots", _SLOTS)])
+_SLOTS = ArrayType(StringType())
 
 
-def _window_rows(id_name: str, lengths: list[int] | None, width: int, bitmap: np.ndarray | None):
-    """Windows of rows (id, text_key, text): of ``lengths``, in the bitmap; or each item's windows of its own length."""
+def _schema(id_name: str) -> StructType:
+    return StructType([StructField(c, LongType()) for c in (id_name, "text_key", "window", "n", "way", "at", "words")] + [StructField("slots", _SLOTS)])
+
+
+def _window_rows(id_name: str, sought: list[tuple[int, int]] | None, width: int, bitmap: np.ndarray | None):
+    """Windows of rows (id, text_key, text): of ``sought`` (n, way), in the bitmap; or each item's windows of its own length."""
+
+    def found(words: Words, sizes: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """n, way, first words and hashes."""
+        wanted: dict[tuple[int, bool], list[int]] = {}
+        for n, way in sought if bitmap is not None else [(n, way) for n in range(1, width + 1) for way in (_TEMPLATE, _EXACT, _FOLDED)]:
+            wanted.setdefault((n, way == _TEMPLATE), []).append(way)
+        for (n, template), ways in wanted.items():
+            at, hashes = _rolled(words, n, template)
+            for way in ways:
+                window = hashes ^ _SALT[way]
+                if bitmap is not None:
+                    place = window >> _U(64 - BITMAP_BITS)
+                    keep = (bitmap[place >> _U(3)] >> (place & _U(7)).astype(np.uint8)) & 1 == 1
+                    if way == _FOLDED:
+                        keep &= _in_window(words.small, at, n) > 0
+                else:
+                    good = (_in_window(words.kind == _LITERAL, at, n) >= LITERAL_SHARE * n) & (n >= LEAST_WORDS)
+                    # Whether a first word is a unit depends on what stands before the copy.
+                    keep = (np.minimum(sizes[words.row[at]], width) == n) & (~good | words.unit[at] if way == _EXACT else good)
+                taken, window = at[keep], window[keep]
+                if bitmap is not None and n < LEAST_WORDS:
+                    # A whole item: one place of it is as good as all.
+                    _, once = np.unique(np.stack([words.row[taken].astype(_U), window]), axis=1, return_index=True)
+                    taken, window = taken[once], window[once]
+                if len(taken):
+                    yield n, way, taken, window
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types, templates = to_arrow(_schema(id_name)), Templates()
         for whole in batches:
             for lo in range(0, whole.num_rows, 500):
                 batch = whole.slice(lo, 500)
-                row, kind, hashes, number = templates.of(batch.column(2).to_pylist())
-                firsts = np.searchsorted(row, np.arange(batch.num_rows + 1))
+                words = templates.of(batch.column(2).to_pylist())
+                firsts = np.searchsorted(words.row, np.arange(batch.num_rows + 1))
                 sizes = np.diff(firsts)
-                for n in lengths or range(LEAST_WORDS, width + 1):
-                    at, window = _rolled(hashes, row, n)
-                    if bitmap is not None:
-                        place = window >> _U(64 - BITMAP_BITS)
-                        keep = (bitmap[place >> _U(3)] >> (place & _U(7)).astype(np.uint8)) & 1 == 1
-                    else:
-                        literal = np.concatenate(([0], np.cumsum(kind == _LITERAL)))
-                        keep = (np.minimum(sizes[row[at]], width) == n) & (literal[at + n] - literal[at] >= LITERAL_SHARE * n)
-                    at, window = at[keep], window[keep]
-                    if not len(at):
-                        continue
-                    own = row[at]
-                    slots = [[templates.value(number[j]) for j in range(a, a + n) if kind[j] != _LITERAL] for a in at.tolist()]
+                for n, way, at, window in found(words, sizes):
+                    own = words.row[at]
+                    slots = [[templates.value(words.number[j]) for j in range(a, a + n) if words.kind[j] != _LITERAL] if way == _TEMPLATE else [] for a in at.tolist()]
                     taken = pa.array(own)
                     columns = [batch.column(0).cast(pa.int64()).take(taken), batch.column(1).take(taken)]
-                    columns += [pa.array(c.astype(np.int64)) for c in (window.view(np.int64), np.full(len(at), n), at - firsts[own], sizes[own])]
+                    columns += [pa.array(c.astype(np.int64)) for c in (window.view(np.int64), np.full(len(at), n), np.full(len(at), way), at - firsts[own], sizes[own])]
                     yield pa.RecordBatch.from_arrays([*columns, pa.array(slots, types.field("slots").type)], schema=types)
 
     return run
@@ -191,16 +249,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, run:
     """(doc_id, text_key, item_id, n_covered, n_item_words): documents that hold an item, and how many of its words."""
     schema = _schema("item_id")
     items = staged(_keyed(benchmark, "item_id").mapInArrow(_window_rows("item_id", None, width, None), schema), "items")
-    places = items.select("n", F.shiftrightunsigned("window", 64 - BITMAP_BITS).alias("place")).distinct().collect()
+    places = items.select("n", "way", F.shiftrightunsigned("window", 64 - BITMAP_BITS).alias("place")).distinct().collect()
     bitmap = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
     for r in places:
         bitmap[r["place"] >> 3] |= 1 << (r["place"] & 7)
-    lengths = sorted({r["n"] for r in places}) or [width]
-    rows = _keyed(docs, "doc_id").mapInArrow(_window_rows("doc_id", lengths, width, bitmap), _schema("doc_id"))
-    of_item = items.select("item_id", F.col("text_key").alias("item_key"), "window", "n", F.col("at").alias("item_at"), F.col("words").alias("n_item_words"), F.col("slots").alias("item_slots"))
+    sought = sorted({(r["n"], r["way"]) for r in places})
+    rows = _keyed(docs, "doc_id").mapInArrow(_window_rows("doc_id", sought, width, bitmap), _schema("doc_id"))
+    of_item = items.select("item_id", F.col("text_key").alias("item_key"), "window", "n", "way", F.col("at").alias("item_at"), F.col("words").alias("n_item_words"), F.col("slots").alias("item_slots"))
     if items.count() <= BROADCAST_ROWS:
         of_item = F.broadcast(of_item)
-    met = rows.drop("words").join(of_item, ["window", "n"])
+    met = rows.drop("words").join(of_item, ["window", "n", "way"])
     pairs = F.arrays_zip("item_slots", "slots")
     occurrence = ["doc_id", "text_key", "item_id", "item_key", "n_item_words", (F.col("at") - F.col("item_at")).alias("shift")]
     found = met.groupBy(*occurrence).agg(
