@@ -338,6 +338,20 @@ def test_exact_copies_are_found_whatever_their_words(spark):
     assert got == own | {(23, 3)}
 
 
+def test_a_late_edit_of_a_slot_does_not_clear_a_copy(spark):
+    head = "Alice has 3 apples and gives some of them to the old teacher who lives near the river, then"
+    item = f"{head} Alice buys more of them at the market and Alice carries all of these home by bus"
+    rows = [
+        (1, item),
+        (2, f"{head} Alice buys more of them at the market and Carl carries all of these home by bus"),
+        (3, f"{head} Dave buys more of them at the market and Carl carries all of these home by bus"),
+        (4, "Bob has 7 apples and gives some of them to the old"),
+        # Only short stretches are as they were, and the exchanged names contradict each other.
+        (5, "Bob has 3 apples and gives some of those to an old teacher who lives near the lake, then Dave buys more of them at a market and Carl carries"),
+    ]
+    assert leaks(spark, rows, [(1, item)]) == {(1, 1), (2, 1), (3, 1)}
+
+
 # 3: WARC
 
 

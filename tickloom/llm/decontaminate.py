@@ -4,10 +4,12 @@ Texts become templates: words lose outer punctuation and case; numbers, capitali
 names and units (after a number) become typed placeholders that remember their values.
 Windows of ``width`` template words of documents are hash-joined with those of benchmark
 items (items shorter than that by their whole length).  Windows of a document and an
-item that lie on one diagonal are one occurrence.  It counts only if its slots are
-consistent: each value of the item stands against one value of the document, and the
-other way round.  So a passage is caught as it is, and with its numbers and names
-exchanged.  A document is contaminated by an item when consistent occurrences cover
+item that lie on one diagonal are one occurrence.  It counts as a whole if its slots are
+consistent: each changed value of the item stands against one value of the document, and
+the other way round; a value that stands against itself is no change.  Of an occurrence that
+is not, the windows without any change count.  So a passage is caught as it is, with
+its numbers and names exchanged, and with a few of them edited.  A document is
+contaminated by an item when what counts covers
 ``run`` of the item's words, or all of a shorter item.
 
 A template of few literal words would meet any text, so a window of them is joined by its
@@ -258,15 +260,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, run:
     of_item = items.select("item_id", F.col("text_key").alias("item_key"), "window", "n", "way", F.col("at").alias("item_at"), F.col("words").alias("n_item_words"), F.col("slots").alias("item_slots"))
     if items.count() <= BROADCAST_ROWS:
         of_item = F.broadcast(of_item)
+    same = F.col("item_slots") == F.col("slots")
     met = rows.drop("words").join(of_item, ["window", "n", "way"])
     pairs = F.arrays_zip("item_slots", "slots")
     occurrence = ["doc_id", "text_key", "item_id", "item_key", "n_item_words", (F.col("at") - F.col("item_at")).alias("shift")]
     found = met.groupBy(*occurrence).agg(
         F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"),
-        F.collect_set(F.struct("item_at", "n")).alias("windows"),
+        F.collect_set(F.struct("item_at", "n", same.alias("same"))).alias("windows"),
     )
+    found = found.withColumn("pairs", F.filter("pairs", lambda p: p["item_slots"] != p["slots"]))
     one_to_one = (F.size(F.array_distinct("pairs.item_slots")) == F.size("pairs")) & (F.size(F.array_distinct("pairs.slots")) == F.size("pairs"))
-    words = found.where(one_to_one).select("doc_id", "text_key", "item_id", "item_key", "n_item_words", F.explode("windows").alias("w"))
+    counted = F.when(one_to_one, F.col("windows")).otherwise(F.filter("windows", lambda w: w["same"]))
+    words = found.select("doc_id", "text_key", "item_id", "item_key", "n_item_words", F.explode(counted).alias("w"))
     words = words.select("*", F.explode(F.sequence("w.item_at", F.col("w.item_at") + F.col("w.n") - 1)).alias("word"))
     covered = words.groupBy("doc_id", "text_key", "item_id", "item_key", "n_item_words").agg(F.size(F.collect_set("word")).cast("long").alias("n_covered"))
     leaked = covered.where(F.col("n_covered") >= F.least(F.lit(run), "n_item_words"))
