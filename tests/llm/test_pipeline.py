@@ -69,6 +69,15 @@ def test_one_of_each_group_stays(steps):
     assert len(set(texts(steps[2]))) == len([i for i, t in texts(steps[2]) if words(t) and i is not None]) + len({(i, t) for i, t in texts(steps[2]) if not words(t) or i is None})
 
 
+def test_near_copies_share_four_fifths_of_five_word_shingles(spark, folder):
+    base = [f"b{i}" for i in range(200)]
+    rows = [(1, " ".join(base)), (2, " ".join([*base, *(f"x{i}" for i in range(45))])), (3, " ".join([*base, *(f"y{i}" for i in range(60))]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.STAGES[1][1](spark, docs, folder)
+    assert {i for i, c in ((i, c) for i, _, c in groups(rows, 5, 80)) if i == c} == {1, 3}
+    assert {r["doc_id"] for r in kept.collect()} == {1, 3}
+
+
 def test_repeats_are_cut(steps):
     rows = texts(steps[2])
     by_id = {(i, " ".join(words(t))): t for i, t in rows}

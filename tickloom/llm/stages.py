@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tickloom.llm import decontaminate, packing, partenum, substring, toxicity
 
+NEAR_SHINGLE, NEAR_PERCENT = 5, 80
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents predicted toxic go; the classifier learns from the labels of ``sf_dir``."""
@@ -15,8 +17,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, the one with the least doc_id."""
-    return partenum.keep_one(docs)
+    """One document of each group of near copies stays, the one with the least doc_id.
+
+    Near copies share four fifths of their five-word shingles; the query of operator 10 has a bar of its own.
+    """
+    return partenum.keep_one(docs, NEAR_SHINGLE, NEAR_PERCENT)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
