@@ -398,6 +398,29 @@ def test_main_text(page):
     assert html.main_text(page) == PAGES[page]
 
 
+LONG_PARAGRAPH = "Much text, that is long, and has commas, in it, of course, and goes on, and on, and on, to the end of it."
+
+
+@pytest.mark.parametrize(
+    ("before", "after", "want"),
+    [
+        ("<p>A short intro.</p>", "<p>The end.</p>", "A short intro. {} The end."),
+        ("<ul><li>One</ul>", "<blockquote>Said so.</blockquote><div><p>Short part.</p></div>", "One {} Said so. Short part."),
+        ("Bare <b>words</b> here.", "<my-note>Own.</my-note>", "Bare words here. {} Own."),
+        ("<div><a href=x>Home</a> <a href=y>News</a></div>", "<p><a href=z>More</a></p><div class=sidebar>Side.</div>", "{}"),
+        ("", "<figure><figcaption>A caption.</figcaption></figure>", "{} A caption."),
+    ],
+)
+def test_short_siblings_stay(before, after, want):
+    inner = f"<p>{LONG_PARAGRAPH}</p>" * 3
+    page = f"<body>{before}<div>{inner}</div>{after}</body>"
+    assert html.main_text(page) == want.format(" ".join([LONG_PARAGRAPH] * 3))
+
+
+def test_captions_stay_in_an_article():
+    assert html.main_text("<article><p>Text.</p><figure><img src=x><figcaption>A caption.</figcaption></figure></article>") == "Text. A caption."
+
+
 def test_extraction_equals_the_articles_own_text(spark):
     import html as references
 

@@ -6,7 +6,7 @@ or id says advert, sidebar, comment and the like) are left out.  Every paragraph
 points to its ancestors: one, one for each comma and one for each hundred characters (at
 most three of those), in full to its parent and halved with each step up.  A container's
 points are discounted by its share of linked text.  The best container is kept, with those of its
-siblings that score well against it or are paragraphs of real text.  Where a page marks
+siblings that score well against it or are text, of any length, and not mainly links.  Where a page marks
 an article or a main part, scoring is done within these.
 
 Text is read in page order: character references are decoded, white space within a block
@@ -30,7 +30,7 @@ from tickloom.llm.store import to_arrow
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is text up to the end tag, and never read.
 RAW = frozenset("script style textarea title noscript iframe template xmp noembed noframes".split())
-DROPPED = RAW | frozenset("head nav header footer aside form button select option input label dialog menu svg canvas object audio video map figcaption".split())
+DROPPED = RAW | frozenset("head nav header footer aside form button select option input label dialog menu svg canvas object audio video map".split())
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul br".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PARAGRAPHS = frozenset("p pre td blockquote li dd dt".split()) | HEADINGS
@@ -214,19 +214,42 @@ def main_text(page: str | None) -> str:
         if top is not root and _within_or_same(best, top):
             best = top
     kept = [best]
-    if best.parent is not None:
+    if root in tops and best.parent is not None:
+        kept = _with_siblings(best)
+    elif best.parent is not None:
         kept = [c for c in best.parent.children if isinstance(c, Node) and not c.dropped and (c is best or _joins(c, best))]
     return " ".join(blocks(kept))
 
 
+def _with_siblings(best: Node) -> list[Node]:
+    """The best container and what joins it; text and phrases between two blocks are one sibling."""
+    siblings: list[Node] = []
+    phrase: Node | None = None
+    for c in best.parent.children:
+        if isinstance(c, Node) and (c is best or (c.name in BLOCKS and c.name != "br")):
+            siblings.append(c)
+            phrase = None
+            continue
+        if phrase is None:
+            phrase = Node("p", None, False)
+            siblings.append(phrase)
+        phrase.children.append(c)
+    return [c for c in siblings if not c.dropped and (c is best or _joins(c, best) or _is_text(c))]
+
+
+def _is_text(node: Node) -> bool:
+    """Whether an element has text that is not mainly links."""
+    length = _length([node])
+    return length > 0 and _length([node], True) < 0.25 * length
+
+
 def _joins(node: Node, best: Node) -> bool:
     """Whether a sibling of the best container belongs to it."""
     if node.score and node.score >= max(3.0, SIBLING_SHARE * best.score):
         return True
     if node.name not in PARAGRAPHS:
         return False
-    length = _length([node])
-    return length > 0 and _length([node], True) < 0.25 * length and (length > 80 or node.name in HEADINGS)
+    return _is_text(node) and (_length([node]) > 80 or node.name in HEADINGS)
 
 
 def _own(node: Node) -> Node:
