@@ -417,6 +417,21 @@ def test_short_siblings_stay(before, after, want):
     assert html.main_text(page) == want.format(" ".join([LONG_PARAGRAPH] * 3))
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<p title=it's>One two.</p><p>Three four.</p><p>I don't know.</p>", "One two. Three four. I don't know."),
+        ('<p>One <img alt="5" tall"> two.</p><p>Say "three".</p>', 'One two. Say "three".'),
+        ("<p title=it's>One two.</p>", "One two."),
+        ('<p title="x>One two.</p>', "One two."),
+        ("<p title = 'a > b' class=\"c\"data-x=a\"b>One</p><p a=>Two</p><p =b>Three</p><br/><p/>Four", "One Two Three Four"),
+        ("<p title='a hidden thing'>One</p><p hidden>no</p><p HIDDEN=''>no</p><div title=it's class='sidebar'>no</div><p>Two", "One Two"),
+    ],
+)
+def test_quotes_in_tags(page, want):
+    assert html.main_text(page) == want
+
+
 def test_captions_stay_in_an_article():
     assert html.main_text("<article><p>Text.</p><figure><img src=x><figcaption>A caption.</figcaption></figure></article>") == "Text. A caption."
 

@@ -43,8 +43,10 @@ _UNLIKELY = re.compile(
     re.I,
 )
 _ROLES = re.compile(r"navigation|banner|contentinfo|complementary|search|form|dialog|alert|menu", re.I)
-_TAG = re.compile(r"<(?:(!--)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([!?/][^>]*)>)")
-_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+#: A quote opens a value only right after "="; elsewhere, or without an end, it is an ordinary character.
+_ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>\"'][^\s>]*+))?+)?+")
+_UNNAMED = re.sub(r"\((?!\?)", "(?:", _ATTRIBUTE.pattern)
+_TAG = re.compile(rf"<(?:(!--)|(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|{_UNNAMED})*+)>|([!?/][^>]*)>)")
 _SPACE = re.compile(r"\s+")
 #: Ancestors that get points of a paragraph.
 HEIGHT = 6
@@ -73,7 +75,9 @@ def _unlikely(name: str, attributes: str) -> bool:
             return True
         if key.lower() == "aria-hidden" and value.lower() == "true":
             return True
-    return bool(re.search(r"(?:^|\s)hidden(?:\s|=|$)", attributes))
+        if key.lower() == "hidden":
+            return True
+    return False
 
 
 def tree(page: str) -> Node:
