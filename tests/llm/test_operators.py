@@ -242,6 +242,10 @@ def test_held_out_accuracy(spark, module, label, recall):
     assert n.get((0, 0), 0) >= 0.97 * (n.get((0, 0), 0) + n.get((0, 1), 0))
 
 
+def test_shape_is_of_the_whole_word():
+    assert quality.shape("a" * 64 + "+7") == quality.shape("a+7") != quality.shape("a" * 64)
+
+
 def test_held_out_is_by_crc(spark):
     df = spark.createDataFrame([(i,) for i in (*range(50), None)], "doc_id long")
     for r in df.select("doc_id", labelled.held_out(F.col("doc_id")).alias("h")).collect():
