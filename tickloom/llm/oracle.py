@@ -70,6 +70,62 @@ SELECT conv_id, count(*) AS n_turns,
 FROM t GROUP BY conv_id
 """
 
+# CRC-32 of an ASCII text {0}, by the table of its 256 bytes.
+_CRC_TABLE = """crc AS (SELECT list(list_reduce(range(8), lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, b) ORDER BY b) AS c FROM range(256) AS r(b))"""
+_CRC = """xor(list_reduce([ascii(substr({0}, CAST(k AS INT), 1))::BIGINT FOR k IN range(1, length({0}) + 1)],
+    lambda x, b: xor(x >> 8, crc.c[CAST((xor(x, b) & 255) + 1 AS INT)]), 4294967295), 4294967295)"""
+
+# Prefixes are named by the hashes of their turns, one after another.
+OP11 = f"""
+WITH {_CRC_TABLE},
+t AS (SELECT conv_id, turn, length(coalesce(text, '')) AS n, substr(sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 1, 32) AS k
+      FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, conv_id - conv_id % 100 AS head, conv_id::VARCHAR AS id, list(k ORDER BY turn NULLS FIRST, k) AS k, list(n ORDER BY turn NULLS FIRST, k) AS n FROM t GROUP BY conv_id),
+h AS (SELECT o.*, CAST({_CRC.format("o.id")} % 6 AS INT) AS h FROM o, crc),
+b AS (SELECT h.conv_id, coalesce(f.k[1:h.h], []) || h.k[h.h + 1:] AS k, coalesce(f.n[1:h.h], []) || h.n[h.h + 1:] AS n FROM h LEFT JOIN o f ON f.conv_id = h.head),
+m AS (SELECT conv_id, len(k) AS most, d, array_to_string(k[1:d], '') AS node, CASE WHEN d > 0 THEN array_to_string(k[1:d - 1], '') END AS up, CASE WHEN d > 0 THEN n[d] ELSE 0 END AS size
+      FROM (SELECT conv_id, k, n, CAST(unnest(range(0, len(k) + 1)) AS INT) AS d FROM b)),
+g AS (SELECT node, d, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(size) AS size, sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (most = d), '')) AS ends FROM m GROUP BY node, d),
+c AS (SELECT up AS node, count(*) AS n FROM g WHERE up IS NOT NULL GROUP BY up),
+s AS (SELECT g.node, (c.n IS NULL)::INT AS leaf, (g.n_convs - 1) * g.size AS saved, unnest(range(0, g.d + 1)) AS a FROM g LEFT JOIN c USING (node)),
+a AS (SELECT substr(node, 1, CAST(32 * a AS INT)) AS node, sum(leaf) AS leaves, sum(saved) AS saved FROM s GROUP BY ALL)
+SELECT g.conv_id, g.d::BIGINT AS depth, p.conv_id AS parent_conv_id, g.n_convs, coalesce(c.n, 0) AS n_children,
+  a.leaves::BIGINT AS n_leaves, a.saved::BIGINT AS saved_tokens, g.ends AS ends_sha256
+FROM g JOIN a USING (node) LEFT JOIN c USING (node) LEFT JOIN g p ON p.node = g.up
+"""
+
+
+def _field(name: str) -> str:
+    return f"coalesce(strlen({name}::VARCHAR) || ':' || {name}::VARCHAR, '-')"
+
+
+# A tree per source, one over their subroots; a leaf then climbs both, level by level.
+OP12 = f"""
+WITH RECURSIVE {_CRC_TABLE},
+q AS (SELECT doc_id, source, {" || ".join(map(_field, ("doc_id", "source", "lang", "n_chars")))} AS head, text, coalesce(doc_id::VARCHAR, '') AS id FROM documents),
+x AS (SELECT doc_id, source, sha256(head || {_field("text")}) AS leaf,
+      CASE WHEN doc_id IS NOT NULL AND {_CRC.format("id")} % 2 = 0 THEN sha256(head || {_field("replace(text, chr(10), '')")}) ELSE sha256(head || {_field("text")}) END AS now FROM q, crc),
+z AS (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS g, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, now) - 1 AS i FROM x),
+low AS (SELECT g, 0 AS l, i, leaf AS d, count(*) OVER (PARTITION BY g) AS m FROM z
+        UNION ALL SELECT g, any_value(l) + 1, i // 3, sha256(string_agg(d, '' ORDER BY i)), (any_value(m) + 2) // 3 FROM low WHERE m > 1 GROUP BY g, i // 3),
+sub AS (SELECT g, l, d FROM low WHERE m = 1),
+top AS (SELECT 0 AS l, g AS i, d, (SELECT count(*) FROM sub) AS m FROM sub
+        UNION ALL SELECT any_value(l) + 1, i // 3, sha256(string_agg(d, '' ORDER BY i)), (any_value(m) + 2) // 3 FROM top WHERE m > 1 GROUP BY i // 3),
+-- Group -1 is the tree over the subroots.
+nodes AS (SELECT g, l, i, d, m FROM low UNION ALL SELECT -1, l, i, d, m FROM top),
+runs AS (SELECT g, l, i // 3 AS r, list(d ORDER BY i) AS ds FROM nodes WHERE m > 1 GROUP BY ALL),
+climb AS (SELECT doc_id, leaf, now AS d, '' AS proof, g AS own, g, 0 AS l, i FROM z
+  UNION ALL
+  SELECT c.doc_id, c.leaf,
+    CASE WHEN r.ds IS NULL THEN c.d ELSE sha256(array_to_string(r.ds[:c.i % 3], '') || c.d || array_to_string(r.ds[c.i % 3 + 2:], '')) END,
+    CASE WHEN r.ds IS NULL THEN c.proof ELSE c.proof || array_to_string(r.ds[:c.i % 3], '') || array_to_string(r.ds[c.i % 3 + 2:], '') END,
+    c.own, CASE WHEN r.ds IS NULL THEN CASE WHEN c.g = -1 THEN -2 ELSE -1 END ELSE c.g END,
+    CASE WHEN r.ds IS NULL THEN 0 ELSE c.l + 1 END, CASE WHEN r.ds IS NULL THEN c.g ELSE c.i // 3 END
+  FROM climb c LEFT JOIN runs r ON r.g = c.g AND r.l = c.l AND r.r = c.i // 3 WHERE c.g > -2)
+SELECT c.doc_id, c.leaf, s.d AS subroot, t.d AS root, sha256(c.proof) AS proof_sha256, c.d AS folded_root, c.d = t.d AS verified
+FROM climb c JOIN sub s ON s.g = c.own, (SELECT d FROM top WHERE m = 1) t WHERE c.g = -2
+"""
+
 
 def all_oracles() -> dict[str, str]:
     return {
@@ -77,4 +133,6 @@ def all_oracles() -> dict[str, str]:
         "op4_chat_formatting": OP4,
         "op6_substring_dedup": OP6,
         "op10_ngram_jaccard_join": OP10,
+        "op11_conversation_prefix_trie": OP11,
+        "op12_merkle_manifest": OP12,
     }

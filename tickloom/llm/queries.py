@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import chat, decontaminate, html, packing, partenum, quality, rules, substring, toxicity, warc
+from tickloom.llm import chat, decontaminate, html, merkle, packing, partenum, pii, quality, rules, substring, toxicity, trie, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -62,6 +62,21 @@ def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op11_conversation_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.trie(table(spark, folder, "conversations"))
+
+
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document against the tree; where 2 divides the crc32 of its id, its newlines have been deleted since."""
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    now = F.when(tampered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return merkle.manifest(table(spark, folder, "documents"), now)
+
+
+def op13_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find(table(spark, folder, "documents"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
     return dict(sorted(found.items(), key=lambda item: int(item[0][2:].split("_")[0])))
