@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import warnings
+from weakref import WeakKeyDictionary
 
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -53,19 +54,36 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/tickloom/{label}-{uuid.uuid4().hex}"
 
 
+_places: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
 def stored(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     """``df`` written once as a table in the shared folder, for several passes over it."""
     spark, path = df.sparkSession, work_path(df.sparkSession, label)
     writer = df.write.partitionBy(by) if by else df.write
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _places[table] = path
+    return table
+
 
+def freed(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing will read again; other tables stay as they are."""
+    for table in tables:
+        if path := _places.pop(table, None):
+            removed(table.sparkSession, path)
 
-def removed(path: str) -> None:
-    """Delete a folder that ``work_path`` named, once its rows are no longer needed."""
-    system, place = fs.FileSystem.from_uri(path)
-    if system.get_file_info(place).type != fs.FileType.NotFound:
-        system.delete_dir(place)
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``work_path`` named, by the file system that wrote it.
+
+    A folder that cannot be deleted costs space but no results, so that is only a warning.
+    """
+    try:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    except Exception as failure:  # noqa: BLE001
+        warnings.warn(f"{path} is left behind: {failure}", stacklevel=2)
 
 
 def durable(df: DataFrame) -> DataFrame:
