@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.store import staged
+from tickloom.session import freed
 
 
 def _least(edges: DataFrame) -> DataFrame:
@@ -41,4 +42,5 @@ def components(edges: DataFrame) -> DataFrame:
         found = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if mark == found or found[0] == 0:
             return now.select(F.col("u").alias("vertex"), F.col("v").alias("component"))
-        mark, now = found, staged(_round(now), "edges")
+        mark, before, now = found, now, staged(_round(now), "edges")
+        freed(before)

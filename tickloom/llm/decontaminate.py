@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField, StructType
 
-from tickloom.llm.store import staged, to_arrow
+from tickloom.llm.store import lean, staged, to_arrow
 from tickloom.llm.text import WORD, mix
 from tickloom.session import BROADCAST_ROWS
 
@@ -256,7 +256,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, run:
     for r in places:
         bitmap[r["place"] >> 3] |= 1 << (r["place"] & 7)
     sought = sorted({(r["n"], r["way"]) for r in places})
-    rows = _keyed(docs, "doc_id").mapInArrow(_window_rows("doc_id", sought, width, bitmap), _schema("doc_id"))
+    rows = _keyed(docs, "doc_id").mapInArrow(lean(_window_rows("doc_id", sought, width, bitmap)), _schema("doc_id"))
     of_item = items.select("item_id", F.col("text_key").alias("item_key"), "window", "n", "way", F.col("at").alias("item_at"), F.col("words").alias("n_item_words"), F.col("slots").alias("item_slots"))
     if items.count() <= BROADCAST_ROWS:
         of_item = F.broadcast(of_item)

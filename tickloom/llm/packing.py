@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from tickloom.llm.store import staged, to_arrow
+from tickloom.llm.store import lean, staged, to_arrow
 
 CAPACITY = 1024
 END_ID = 2
@@ -210,14 +210,14 @@ def pack(
 ) -> DataFrame:
     """A row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids)."""
     path, schema = tokenizer or default_tokenizer(), _bin_type(with_ids)
-    first = docs.select("doc_id", "text").mapInArrow(_packed_pieces(path, capacity, end_id, local_items, with_ids), schema)
+    first = docs.select("doc_id", "text").mapInArrow(lean(_packed_pieces(path, capacity, end_id, local_items, with_ids)), schema)
     bins = staged(first, "bins")
     full = bins.where(F.col("filled") >= capacity - slack)
     left = bins.where(F.col("filled") < capacity - slack)
     count, tasks = left.count(), None
     while count > 1:
         tasks = -(-count // round_items) if tasks is None else max(-(-count // round_items), tasks // 8)
-        merged = staged(left.repartition(max(1, tasks)).mapInArrow(_merged(capacity, with_ids), schema), "bins")
+        merged = staged(left.repartition(max(1, tasks)).mapInArrow(lean(_merged(capacity, with_ids)), schema), "bins")
         full = full.union(merged.where(F.col("filled") >= capacity - slack))
         left = merged.where(F.col("filled") < capacity - slack)
         before, count = count, merged.count()

@@ -26,8 +26,8 @@ listed, but none that joins two is lost.
 Null or blank text: n_shingles 0, linked with nothing.  Null doc_id: counted, never
 linked, component_id null.  Rows that share a doc_id are told apart by their sets; an
 equal row is in the same class.  Empty tables give no rows.  Extra columns of the input
-are not in the result.  Sets and shingles are named by 64-bit hashes.  The rows of one
-signature, two LONGs each, meet in one task to be counted, sorted on disk; sets and texts never do.
+are not in the result.  Sets and shingles are named by 64-bit hashes.  Signatures are
+counted by an aggregate and joined with their counts, so no task gets all rows of one.
 """
 
 from __future__ import annotations
@@ -41,8 +41,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from tickloom.llm.components import components
-from tickloom.llm.store import staged, to_arrow
+from tickloom.llm.store import lean, staged, to_arrow
 from tickloom.llm.text import mix, mix_one, shingle_sets
+from tickloom.session import freed
 
 SHINGLE = 4
 PERCENT = 85
@@ -167,7 +168,7 @@ def _set_rows(shingle: int, percent: int):
                         sketches.append(None)
                     else:
                         seen[name] = doc
-                        signed.append(signatures(s, limits).view(np.int64))
+                        signed.append(np.unique(signatures(s, limits)).view(np.int64))
                         sketches.append(sketch(s))
                 columns = [part.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), pa.array(signed, types.field(3).type), pa.array(sketches, types.field(4).type)]
                 yield pa.RecordBatch.from_arrays(columns, schema=types)
@@ -210,7 +211,7 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     a = sets.select(F.col("class").alias("a"), F.col("shingles").alias("left"))
     b = sets.select(F.col("class").alias("b"), F.col("shingles").alias("right"))
     joined = pairs.join(a, "a").join(b, "b").select("a", "b", "left", "right")
-    return joined.mapInArrow(_verified(percent), _LINK)
+    return joined.mapInArrow(lean(_verified(percent)), _LINK)
 
 
 def _like(percent: int):
@@ -249,13 +250,18 @@ def link_components(members: DataFrame, sets_of, percent: int) -> DataFrame:
     wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).union(large.select("class"))
     sets = staged(sets_of(wanted.distinct()), "shingles")
     if large.isEmpty():
-        return components(staged(_links(pairs, sets, percent), "links"))
+        links = staged(_links(pairs, sets, percent), "links")
+        freed(pairs, sets)
+        return components(links)
     support = large.groupBy("class").agg(F.sum("n").alias("support"))
     large = staged(large.join(support, "class"), "large")
     best = F.max(F.struct("support", "class")).alias("best")
     leaders = large.groupBy("signature").agg(best).select("signature", F.col("best.class").alias("class"))
     led = _pairs(large.join(leaders, ["signature", "class"], "left_semi"), large, percent)
-    labels = components(staged(_links(pairs.union(led).distinct(), sets, percent), "links"))
+    links = staged(_links(pairs.union(led).distinct(), sets, percent), "links")
+    freed(pairs)
+    labels = components(links)
+    freed(links)
     # Signatures whose classes are not one component yet: the best class outside of the largest component leads,
     # then whatever is outside of it meets all that is apart from it.
     for last in (False, True):
@@ -264,41 +270,51 @@ def link_components(members: DataFrame, sets_of, percent: int) -> DataFrame:
         largest = sizes.groupBy("signature").agg(F.max(F.struct("count", "component")).alias("t"), F.count("*").alias("parts")).where("parts > 1")
         largest = staged(largest.select("signature", F.col("t.component").alias("main")), "main")
         if largest.isEmpty():
-            return labels
+            break
         outside = labelled.join(largest, "signature").where("component != main")
         if not last:
             leaders = outside.groupBy("signature").agg(best).select("signature", F.col("best.class").alias("class"))
             outside = outside.join(leaders, ["signature", "class"], "left_semi")
         inside = labelled.join(largest.select("signature"), "signature", "left_semi")
         apart = F.col("x.component") != F.col("y.component")
-        labels = _joined(labels, staged(_links(_pairs(outside, inside, percent, apart), sets, percent), "links"))
+        links = staged(_links(_pairs(outside, inside, percent, apart), sets, percent), "links")
+        labels = _joined(labels, links)
+        freed(links, labelled)
+    freed(sets, large)
     return labels
 
 
 def near_copies(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """A row per document: doc_id, n_shingles, class (64-bit name of its set), component (a class of its group) and component_id."""
-    rows = staged(docs.select("doc_id", "text").mapInArrow(_set_rows(shingle, percent), _SETS), "sets")
-    known = rows.where("class != 0 AND doc_id IS NOT NULL")
+    everything = staged(docs.select("doc_id", "text").mapInArrow(lean(_set_rows(shingle, percent)), _SETS), "signed-sets")
+    rows = staged(everything.select("doc_id", "n_shingles", "class"), "sets")
+    known = everything.where("class != 0 AND doc_id IS NOT NULL")
     classes = known.groupBy("class").agg(F.min("doc_id").alias("least"), F.max("n_shingles").alias("size"), F.max("sketch").alias("sketch"))
     classes = staged(classes.select("class", "least", "size", *(F.col("sketch")[i].alias(f"k{i}") for i in range(SKETCH))), "classes")
-    signed = rows.where("signatures IS NOT NULL").join(classes.select("class", F.col("least").alias("doc_id")), ["class", "doc_id"], "left_semi")
+    # Signatures are most of what is stored here: those of copies go first, then those that only one class has.
+    # A class whose least document comes in several rows signs once.  The join is dealt by class alone, as the aggregate is.
+    least = classes.select(F.col("class").alias("__class"), "least")
+    first = (F.col("class") == F.col("__class")) & F.col("doc_id").between(F.col("least"), F.col("least"))
+    signed = everything.where("signatures IS NOT NULL").join(least, first, "left_semi")
+    signed = staged(signed.groupBy("class").agg(F.first("signatures").alias("signatures")), "signed")
+    freed(everything)
     spread = signed.select("class", F.explode("signatures").alias("signature"))
-    n = F.count("*").over(Window.partitionBy("signature"))
-    # A class whose least document comes in several rows is once in a signature.
-    members = spread.withColumn("n", n).where("n > 1").dropDuplicates(["signature", "class"])
-    members = staged(members.join(classes.drop("least"), "class"), "members")
+    shared = staged(spread.groupBy("signature").agg(F.count("*").alias("n")).where("n > 1"), "shared")
+    members = staged(spread.join(shared, "signature").join(classes.drop("least"), "class"), "members")
+    freed(signed, shared)
 
     def sets_of(wanted: DataFrame) -> DataFrame:
         chosen = staged(wanted.join(classes, "class").select("class", "least"), "wanted")
         texts = docs.join(chosen.select(F.col("least").alias("doc_id")).distinct(), "doc_id", "left_semi").select("text")
-        found = texts.mapInArrow(_shingle_rows(shingle), _MEMBER).join(chosen.select("class"), "class", "left_semi")
+        found = texts.mapInArrow(lean(_shingle_rows(shingle)), _MEMBER).join(chosen.select("class"), "class", "left_semi")
         return found.dropDuplicates(["class"])
 
     labels = link_components(members, sets_of, percent)
+    freed(members)
     named = _labelled(classes.select("class", "least"), labels)
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     named = named.join(least, "component").select("class", "component", "component_id")
-    joined = rows.drop("signatures").join(named, "class", "left")
+    joined = rows.join(named, "class", "left")
     alone = F.when(F.col("class") == 0, F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("component_id"))
     return joined.select("doc_id", "n_shingles", "class", "component", alone.alias("component_id"))
 
@@ -314,7 +330,7 @@ def with_class(docs: DataFrame, name: str, shingle: int = SHINGLE) -> DataFrame:
             names = pa.array([_signed(set_id(s)) for s in shingle_sets(batch.column(place), shingle)], pa.int64())
             yield pa.RecordBatch.from_arrays([*(c.cast(f.type) for c, f in zip(batch.columns, types, strict=False)), names], schema=types)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

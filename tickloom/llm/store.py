@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
@@ -32,6 +36,27 @@ def staged(df: DataFrame, label: str) -> DataFrame:
             conf.unset(key) if value is None else conf.set(key, value)
 
 
+def release() -> None:
+    """Give memory that is free in this process back to the machine: a Python worker outlives its tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A task that leaves no memory behind in its worker."""
+
+    @functools.wraps(run)
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return wrapped
+
+
 def to_arrow(schema: StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 

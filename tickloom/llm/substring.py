@@ -22,12 +22,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from tickloom.llm.store import staged, to_arrow
+from tickloom.llm.store import lean, release, staged, to_arrow
 from tickloom.llm.text import mix, tokens, windows
 
 WIDTH = 13
 #: Windows that a task compares among themselves before they are shuffled.
-BUFFER_WINDOWS = 1_500_000
+BUFFER_WINDOWS = 400_000
 
 #: ``hash`` is null where it equals ``key``.
 _ROWS = StructType([StructField(c, LongType()) for c in ("key", "doc_id", "hash")])
@@ -74,6 +74,7 @@ def _window_rows(width: int, buffer: int):
                 if held >= buffer:
                     yield flush(hashes, docs)
                     hashes, docs, held = [], [], 0
+                    release()
         if held:
             yield flush(hashes, docs)
 
@@ -82,7 +83,7 @@ def _window_rows(width: int, buffer: int):
 
 def repeated_windows(docs: DataFrame, width: int = WIDTH, buffer: int = BUFFER_WINDOWS) -> DataFrame:
     """(doc_id, hash) of each window that also starts in a document with a smaller doc_id."""
-    rows = docs.select("doc_id", "text").mapInArrow(_window_rows(width, buffer), _ROWS)
+    rows = docs.select("doc_id", "text").mapInArrow(lean(_window_rows(width, buffer)), _ROWS)
     first = F.min("doc_id").over(Window.partitionBy("key"))
     lost = rows.withColumn("first", first).where("hash IS NOT NULL OR doc_id > first")
     return lost.select("doc_id", F.coalesce("hash", "key").alias("hash"))
@@ -142,4 +143,4 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, buffer: int = BUFFER_WIN
                 results = [pa.array(x, types.field(len(others) + i).type) for i, x in enumerate(cut(batch))]
                 yield pa.RecordBatch.from_arrays([batch.column(c).cast(types.field(c).type) for c in others] + results, schema=types)
 
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(lean(run), schema)

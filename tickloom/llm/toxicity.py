@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from tickloom.llm import labelled
-from tickloom.llm.store import to_arrow
+from tickloom.llm.store import lean, staged, to_arrow
 
 #: Labelled rows that the classifier is fitted on.
 LIMIT = 8_000
@@ -40,7 +40,9 @@ SURE = 10.8
 THRESHOLD = 0.5
 RIDGE, COUNTERFACTUAL, STEPS = 1e-4, 1.0, 250
 #: Words whose features a task remembers.
-CACHE = 300_000
+CACHE = 100_000
+#: Features that a task counts before it passes them on.
+HELD_FEATURES = 200_000
 
 #: Groups of identity terms; within a group any may stand for any other.
 IDENTITY_TERMS: tuple[tuple[str, ...], ...] = (
@@ -125,21 +127,29 @@ _COUNT = StructType([StructField("feature", StringType()), StructField("n0", Lon
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents by feature and label, among a task's documents."""
+    """Documents by feature and label, among some of a task's documents."""
     by_label: tuple[Counter, Counter] = (Counter(), Counter())
     for batch in batches:
         for label, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             by_label[label].update(all_features(words(text.as_py())))
+            if len(by_label[label]) > HELD_FEATURES:
+                yield _counted(by_label)
+    if by_label[0] or by_label[1]:
+        yield _counted(by_label)
+
+
+def _counted(by_label: tuple[Counter, Counter]) -> pa.RecordBatch:
     names = list(by_label[0].keys() | by_label[1].keys())
-    for lo in range(0, len(names), 50_000):
-        part = names[lo : lo + 50_000]
-        yield pa.RecordBatch.from_arrays([pa.array(part), *(pa.array([c[n] for n in part], pa.int64()) for c in by_label)], schema=to_arrow(_COUNT))
+    counts = [pa.array([c[n] for n in names], pa.int64()) for c in by_label]
+    for c in by_label:
+        c.clear()
+    return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *counts], schema=to_arrow(_COUNT))
 
 
 def _selected(texts: DataFrame, counts: dict[int, int], shares: dict[int, float], features: int) -> list[str]:
     """The features that tell most of the label."""
     n0, n1 = (counts[k] * shares[k] for k in (0, 1))
-    found = texts.mapInArrow(_count, _COUNT).groupBy("feature").agg(F.sum("n0").alias("a"), F.sum("n1").alias("b")).where(f"a + b >= {LEAST_DOCS}")
+    found = texts.mapInArrow(lean(_count), _COUNT).groupBy("feature").agg(F.sum("n0").alias("a"), F.sum("n1").alias("b")).where(f"a + b >= {LEAST_DOCS}")
     a, b = F.least("a", F.lit(n0)), F.least("b", F.lit(n1))
     share, total = (a + b) / (n0 + n1), F.lit(0.0)
     for seen, expected in ((a, n0 * share), (b, n1 * share), (n0 - a, n0 * (1 - share)), (n1 - b, n1 * (1 - share))):
@@ -206,10 +216,10 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = LIMIT, features: int
     if len(counts) < 2:
         prior = counts.get(1, 0) / max(total, 1)
         return Model({}, np.zeros(0), float(np.log((prior + 1e-6) / (1 - prior + 1e-6))))
-    texts = labelled.texts(docs, chosen)
+    texts = staged(labelled.texts(docs, chosen), "sample")
     names = {f: i for i, f in enumerate(_selected(texts, counts, shares, features))}
     # In a fixed order, so that weights do not hang on that of the tasks.
-    rows = sorted(texts.mapInArrow(_examples(names), _EXAMPLE).collect(), key=lambda r: (r["label"], r["real"], r["swapped"] or []))
+    rows = sorted(texts.mapInArrow(lean(_examples(names)), _EXAMPLE).collect(), key=lambda r: (r["label"], r["real"], r["swapped"] or []))
     if not rows:
         return Model({}, np.zeros(0), float(np.log((counts[1] + 0.5) / (counts[0] + 0.5))))
     y = np.array([r["label"] for r in rows], float)
@@ -230,7 +240,7 @@ def with_score(docs: DataFrame, model: Model, name: str) -> DataFrame:
             raw = [model.bias + float(model.weights[known(words(t.as_py()))].sum()) if t.is_valid else model.bias for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([*(batch.column(c).cast(types.field(c).type) for c in others), pa.array(sigmoid(raw))], schema=types)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
