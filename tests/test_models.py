@@ -1,0 +1,196 @@
+"""Fits of all tickers at once: moments against separate fits, trees against brute force, scoring against Spark ML."""
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tickloom.operators import moments, regress, scoring, trees
+from tickloom.schema import FEATURES
+from tickloom.session import stored
+
+FOLDS = 3
+
+
+def made(tickers, seed=4, whole=False):
+    """Rows of each ticker; whole targets add up exactly in any order."""
+    dice, rows = random.Random(seed), []
+    for ticker, n in tickers:
+        for i in range(n):
+            x = [dice.gauss(50, 9) if not whole else float(dice.randrange(8)) for _ in FEATURES]
+            y = 2 * x[0] - x[3] + (9 if x[5] > (4 if whole else 50) else 0) + dice.gauss(0, 1)
+            rows.append((ticker, i, i * FOLDS // n, *x, float(round(y)) if whole else y))
+    return rows
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    def make(tickers, **options):
+        schema = "ticker string, seq long, fold int, " + ", ".join(f"{f} double" for f in FEATURES) + ", target double"
+        df = spark.createDataFrame(made(tickers, **options), schema).repartition(4)
+        return stored(df.withColumn("event_time", F.timestamp_seconds("seq")), "made")
+
+    return make
+
+
+# moments
+
+
+@pytest.mark.parametrize("held", [64_000_000, 1])
+def test_fits_without_a_fold_equal_separate_fits(table, monkeypatch, held):
+    monkeypatch.setattr(moments, "HELD_BYTES", held)
+    rows = table([("A", 90), ("B", 61)])
+    for ridge in (0.0, 2.5):
+        got = {(r.ticker, r.without): r for r in moments.fit_folds(rows, moments.Basis(), FOLDS, ridge).collect()}
+        assert set(got) == {(t, f) for t in "AB" for f in (-1, 0, 1, 2)}
+        for without in (-1, 0, 1, 2):
+            for want in regress.fit_linear(rows.where(F.col("fold") != without), ridge=ridge).collect():
+                mine = got[want.ticker, without]
+                assert mine.n == want.n
+                assert np.allclose(mine.weights, want.weights, rtol=1e-9, atol=1e-9)
+                assert mine.intercept == pytest.approx(want.intercept, rel=1e-9)
+
+
+def test_waves_are_ridge_over_the_cosines(table):
+    rows = table([("A", 90), ("B", 61)])
+    basis = moments.Basis(waves=8)
+    got = {(r.ticker, r.without): r for r in moments.fit_folds(rows, basis, FOLDS, 1.0).collect()}
+    local = rows.toPandas()
+    for ticker, mine in local.groupby("ticker"):
+        x = mine[FEATURES].to_numpy()
+        constants = basis.constants(x.mean(0), x.std(0, ddof=1))
+        z = np.sqrt(2 / 8) * np.cos(np.column_stack([x, np.ones(len(x))]) @ constants.T)
+        for without in (-1, 0, 1, 2):
+            keep = (mine["fold"] != without).to_numpy()
+            around, y = z[keep] - z[keep].mean(0), mine["target"].to_numpy()[keep]
+            want = np.linalg.solve(around.T @ around + np.eye(8), around.T @ (y - y.mean()))
+            assert np.allclose(got[ticker, without].weights, want, atol=1e-8)
+            assert np.allclose(got[ticker, without].waves, constants)
+
+
+def test_a_ticker_with_one_fold_has_no_fit_without_it(table):
+    rows = table([("A", 40)]).withColumn("fold", F.lit(1))
+    assert {r.without for r in moments.fit_folds(rows, moments.Basis(), FOLDS).collect()} == {-1, 0, 2}
+
+
+# trees
+
+
+def brute_split(x, y):
+    """(gain, feature, value): the best cut of all rows, over the values themselves."""
+    best = (-1.0, 0, 0.0)
+    for f in range(x.shape[1]):
+        for value in sorted(set(x[:, f]))[:-1]:
+            low, high = y[x[:, f] <= value], y[x[:, f] > value]
+            gain = low.sum() ** 2 / len(low) + high.sum() ** 2 / len(high) - y.sum() ** 2 / len(y)
+            if gain > best[0] + 1e-9:
+                best = (gain, f, value)
+    return best
+
+
+@pytest.mark.parametrize("local_rows", [10**9, 0])
+def test_first_splits_equal_a_brute_force_search(table, local_rows):
+    # As few values as bins: every cut between two of them is looked at.
+    rows = table([("A", 60), ("B", 47)], whole=True)
+    kinds = {"Stump": trees.Kind(trees=1, depth=1, rate=1.0)}
+    local = rows.toPandas()
+    found = trees.grow(rows, kinds, FOLDS, local_rows=local_rows).collect()
+    assert {(r.ticker, r.without) for r in found} == {(t, f) for t in "AB" for f in (-1, 0, 1, 2)}
+    for r in found:
+        mine = local[(local["ticker"] == r.ticker) & (local["fold"] != r.without)]
+        y = mine["target"].to_numpy()
+        assert r.intercept == pytest.approx(y.mean())
+        gain, feature, value = brute_split(mine[FEATURES].to_numpy(), y - y.mean())
+        root, left, right = r.trees[0].nodes
+        x = mine[FEATURES].to_numpy()[:, root.feature]
+        below = y[x <= root.threshold] - y.mean()
+        assert r.gains[root.feature] == pytest.approx(gain)
+        assert left.value == pytest.approx(below.mean())
+        assert root.feature == feature
+        assert set(x[x <= root.threshold]) == set(x[x <= value])
+
+
+def shape(row):
+    return [(t.weight, [(n.feature, n.threshold, n.left, n.right, round(n.value, 9)) for n in t.nodes]) for t in row.trees]
+
+
+def test_large_tickers_grow_the_trees_of_small_ones(table):
+    rows = table([("A", 80), ("B", 60), ("C", 50)], whole=True)
+    kinds = {"Forest": trees.Kind(trees=3, depth=4, choices=4), "Boosted": trees.Kind(trees=2, depth=3, rate=0.5)}
+    small = {(r.ticker, r.model, r.without): r for r in trees.grow(rows, kinds, FOLDS).collect()}
+    # B and C are grown by histograms of all tasks, A in tasks of its own.
+    mixed = {(r.ticker, r.model, r.without): r for r in trees.grow(rows, kinds, FOLDS, local_rows=70).collect()}
+    assert set(mixed) == set(small) and len(small) == 3 * 2 * 4
+    large = {(r.ticker, r.model, r.without): r for r in trees.grow(rows, kinds, FOLDS, local_rows=0).collect()}
+    for key, want in small.items():
+        for got in (mixed[key], large[key]):
+            if key[1] == "Forest":
+                assert shape(got) == shape(want), key
+                assert np.allclose(got.gains, want.gains)
+                continue
+            # Rests do not add up exactly, so splits of equal gain may differ below the root.
+            assert got.intercept == pytest.approx(want.intercept)
+            assert shape(got)[0][1][0][:2] == shape(want)[0][1][0][:2], key
+            assert sum(got.gains) == pytest.approx(sum(want.gains), rel=0.05)
+
+
+def test_a_forest_draws_rows_and_features():
+    keys = np.arange(20_000, dtype=np.int64)
+    for tree in (0, 1):
+        counts = trees.drawn(keys, tree)
+        assert counts.mean() == pytest.approx(1, abs=0.03) and (counts == 0).mean() == pytest.approx(np.exp(-1), abs=0.02)
+    assert not np.array_equal(trees.drawn(keys, 0), trees.drawn(keys, 1))
+    picked = trees.chosen(3, np.arange(500), trees.Kind(choices=4))
+    assert picked.shape == (500, 4) and (np.diff(picked) > 0).all()
+    assert len(set(map(tuple, picked))) > 100
+
+
+def test_trees_learn(table):
+    rows = table([("A", 600)])
+    for model, kind in (("Forest", trees.Kind(trees=20, depth=8, choices=4)), ("Boosted", trees.Kind(trees=30, depth=4, rate=0.2))):
+        grown = trees.grow(rows, {model: kind}, FOLDS).where("without >= 0")
+        member = F.struct(F.lit("trees").alias("kind"), "intercept", F.lit(None).alias("weights"), F.lit(None).alias("waves"), "trees").cast(scoring.MEMBER)
+        models = grown.select("ticker", "without", F.lit(0.0).alias("intercept"), F.array(F.lit(1.0)).alias("weights"), F.array(member).alias("members"))
+        got = scoring.by_model(rows.withColumn("without", F.col("fold")), models, ["ticker", "without"])
+        error = got.agg(F.avg((F.col("_prediction") - F.col("target")) ** 2) / F.var_pop("target")).first()[0]
+        assert error < 0.35, (model, error)
+
+
+# scoring
+
+
+def chain(depth):
+    """A tree that goes one step right for each whole number below the first feature."""
+    nodes = []
+    for i in range(depth):
+        nodes += [(0, float(i), 2 * i + 1, 2 * i + 2, 0.0), (-1, 0.0, -1, -1, float(i))]
+    return [*nodes, (-1, 0.0, -1, -1, float(depth))]
+
+
+def test_trees_of_any_depth_answer(spark):
+    depth = 400
+    member = ("trees", 0.5, None, None, [(2.0, chain(depth)), (1.0, [(-1, 0.0, -1, -1, 7.0)])])
+    models = spark.createDataFrame([("A", "Deep", 1.0, [3.0], [member])], scoring.MODEL_SCHEMA)
+    asked = spark.createDataFrame([("a", "Deep", *[float(v)] * 12) for v in (-1, 0, 5, 250, 399, 1000)], "ticker string, model string, " + ", ".join(f"{f} double" for f in FEATURES))
+    got = {r.price: r.prediction for r in scoring.predict(asked, models).collect()}
+    assert got == {v: 1 + 3 * (0.5 + 2 * min(max(v, 0), depth) + 7) for v in got} and len(got) == 6
+
+
+def test_a_hot_model_is_copied_and_every_request_gets_one_row(spark, monkeypatch):
+    monkeypatch.setattr(scoring, "ROWS_PER_COPY", 100)
+    member = ("linear", 1.0, [1.0] + [0.0] * 11, None, None)
+    models = spark.createDataFrame([(t, "Line", 0.0, [1.0], [member]) for t in ("A", "B", "B")], scoring.MODEL_SCHEMA)
+    names = ", ".join(f"{f} double" for f in FEATURES)
+    rows = [(t, m, i, None if i == 7 else float(i), *[1.0] * 11) for t, m, n in (("a", "Line", 2500), ("b", "Line", 40), ("c", "Line", 3), (None, "Line", 300)) for i in range(n)]
+    asked = spark.createDataFrame(rows, f"ticker string, model string, seq long, {names}").repartition(3)
+    answered = scoring.predict(asked, models)
+    got = answered.collect()
+    assert len(got) == len(rows)
+    for r in got:
+        want = "not found" if r.ticker not in ("A", "B") else "invalid" if r.seq == 7 else "ok"
+        assert r.status == want and r.prediction == (r.seq + 1 if want == "ok" else None)
+    placed = scoring.by_model(asked.select(F.upper("ticker").alias("ticker"), "seq", *FEATURES).where("ticker = 'A'"), models, ["ticker"])
+    assert placed.count() == 2500
+    tasks = answered.where("ticker = 'A'").groupBy(F.spark_partition_id()).count()
+    assert tasks.agg(F.sum("count")).first()[0] == 2500

@@ -68,8 +68,7 @@ def fit_linear(
         for i, j in combinations_with_replacement(slots, 2)
     ]
     moments = around.groupBy(*by).agg(*products).join(means, list(by))
-    solve = _solver(len(names), ridge)
-    fit = solve(
+    fit = _solver(len(names), ridge)(
         F.array(*(F.col(f"m{i}") for i in slots)),
         F.array(*(F.col(f"p{i}_{j}") for i, j in combinations_with_replacement(slots, 2))),
     )
@@ -78,27 +77,32 @@ def fit_linear(
     )
 
 
+def solve(square: np.ndarray, ridge: float) -> np.ndarray:
+    """Weights from the products of inputs and label (last) around their means."""
+    inputs, cross = square[:-1, :-1], square[:-1, -1]
+    # Inputs differ in size by orders of magnitude: solve for correlations.
+    scale = np.sqrt(np.clip(np.diag(inputs), 0, None))
+    scale[scale == 0] = 1.0
+    system = inputs / np.outer(scale, scale) + np.diag(ridge / scale**2)
+    return np.linalg.lstsq(system, cross / scale, rcond=1e-10)[0] / scale
+
+
 def _solver(size: int, ridge: float):
     """A UDF from the means and products of inputs and label (last) to the fit."""
     upper = np.triu_indices(size)
 
     @F.pandas_udf("intercept double, weights array<double>")
-    def solve(means: pd.Series, products: pd.Series) -> pd.DataFrame:
+    def fit(means: pd.Series, products: pd.Series) -> pd.DataFrame:
         fits = []
         for mean, pairs in zip(means, products):
             square = np.zeros((size, size))
             square[upper] = pairs
             square += np.triu(square, 1).T
-            inputs, cross = square[:-1, :-1], square[:-1, -1]
-            # Inputs differ in size by orders of magnitude: solve for correlations.
-            scale = np.sqrt(np.diag(inputs))
-            scale[scale == 0] = 1.0
-            system = inputs / np.outer(scale, scale) + np.diag(ridge / scale**2)
-            weights = np.linalg.lstsq(system, cross / scale, rcond=1e-10)[0] / scale
+            weights = solve(square, ridge)
             fits.append((float(mean[-1] - weights @ mean[:-1]), weights.tolist()))
         return pd.DataFrame(fits, columns=["intercept", "weights"])
 
-    return solve
+    return fit
 
 
 def score_linear(

@@ -679,12 +679,10 @@ def predict_requests(spark, folder):
 
 
 def predict_ensembles(spark, folder):
-    """The latest row of each ticker, answered by both saved ensembles."""
+    """The latest row of each ticker, answered by both saved ensembles and by each of their bases."""
     size = series.size_of(ticks(spark, folder))
-    run = train.train_ensembles(
-        _rows(spark, folder, size), work_path(spark, "ensembles"), ["Linear Regression", "RBF Features"], size=size
-    )
-    return _answered(spark, folder, run, "Voting Ensemble", "Stacking Ensemble")
+    run = train.train_ensembles(_rows(spark, folder, size), work_path(spark, "ensembles"), size=size)
+    return _answered(spark, folder, run, "Voting Ensemble", "Stacking Ensemble", *train.BASE_MODELS)
 
 
 def stacking_linear(spark, folder):

@@ -377,7 +377,14 @@ SELECT DISTINCT ticker, 'Random Forest' AS model, 12 AS n_features, TRUE AS sums
             ("Linear Regression", "ok"), ("Nobody", "not found"), ("Stacking Ensemble", "not found"), ("Linear Regression", "invalid")
         ),
         "predict_ensembles": _answers(
-            ("Voting Ensemble", "ok"), ("Stacking Ensemble", "ok"), ("Stacking Ensemble", "ok"), ("Voting Ensemble", "invalid")
+            ("Voting Ensemble", "ok"),
+            ("Stacking Ensemble", "ok"),
+            ("Stacking Ensemble", "ok"),
+            ("Linear Regression", "ok"),
+            ("Random Forest", "ok"),
+            ("RBF Features", "ok"),
+            ("Boosted Trees", "ok"),
+            ("Voting Ensemble", "invalid"),
         ),
         "key_frequency": "\nUNION ALL\n".join(
             f"""SELECT '{key}' AS attribute, CAST({key} AS VARCHAR) AS value, count(*) AS n

@@ -7,7 +7,10 @@ import uuid
 import warnings
 from weakref import WeakKeyDictionary
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -86,6 +89,11 @@ def removed(spark: SparkSession, path: str) -> None:
         warnings.warn(f"{path} is left behind: {failure}", stacklevel=2)
 
 
+def arrow_types(schema: StructType | str) -> pa.Schema:
+    """The Arrow schema of rows that a task passes on; a text schema needs the driver."""
+    return to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema, prefers_large_types=False)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Compute ``df`` once, on storage that outlives the executors."""
     spark = df.sparkSession
