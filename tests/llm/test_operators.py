@@ -7,6 +7,7 @@ import hashlib
 import random
 import re
 import struct
+import time
 import zlib
 
 import numpy as np
@@ -440,6 +441,45 @@ def test_captions_stay_in_an_article():
     assert html.main_text("<article><p>Text.</p><figure><img src=x><figcaption>A caption.</figcaption></figure></article>") == "Text. A caption."
 
 
+BODY = "".join(f"<p>{LONG_PARAGRAPH}</p>" for _ in range(3))
+BODY_TEXT = " ".join([LONG_PARAGRAPH] * 3)
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div class='wrap has-sidebar'>{}</div>",
+        "<div class='layout no-banner'>{}<div class='sidebar'><p>Aside.</p></div></div>",
+        "<div class='entry post comments-open'>{}<div class='comments'><p>%s</p></div></div>" % ("A reader wrote this. " * 400),
+        "<div class='post share'>{}</div><div class='comments-area'><p>A reader.</p></div>",
+        "<main><section class='with-sidebar'>{}</section></main>",
+        "<form action='x'><input name='a'><label>Name</label>{}<button>Send</button></form>",
+        "<body><div role='form'>{}</div><form><p>Search here</p></form></body>",
+        "<article>{}<article><p>A reader says hi.</p></article></article>",
+        "<article>{}</article><article class='comment'><p>A reader says hi.</p></article>",
+    ],
+)
+def test_a_name_does_not_take_the_article_away(page):
+    assert html.main_text(page.format(BODY)) == BODY_TEXT
+
+
+def test_a_page_of_unlikely_parts_only_is_not_empty():
+    assert html.main_text("<div class='comments'><p>All there is.</p></div>") == "All there is."
+
+
+@pytest.mark.parametrize(
+    "piece",
+    ["<a ", "<a x='", '<a x="', "<", "<!", "</script", "<script></script", "<div>", "<div>x, y", "<p>a <a href=x>b</a> c", "<article>", "<li>x", "<b><p>y"],
+)
+def test_extraction_takes_linear_time(piece):
+    html.main_text(piece * (400_000 // len(piece)))
+    nested = "<i><div>" + "<b>" * 40_000 + "</i>" * 40_000 + "<p>x</p>" * 10_000
+    start = time.perf_counter()
+    html.main_text(piece * (400_000 // len(piece)) + nested)
+    assert time.perf_counter() - start < 20
+
+
+
 def test_extraction_equals_the_articles_own_text(spark):
     import html as references
 

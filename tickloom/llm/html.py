@@ -1,8 +1,10 @@
 """HTML extraction by tree scoring.
 
 A tolerant reader turns a page into a tree of elements and pieces of text.  Elements
-that are never article text (scripts, styles, menus, forms, and containers whose class
-or id says advert, sidebar, comment and the like) are left out.  Every paragraph gives
+that are never article text (scripts, styles, menus, controls) are left out.  So are forms,
+articles within an article, and containers whose class, id or role says advert, sidebar,
+comment and the like, unless ``MOST`` of the page's text outside links is in them: then the
+name tells of the page's layout.  Readers' comments by their own name are left out in any case.  Where nothing else has text, names count for nothing.  Every paragraph gives
 points to its ancestors: one, one for each comma and one for each hundred characters (at
 most three of those), in full to its parent and halved with each step up.  A container's
 points are discounted by its share of linked text.  The best container is kept, with those of its
@@ -12,13 +14,15 @@ an article or a main part, scoring is done within these.
 Text is read in page order: character references are decoded, white space within a block
 becomes one space, blocks are trimmed and joined by one space.  Null or empty html, or a page
 without text: the empty string.  Unclosed and stray tags, and comments without an end, are
-read as browsers do.  Null and repeated page_ids are extracted row by row.  Extra columns stay.
+read as browsers do; an element nested deeper than ``DEPTH`` is a sibling.  The time for a page grows
+with its length.  Null and repeated page_ids are extracted row by row.  Extra columns stay.
 """
 
 from __future__ import annotations
 
 import html as references
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -30,7 +34,7 @@ from tickloom.llm.store import to_arrow
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is text up to the end tag, and never read.
 RAW = frozenset("script style textarea title noscript iframe template xmp noembed noframes".split())
-DROPPED = RAW | frozenset("head nav header footer aside form button select option input label dialog menu svg canvas object audio video map".split())
+DROPPED = RAW | frozenset("head nav header footer aside button select option input label dialog menu svg canvas object audio video map".split())
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul br".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PARAGRAPHS = frozenset("p pre td blockquote li dd dt".split()) | HEADINGS
@@ -51,84 +55,164 @@ _SPACE = re.compile(r"\s+")
 #: Ancestors that get points of a paragraph.
 HEIGHT = 6
 SIBLING_SHARE = 0.2
+DEPTH = 512
+#: Tags without an end that are looked for, each to the end of the page, before the rest is text.
+UNENDED = 16
+MOST = 0.8
+#: A class or id of this very name is a reader's comment, however long.
+_COMMENTS = frozenset("comment comments commentlist comment-list comments-list comments-area comments-section comment-section user-comments replies respond".split())
+KEPT, UNLIKELY, COMMENT, LEFT_OUT = range(4)
 
 
 class Node:
-    """An element; children are nodes and texts, in page order."""
+    """An element; children are nodes and texts, in page order.
 
-    __slots__ = ("children", "dropped", "name", "parent", "score")
+    ``mark`` is why it may be left out; ``text`` and ``linked`` count the characters of all text in it, and of that in links.
+    """
 
-    def __init__(self, name: str, parent: Node | None, dropped: bool):
-        self.name, self.parent, self.dropped, self.children, self.score = name, parent, dropped, [], 0.0
+    __slots__ = ("children", "depth", "dropped", "linked", "mark", "name", "parent", "score", "text")
 
+    def __init__(self, name: str, parent: Node | None, mark: int = KEPT):
+        self.name, self.parent, self.mark, self.children, self.score = name, parent, mark, [], 0.0
+        self.depth = parent.depth + 1 if parent else 0
+        self.dropped, self.text, self.linked = False, 0, 0
 
-def _unlikely(name: str, attributes: str) -> bool:
+
+def _mark(name: str, attributes: str) -> int:
     if name in DROPPED:
-        return True
-    if not attributes or name in ("body", "html", "article", "main"):
-        return False
+        return LEFT_OUT
+    mark = UNLIKELY if name == "form" else KEPT
+    if not attributes:
+        return mark
     for key, a, b, c in _ATTRIBUTE.findall(attributes):
-        value = references.unescape(a or b or c)
-        if key.lower() in ("class", "id") and _UNLIKELY.search(value):
-            return True
-        if key.lower() == "role" and _ROLES.fullmatch(value):
-            return True
-        if key.lower() == "aria-hidden" and value.lower() == "true":
-            return True
-        if key.lower() == "hidden":
-            return True
-    return False
+        key, value = key.lower(), references.unescape(a or b or c)
+        if name in ("body", "html", "article", "main"):
+            if key in ("class", "id") and name == "article" and not _COMMENTS.isdisjoint(value.lower().split()):
+                mark = COMMENT
+            continue
+        if key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
+            return LEFT_OUT
+        if key in ("class", "id"):
+            if not _COMMENTS.isdisjoint(value.lower().split()):
+                mark = COMMENT
+            elif _UNLIKELY.search(value):
+                mark = max(mark, UNLIKELY)
+        if key == "role" and _ROLES.fullmatch(value):
+            mark = max(mark, UNLIKELY)
+    return mark
 
 
 def tree(page: str) -> Node:
     """The elements of a page."""
-    root = here = Node("html", None, False)
-    at, end = 0, len(page)
+    root = here = Node("html", None)
+    opened = Counter(("html",))
+    at, look, end, unended = 0, 0, len(page), 0
+
+    def leave(node: Node) -> Node:
+        """The parent of an open element, which ends with all that is open in it."""
+        nonlocal here
+        while here is not node.parent:
+            opened[here.name] -= 1
+            here = here.parent
+        return here
+
     while at < end:
-        found = _TAG.search(page, at)
-        if not found:
+        start = page.find("<", look) if unended < UNENDED else -1
+        if start < 0:
             here.children.append(page[at:])
             break
-        if found.start() > at:
-            here.children.append(page[at : found.start()])
-        at = found.end()
+        found = _TAG.match(page, start)
+        if not found:
+            look = start + 1
+            unended += page[look : look + 1].isalpha() or page[look : look + 1] in ("/", "!", "?")
+            continue
+        if start > at:
+            here.children.append(page[at:start])
+        at = look = found.end()
         comment, closing, name, attributes, _ = found.groups()
         if comment:
             stop = page.find("-->", at)
-            at = end if stop < 0 else stop + 3
+            at = look = end if stop < 0 else stop + 3
             continue
         if not name:
             continue
         name = name.lower()
         if closing:
-            node = here
+            node = here if opened[name] else None
             while node and node.name != name:
                 # A stray end tag of a phrase does not end the block around it.
                 node = None if node.name in BLOCKS and name not in BLOCKS else node.parent
             if node and node.parent:
-                here = node.parent
+                leave(node)
             continue
         if name in ("html", "body", "head") and name == here.name:
             continue
         if name in _CLOSES_P or name in _CLOSES:
             ends = _CLOSES.get(name, set()) | ({"p"} if name in _CLOSES_P else set())
-            node = here
+            node = here if any(opened[e] for e in ends) else root
             while node.parent and (node.name not in BLOCKS or node.name in ends):
+                above = node.parent
                 if node.name in ends:
-                    here = node.parent
+                    leave(node)
                     if node.name == "p" or name in ends:
                         break
-                node = node.parent
-        child = Node(name, here, here.dropped or _unlikely(name, attributes))
+                node = above
+        mark = _mark(name, attributes)
+        if name == "article" and opened["article"]:
+            mark = max(mark, UNLIKELY)
+        child = Node(name, here, mark)
         here.children.append(child)
         if name in RAW:
-            stop = re.compile(f"</{re.escape(name)}[^>]*>", re.I).search(page, at)
-            at = stop.end() if stop else end
-        elif name not in VOID:
+            stop = re.compile(f"</{re.escape(name)}", re.I).search(page, at)
+            close = page.find(">", stop.end()) if stop else -1
+            at = look = close + 1 if close >= 0 else end
+        elif name not in VOID and here.depth < DEPTH:
             here = child
+            opened[name] += 1
+    _measure(root)
     return root
 
 
+def _order(top: Node) -> list[Node]:
+    """All elements under ``top``, each before those in it."""
+    found, stack = [], [top]
+    while stack:
+        node = stack.pop()
+        found.append(node)
+        stack.extend(c for c in node.children if isinstance(c, Node))
+    return found
+
+
+def _measure(root: Node, by_name: bool = True) -> None:
+    """Lengths of the text in each element, and which elements are left out."""
+    order = _order(root)
+
+    def sums() -> None:
+        for node in reversed(order):
+            node.text = node.linked = 0
+            if node.dropped:
+                continue
+            for c in node.children:
+                if isinstance(c, str):
+                    node.text += len(" ".join(references.unescape(c).split()))
+                else:
+                    node.text += c.text
+                    node.linked += c.linked
+            if node.name == "a":
+                node.linked = node.text
+
+    for node in order:
+        node.dropped = node.mark >= (COMMENT if by_name else LEFT_OUT) or bool(node.parent and node.parent.dropped)
+    sums()
+    if not by_name:
+        return
+    most = MOST * (root.text - root.linked)
+    for node in order:
+        unlikely = node.mark == UNLIKELY and node.text - node.linked <= most
+        node.dropped = node.dropped or unlikely or bool(node.parent and node.parent.dropped)
+    sums()
+
+
 def _nodes(top: Node) -> Iterator[Node]:
     """Elements under ``top`` in page order, without those left out."""
     stack = [top]
@@ -140,7 +224,7 @@ def _nodes(top: Node) -> Iterator[Node]:
         stack.extend(c for c in reversed(node.children) if isinstance(c, Node))
 
 
-def blocks(tops: list[Node], links_only: bool = False) -> list[str]:
+def blocks(tops: list[Node]) -> list[str]:
     """Texts of the blocks under some elements."""
     out: list[str] = []
     run: list[str] = []
@@ -153,40 +237,52 @@ def blocks(tops: list[Node], links_only: bool = False) -> list[str]:
 
     for top in tops:
         stack: list[Node | str | None] = [top]
-        linked = 0
         while stack:
             item = stack.pop()
             if item is None:
                 close()
             elif isinstance(item, str):
-                if item == "\0/a":
-                    linked -= 1
-                elif not links_only or linked:
-                    run.append(item)
+                run.append(item)
             elif not item.dropped:
                 if item.name in BLOCKS:
                     close()
                     stack.append(None)
-                if item.name == "a":
-                    linked += 1
-                    stack.append("\0/a")
                 stack.extend(reversed(item.children))
         close()
     return out
 
 
-def _length(tops: list[Node], links_only: bool = False) -> int:
-    return sum(map(len, blocks(tops, links_only)))
-
-
 def main_text(page: str | None) -> str:
     """The article's text."""
     if not page:
         return ""
     root = tree(page.replace("\0", "�"))
-    marked = [n for n in _nodes(root) if n.name in ("article", "main")]
-    # The outermost of those that are marked; several articles of one page are scored like containers.
-    tops = [n for n in marked if not any(_within(n, m) for m in marked)] or [root]
+    text = _article(root)
+    if not text:
+        _measure(root, by_name=False)
+        for node in _order(root):
+            node.score = 0.0
+        text = _article(root)
+    return text
+
+
+def _marked(root: Node) -> list[Node]:
+    """The outermost elements that the page marks as an article or its main part."""
+    found, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        if node.dropped:
+            continue
+        if node.name in ("article", "main"):
+            found.append(node)
+        else:
+            stack.extend(c for c in reversed(node.children) if isinstance(c, Node))
+    return found
+
+
+def _article(root: Node) -> str:
+    # Several articles of one page are scored like containers.
+    tops = _marked(root) or [root]
     scored: list[Node] = []
     for top in tops:
         for node in _nodes(top):
@@ -211,7 +307,7 @@ def main_text(page: str | None) -> str:
     if not scored:
         return " ".join(blocks(tops))
     for node in scored:
-        node.score *= 1 - _length([node], True) / max(_length([node]), 1)
+        node.score *= 1 - node.linked / max(node.text, 1)
     best = max(scored, key=lambda n: n.score)
     # A container of the page's mark goes in whole: what is not article in it has been left out by name.
     for top in tops:
@@ -235,16 +331,20 @@ def _with_siblings(best: Node) -> list[Node]:
             phrase = None
             continue
         if phrase is None:
-            phrase = Node("p", None, False)
+            phrase = Node("p", None)
             siblings.append(phrase)
         phrase.children.append(c)
+        if isinstance(c, str):
+            phrase.text += len(" ".join(references.unescape(c).split()))
+        else:
+            phrase.text += c.text
+            phrase.linked += c.linked
     return [c for c in siblings if not c.dropped and (c is best or _joins(c, best) or _is_text(c))]
 
 
 def _is_text(node: Node) -> bool:
     """Whether an element has text that is not mainly links."""
-    length = _length([node])
-    return length > 0 and _length([node], True) < 0.25 * length
+    return node.text > 0 and node.linked < 0.25 * node.text
 
 
 def _joins(node: Node, best: Node) -> bool:
@@ -253,12 +353,12 @@ def _joins(node: Node, best: Node) -> bool:
         return True
     if node.name not in PARAGRAPHS:
         return False
-    return _is_text(node) and (_length([node]) > 80 or node.name in HEADINGS)
+    return _is_text(node) and (node.text > 80 or node.name in HEADINGS)
 
 
 def _own(node: Node) -> Node:
     """A node without the paragraphs inside it, which score for themselves."""
-    own = Node(node.name, None, False)
+    own = Node(node.name, None)
     own.children = [c for c in node.children if isinstance(c, str) or c.name not in BLOCKS or c.name == "br"]
     return own
 
@@ -267,10 +367,6 @@ def _has_own_text(node: Node) -> bool:
     return any(isinstance(c, str) and not c.isspace() for c in node.children)
 
 
-def _within(node: Node, other: Node) -> bool:
-    return node is not other and _within_or_same(node, other)
-
-
 def _within_or_same(node: Node | None, other: Node) -> bool:
     while node is not None:
         if node is other:
