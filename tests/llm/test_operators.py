@@ -376,6 +376,19 @@ def test_warc_round_trip(spark):
     assert {r["record_type"] for r in least.collect()} == {"response"}
 
 
+@pytest.mark.parametrize("page_id", [None, 5])
+def test_records_of_one_page_id_or_none_are_spread(spark, page_id):
+    rows = [(page_id, f"u{i}", f"body {i % 150}") for i in range(600)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    index = warc.write(pages)
+    assert index.select("file").distinct().count() > 1
+    got = warc.read(index, task_bytes=2000)
+    kinds = collections.Counter((r["record_type"], r["refers_to"]) for r in got.collect())
+    assert kinds == ({("response", None): 600} if page_id is None else {("response", None): 150, ("revisit", 5): 450})
+    tasks = got.groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) > 4 and sum(r["count"] for r in tasks) == 600
+
+
 def test_ranges_join_neighbours():
     places = [{"file": f, "offset": o, "length": 10} for f, o in (("a", 0), ("a", 10), ("a", 25), ("a", 100), ("b", 110))]
     assert [len(r) for r in warc._ranges(places, 5, 1000)] == [3, 1, 1]
@@ -557,6 +570,21 @@ def test_conversations_read_back(spark, said):
     assert got["formatted"].count(chat.CLOSE) == 1 + sum(a[0] != b[0] and (a[0] or "") != (b[0] or "") for a, b in zip(said, said[1:], strict=False))
 
 
+def test_a_long_conversation_takes_linear_time(spark):
+    said = [(1, i, "user" if i % 3 == 0 else "assistant", f"<t{i}> é" if i % 5 else "") for i in range(60_000)]
+    said += [(2, i, "assistant", str(i)) for i in range(3000)]
+    df = spark.createDataFrame(said, "conv_id long, turn long, role string, text string").repartition(4)
+    start = time.perf_counter()
+    got = {r["conv_id"]: r for r in chat.digests(chat.format_conversations(df)).collect()}
+    assert time.perf_counter() - start < 60
+    for conv in (1, 2):
+        mine = [(r, t) for c, _, r, t in said if c == conv]
+        learned = "".join(t for r, t in mine if r == "assistant")
+        assert got[conv]["n_turns"] == len(mine)
+        assert got[conv]["turns_sha256"] == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in mine).encode()).hexdigest()
+        assert (got[conv]["loss_chars"], got[conv]["loss_sha256"]) == (len(learned), hashlib.sha256(learned.encode()).hexdigest())
+
+
 def test_chat_of_odd_rows(spark):
     schema = "conv_id long, turn long, role string, text string"
     rows = [(None, 1, "user", "a"), (1, None, "user", "first"), (1, 0, "user", "x"), (1, 0, "user", "x"), (2, 0, "assistant", None)]

@@ -7,7 +7,8 @@ the others are revisits of it.  ``read`` takes index rows, sorts them by place,
 neighbouring byte ranges into one read each and parses the records.
 
 Null html: an empty payload.  Null page_id: always a response, and nothing refers to it.
-Repeated rows: one is the response, the others revisit it, so refers_to is their own page_id.
+Repeated rows: one is the response, the others revisit it, so refers_to is their own page_id; they
+meet in one task, row after row.
 Null url: the record has none.  Empty tables give an empty index.  Extra columns are not
 stored.  A task that is run again writes new files; only the index of the successful run
 is kept, so files of lost tasks are never read.
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tickloom.llm.store import staged, to_arrow
+from tickloom.llm.store import lean, staged, to_arrow
 from tickloom.session import work_path
 
 #: Payloads below this are never revisits.
@@ -37,6 +38,8 @@ LEAST_BYTES = 0
 ARCHIVE_BYTES = 256 << 20
 #: Ranges with at most so many bytes between them are one read, up to so many bytes.
 GAP_BYTES, READ_BYTES = 64 << 10, 8 << 20
+#: Bytes of archives that a task reads.
+TASK_BYTES = 128 << 20
 GZIP_LEVEL = 1
 DATE = "1970-01-01T00:00:00Z"
 #: Fixed value of the format.
@@ -142,21 +145,19 @@ class _Archive:
 
 
 def _written(folder: str, limit: int, least_bytes: int):
-    """Rows (page_id, url, html, first), equal ids together and in order, to archives; yields the index."""
+    """Rows (page_id, url, html, hex, first), equal payloads of a page together, to archives; yields the index."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        archive, before, seen = _Archive(folder, limit), None, {}
+        archive, before, again = _Archive(folder, limit), None, 0
         try:
             for whole in batches:
                 for lo in range(0, whole.num_rows, 500):
                     rows = []
                     for row in whole.slice(lo, 500).to_pylist():
-                        page, payload = row["page_id"], (row["html"] or "").encode()
+                        page, payload, refers = row["page_id"], (row["html"] or "").encode(), row["first"]
                         digest = base32_sha1(payload)
-                        if page != before:
-                            before, seen = page, {}
-                        again = seen[digest] = seen.get(digest, -1) + 1
-                        refers = (row["firsts"] or {}).get(digest)
+                        again = again + 1 if (page, digest) == before else 0
+                        before = (page, digest)
                         if refers is None and again and page is not None and len(payload) >= least_bytes:
                             refers = page
                         place = archive.add(_record(page, row["url"], payload, digest, refers, again))
@@ -165,54 +166,26 @@ def _written(folder: str, limit: int, least_bytes: int):
         finally:
             archive.close()
 
-    return _dicts(run)
-
-
-def _dicts(run):
-    """Map columns come as lists of pairs."""
-
-    def outer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from run(_Rows(b) for b in batches)
-
-    return outer
-
-
-class _Rows:
-    def __init__(self, batch: pa.RecordBatch):
-        self.batch, self.num_rows = batch, batch.num_rows
-
-    def slice(self, at: int, length: int) -> _Rows:
-        return _Rows(self.batch.slice(at, length))
-
-    def to_pylist(self) -> list[dict]:
-        rows = self.batch.to_pylist()
-        for row in rows:
-            row["firsts"] = dict(row["firsts"]) if row["firsts"] else None
-        return rows
-
-
-def _base32(hex_digest):
-    """Base 32 of a SHA-1 given as hex: forty hex digits are thirty-two of five bits."""
-    bits = F.concat(*(F.lpad(F.conv(F.substring(hex_digest, 5 * i + 1, 5), 16, 2), 20, "0") for i in range(8)))
-    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
-    return F.concat(*(F.substring(F.lit(letters), F.conv(F.substring(bits, 5 * i + 1, 5), 2, 10).cast("int") + 1, F.lit(1)) for i in range(32)))
+    return run
 
 
 def write(pages: DataFrame, folder: str | None = None, least_bytes: int = LEAST_BYTES, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Archive all pages; the index, as a stored table."""
     spark = pages.sparkSession
     folder = folder or work_path(spark, "llm-warc")
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), "html")
     payload = F.coalesce("html", F.lit(""))
-    facts = staged(rows.select("page_id", F.sha1(payload.cast("binary")).alias("hex"), F.octet_length(payload).cast("long").alias("n")), "payloads")
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), "html", F.sha1(payload.cast("binary")).alias("hex"))
+    # The payloads of one page, and pages without an id, are dealt out apart; only equal payloads of a page must meet.
+    key = F.when(F.col("page_id").isNull(), F.xxhash64("url", "hex")).otherwise(F.xxhash64("page_id", "hex"))
+    facts = staged(rows.select("page_id", "hex", F.octet_length(payload).cast("long").alias("n")), "payloads")
     # The least page of each payload that several rows have; then the rows that revisit it, by page.
     groups = facts.where(F.col("n") >= least_bytes).groupBy("hex").agg(F.min("page_id").alias("first"), F.count("page_id").alias("rows")).where("rows > 1").drop("rows")
     revisits = facts.select("page_id", "hex").distinct().join(groups, "hex").where("page_id > first")
-    by_page = revisits.withColumn("digest", _base32(F.col("hex"))).groupBy("page_id").agg(F.map_from_entries(F.collect_list(F.struct("digest", "first"))).alias("firsts"))
+    revisits = revisits.select(F.xxhash64("page_id", "hex").alias("__key"), "first")
     total = facts.agg(F.sum("n")).first()[0] or 0
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // archive_bytes))
-    placed = rows.repartition(tasks, "page_id").join(by_page.withColumnRenamed("page_id", "__page"), F.col("page_id") == F.col("__page"), "left").drop("__page")
-    return staged(placed.sortWithinPartitions("page_id").mapInArrow(_written(folder, archive_bytes, least_bytes), INDEX), "index")
+    placed = rows.withColumn("__key", key).repartition(tasks, "__key").join(revisits, "__key", "left").drop("__key")
+    return staged(placed.sortWithinPartitions("page_id", "hex").mapInArrow(lean(_written(folder, archive_bytes, least_bytes)), INDEX), "index")
 
 
 def _ranges(places: list[dict], gap: int, most: int) -> Iterator[list[dict]]:
@@ -248,8 +221,15 @@ def _read(gap: int, most: int):
     return run
 
 
-def read(index: DataFrame, gap: int = GAP_BYTES, most: int = READ_BYTES) -> DataFrame:
-    """The records of index rows: page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload."""
-    block = F.floor(F.col("offset") / (8 * most))
-    places = index.select("file", "offset", "length").repartition("file", block).sortWithinPartitions("file", "offset")
-    return places.mapInArrow(_read(gap, most), RECORD)
+def read(index: DataFrame, gap: int = GAP_BYTES, most: int = READ_BYTES, task_bytes: int = TASK_BYTES) -> DataFrame:
+    """The records of index rows: page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload.
+
+    The index says how many bytes there are to read, and so how many tasks they take.
+    """
+    spark = index.sparkSession
+    places = index.select("file", "offset", "length")
+    total, rows = places.agg(F.sum("length"), F.count("*")).first()
+    tasks = max(-(-(total or 0) // task_bytes), min(rows, spark.sparkContext.defaultParallelism))
+    block = F.floor(F.col("offset") / min(most, task_bytes))
+    places = places.repartition(max(1, tasks), "file", block).sortWithinPartitions("file", "offset")
+    return places.mapInArrow(lean(_read(gap, most)), RECORD)
