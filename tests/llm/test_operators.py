@@ -310,9 +310,10 @@ def test_templates_and_slots(spark):
     ]
     items = spark.createDataFrame([(1, item, "x"), (1, item, "x"), (2, None, "x"), (None, "", "x"), (3, "too short", "x")], "item_id long, text string, doc_id string")
     docs = documents(spark, rows)
-    assert {r["doc_id"] for r in decontaminate.contaminated(docs, items).collect()} == {1, None, 5}
+    # A copy all in capitals is one, whatever names it holds.
+    assert {r["doc_id"] for r in decontaminate.contaminated(docs, items).collect()} == {1, None, 4, 5}
     kept = decontaminate.drop(docs, items)
-    assert kept.columns == docs.columns and kept.count() == len(rows) - 3
+    assert kept.columns == docs.columns and kept.count() == len(rows) - 4
     assert decontaminate.drop(docs, items.limit(0)).count() == len(rows)
     assert decontaminate.contaminated(docs.limit(0), items).count() == 0
 

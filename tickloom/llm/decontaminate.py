@@ -14,12 +14,13 @@ contaminated by an item when what counts covers
 
 A template of few literal words would meet any text, so a window of them is joined by its
 own words instead, without case; so is an item of fewer than ``LEAST_WORDS`` words, by its
-whole length.  The other windows are joined in both ways, so that a copy in other case is
-found too, but for windows all in capitals.  Operators between words count there.
+whole length.  The other windows are joined in both ways, so that a copy in other case, all in
+capitals too, is found.  Operators between words count there.
 
-Documents' windows are looked up in a bitmap of fixed size before the join, so nearly
-none of them are shuffled; the join is exact.  The benchmark's windows are broadcast
-only when counted to be few.
+Documents' windows are looked up in a bitmap before the join, so nearly none of them are
+shuffled; the join is exact.  The bitmap is made by the tasks that read the benchmark and grows
+with its windows up to ``BITMAP_BITS[1]``.  The benchmark's windows are broadcast only when
+counted to be few, in rows and bytes.
 
 Null or empty texts and items hold nothing, nor does mere punctuation.  Null ids are matched like
 others.  Rows that share a doc_id are told apart by their text.  Extra columns stay.
@@ -45,8 +46,9 @@ from tickloom.session import BROADCAST_ROWS
 WIDTH, RUN, LEAST_WORDS = 8, 13, 5
 #: Windows joined as templates are few placeholders in the main: at least this share is literal words.
 LITERAL_SHARE = 0.5
-#: Bits that a window's hash is looked up by.
-BITMAP_BITS = 22
+#: Bits that a window's hash is looked up by, at least and at most, and places of the bitmap for a window.
+BITMAP_BITS, PLACES = (22, 28), 32
+BROADCAST_BYTES = 64_000_000
 CACHE = 400_000
 
 #: Words that are units when they follow a number.
@@ -67,7 +69,7 @@ _LITERAL, _NUM, _UNIT, _NAME, _NUM_UNIT = range(5)
 _U = np.uint64
 _BASE = _U(0x9FB21C651E98DF25)
 _PLACEHOLDER = mix(np.arange(5, dtype=_U) + _U(0xC0FFEE))
-#: Windows are joined as templates, by their words, or by their words unless all in capitals.
+#: Windows are joined as templates, by their words, or both (the words of a template).
 _TEMPLATE, _EXACT, _FOLDED = range(3)
 _SALT = mix(np.arange(3, dtype=_U) + _U(0x5EED))
 
@@ -91,7 +93,7 @@ def canonical(word: str) -> tuple[int, str] | None:
 
 
 class Words(NamedTuple):
-    """Of each template word: row, kind, template hash, number, hash of the word without case, and of the operator before it, whether it may be a unit, whether it has small letters."""
+    """Of each template word: row, kind, template hash, number, hash of the word without case, and of the operator before it, whether it may be a unit."""
 
     row: np.ndarray
     kind: np.ndarray
@@ -100,7 +102,6 @@ class Words(NamedTuple):
     literal: np.ndarray
     operator: np.ndarray
     unit: np.ndarray
-    small: np.ndarray
 
 
 class Templates:
@@ -114,10 +115,9 @@ class Templates:
         self._kinds: list[int] = []
         self._values: list[str] = []
         self._hashes: list[int] = []
-        self._small: list[bool] = []
         self._operators: list[int] = []
         self._done = 0
-        self._tables: list[np.ndarray] = [np.zeros(0, np.int64), np.zeros(0, _U), np.zeros(0, bool)]
+        self._tables: list[np.ndarray] = [np.zeros(0, np.int64), np.zeros(0, _U)]
 
     def _id(self, word: str) -> int:
         found = canonical(word)
@@ -131,7 +131,6 @@ class Templates:
             self._kinds.append(found[0])
             self._values.append(found[1])
             self._hashes.append(xxhash.xxh3_64_intdigest(found[1]))
-            self._small.append(word != word.upper())
         self._ids[word] = number
         return number
 
@@ -155,14 +154,14 @@ class Templates:
         signs[at] = np.array(self._operators, _U)[-2 - number[at - 1]]
         number, row, signs = number[real], row[real], signs[real]
         if len(self._kinds) > self._done:
-            self._tables = [np.array(self._kinds, np.int64), np.array(self._hashes, _U), np.array(self._small, bool)]
+            self._tables = [np.array(self._kinds, np.int64), np.array(self._hashes, _U)]
             self._done = len(self._kinds)
-        kind, literal, small = (t[number] for t in self._tables)
+        kind, literal = (t[number] for t in self._tables)
         unit = kind == _UNIT
         lone = unit.copy()
         lone[1:] &= ~((kind[:-1] == _NUM) & (row[1:] == row[:-1]))
         kind[lone] = _LITERAL
-        return Words(row, kind, np.where(kind == _LITERAL, literal, _PLACEHOLDER[kind]), number, literal, signs, unit, small)
+        return Words(row, kind, np.where(kind == _LITERAL, literal, _PLACEHOLDER[kind]), number, literal, signs, unit)
 
     def value(self, number: int) -> str:
         return self._values[number]
@@ -208,10 +207,8 @@ def _window_rows(id_name: str, sought: list[tuple[int, int]] | None, width: int,
             for way in ways:
                 window = hashes ^ _SALT[way]
                 if bitmap is not None:
-                    place = window >> _U(64 - BITMAP_BITS)
+                    place = window >> _U(64 - _bits(bitmap))
                     keep = (bitmap[place >> _U(3)] >> (place & _U(7)).astype(np.uint8)) & 1 == 1
-                    if way == _FOLDED:
-                        keep &= _in_window(words.small, at, n) > 0
                 else:
                     good = (_in_window(words.kind == _LITERAL, at, n) >= LITERAL_SHARE * n) & (n >= LEAST_WORDS)
                     # Whether a first word is a unit depends on what stands before the copy.
@@ -243,6 +240,33 @@ def _window_rows(id_name: str, sought: list[tuple[int, int]] | None, width: int,
     return run
 
 
+def _bits(bitmap: np.ndarray) -> int:
+    """How many bits of a hash are its place in a bitmap."""
+    return (8 * len(bitmap)).bit_length() - 1
+
+
+def _mapped(bits: int):
+    """The bitmap of a task's windows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = np.zeros(1 << (bits - 3), np.uint8)
+        for batch in batches:
+            place = batch.column(0).to_numpy().view(_U) >> _U(64 - bits)
+            np.bitwise_or.at(bitmap, place >> _U(3), _U(1).astype(np.uint8) << (place & _U(7)).astype(np.uint8))
+        yield pa.RecordBatch.from_arrays([pa.array([bitmap.tobytes()], pa.binary())], names=["bitmap"])
+
+    return run
+
+
+def _bitmap(items: DataFrame, count: int) -> np.ndarray:
+    """The places of all windows of the benchmark, merged from a few tasks."""
+    bits = min(max((PLACES * count).bit_length(), BITMAP_BITS[0]), BITMAP_BITS[1])
+    merged = np.zeros(1 << (bits - 3), np.uint8)
+    for r in items.select("window").coalesce(8).mapInArrow(_mapped(bits), "bitmap binary").toLocalIterator():
+        merged |= np.frombuffer(r["bitmap"], np.uint8)
+    return merged
+
+
 def _keyed(df: DataFrame, id_name: str) -> DataFrame:
     return df.select(F.col(id_name).cast("long").alias(id_name), F.xxhash64("text").alias("text_key"), "text")
 
@@ -251,14 +275,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, run:
     """(doc_id, text_key, item_id, n_covered, n_item_words): documents that hold an item, and how many of its words."""
     schema = _schema("item_id")
     items = staged(_keyed(benchmark, "item_id").mapInArrow(_window_rows("item_id", None, width, None), schema), "items")
-    places = items.select("n", "way", F.shiftrightunsigned("window", 64 - BITMAP_BITS).alias("place")).distinct().collect()
-    bitmap = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
-    for r in places:
-        bitmap[r["place"] >> 3] |= 1 << (r["place"] & 7)
-    sought = sorted({(r["n"], r["way"]) for r in places})
+    count, size = items.agg(F.count("*"), F.sum(F.lit(80) + F.octet_length(F.array_join("slots", "")) + 24 * F.size("slots"))).first()
+    sought = sorted((r["n"], r["way"]) for r in items.select("n", "way").distinct().collect())
+    bitmap = _bitmap(items, count)
     rows = _keyed(docs, "doc_id").mapInArrow(lean(_window_rows("doc_id", sought, width, bitmap)), _schema("doc_id"))
     of_item = items.select("item_id", F.col("text_key").alias("item_key"), "window", "n", "way", F.col("at").alias("item_at"), F.col("words").alias("n_item_words"), F.col("slots").alias("item_slots"))
-    if items.count() <= BROADCAST_ROWS:
+    if count <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES:
         of_item = F.broadcast(of_item)
     same = F.col("item_slots") == F.col("slots")
     met = rows.drop("words").join(of_item, ["window", "n", "way"])
