@@ -263,6 +263,75 @@ def test_classifiers_on_odd_input(spark, module):
     assert module.classify(documents(spark, []), none).count() == 0
 
 
+def newton(slope_and_curve, width):
+    """The least point of a convex function, to rounding."""
+    theta = np.zeros(width)
+    for _ in range(60):
+        slope, curve = slope_and_curve(theta)
+        theta = theta - np.linalg.solve(curve, slope)
+    return theta
+
+
+def test_pairwise_weights_are_near_the_optimum(monkeypatch):
+    monkeypatch.setattr(quality, "WIDTH", 4)
+    dice = np.random.default_rng(3)
+    x = dice.normal(0, 2, (300, 4))
+    y = (x @ [1, -1, 0.5, 0] + dice.normal(0, 2, 300) > 0).astype(int)
+    mean, scale, theta = quality.fit(x, y)
+    z = quality.standard(x, mean, scale)
+    chosen = np.random.default_rng(20)
+    count = 4 * len(y)
+    d = z[chosen.choice(np.flatnonzero(y == 1), count)] - z[chosen.choice(np.flatnonzero(y == 0), count)]
+
+    def loss(t):
+        return np.log1p(np.exp(-d @ t)).mean() + quality.RIDGE / 2 * t @ t
+
+    def parts(t):
+        lost = 1 / (1 + np.exp(d @ t))
+        return -(lost @ d) / count + quality.RIDGE * t, (d * (lost * (1 - lost))[:, None]).T @ d / count + quality.RIDGE * np.eye(4)
+
+    best = newton(parts, 4)
+    assert loss(best) <= loss(theta) < loss(best) + 1e-4
+    assert np.allclose(theta, best, atol=0.02)
+
+
+def test_counterfactual_weights_are_near_the_optimum():
+    dice = np.random.default_rng(4)
+    real = [sorted(set(dice.integers(0, 5, 3).tolist())) for _ in range(120)]
+    swapped = [[4 if i == 3 else 3 if i == 4 else i for i in r] if {3, 4} & set(r) else None for r in real]
+    y = np.array([float(0 in r or (3 in r and dice.random() < 0.8)) for r in real])
+    weights, bias = toxicity.fit(real, swapped, y, 5, np.ones(len(y)))
+    x = np.array([[float(i in r) for i in range(5)] + [1.0] for r in real])
+    change = np.array([[float(i in r) - float(i in s) for i in range(5)] + [0.0] for r, s in zip(real, swapped, strict=True) if s])
+    ridge = toxicity.RIDGE * np.diag([1.0] * 5 + [0.0])
+
+    def loss(t):
+        p = 1 / (1 + np.exp(-x @ t))
+        return -np.mean(y * np.log(p) + (1 - y) * np.log(1 - p)) + t @ ridge @ t / 2 + toxicity.COUNTERFACTUAL * np.mean((change @ t) ** 2)
+
+    def parts(t):
+        p = 1 / (1 + np.exp(-x @ t))
+        slope = (p - y) @ x / len(y) + ridge @ t + 2 * toxicity.COUNTERFACTUAL / len(change) * change.T @ (change @ t)
+        return slope, (x * (p * (1 - p))[:, None]).T @ x / len(y) + ridge + 2 * toxicity.COUNTERFACTUAL / len(change) * change.T @ change
+
+    best = newton(parts, 6)
+    # 250 steps of Adam are near it, not at it.
+    assert loss(np.r_[weights, bias]) < loss(best) + 3e-3
+
+
+def test_the_cut_is_a_quantile_of_all_labelled_rows(spark):
+    values = spark.createDataFrame([(float(v),) for v in (5, 1, 1, 9, 3, 7, 2, 8)], "value double")
+    assert quality.quantile(values, 0.5) == 4.0
+    assert quality.quantile(values, 1.0) == 9.0
+    docs = documents(spark, [(i, ("good words here, " if i % 4 else "BAD!! ### ") * (5 + i % 7)) for i in range(400)] + [(900, "é" * 300_000), (901, "### " * 200_000)])
+    labels = spark.createDataFrame([(i, int(i % 4 > 0), 0) for i in range(400)], "doc_id long, quality int, toxic int")
+    model = quality.train(docs, labels, limit=60)
+    got = {r["doc_id"]: r["s"] for r in quality.with_score(docs, model, "s").collect()}
+    assert all((got[i] >= quality.THRESHOLD) == (i % 4 > 0) for i in range(400))
+    # However odd a text is, its features go no further than those of the fit.
+    assert 0 < got[901] < quality.THRESHOLD and np.isfinite(model.worth(np.full((1, quality.WIDTH), 1e9))).all()
+
+
 def test_swapped_identity_terms_keep_the_score(spark):
     dice = random.Random(8)
     rows, labels = [], []

@@ -4,11 +4,11 @@ A document's worth is a linear function of its features: shares of letters, capi
 digits and symbols, repetition of words and lines, and how often each shape of word
 occurs.  It is learned from preference pairs (a document labelled 1 is preferred to
 one labelled 0) by the logistic loss on the difference of their features.  The cut is a
-quantile of the worths of the labelled rows, at the share of label 0.  The score is the
+quantile of the worths of all labelled rows, at the share of label 0.  The score is the
 worth through a logistic curve that gives ``threshold`` at the cut.
 
-Learned from at most ``limit`` labelled rows, half of each label, never held-out ones;
-the pairs are a bounded, fixed choice among them.  Null text counts as empty; empty
+The weights are learned from at most ``limit`` labelled rows, half of each label; the pairs
+are a bounded, fixed choice among them.  Held-out rows are neither in them nor in the cut.  Null text counts as empty; empty
 texts are scored like others.  Null doc_id: scored, never learned from.  Repeated rows
 score alike.  Without labels of both kinds every worth is 0.  Extra columns are left out.
 """
@@ -25,17 +25,21 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, StructField, StructType
 
 from tickloom.llm import labelled
-from tickloom.llm.store import to_arrow
+from tickloom.llm.store import lean, staged, to_arrow
 from tickloom.llm.text import WORD
+from tickloom.session import BROADCAST_ROWS, freed
 
 LIMIT = 12_000
 PAIRS, STEPS, RIDGE = 60_000, 300, 1e-3
 THRESHOLD = 0.3
 #: Shapes of words are hashed to so many features.
 SHAPES = 96
+FAR = 8.0
+#: The rank of the cut is right to one in so many.
+RANKS = 1_000_000
 CACHE = 300_000
 
 _BYTE = np.arange(256)
@@ -118,6 +122,11 @@ class Features:
         return out
 
 
+def standard(features: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """Features in deviations from the mean, at most ``FAR`` of them."""
+    return np.clip((features - mean) / scale, -FAR, FAR)
+
+
 class Model(NamedTuple):
     mean: np.ndarray
     scale: np.ndarray
@@ -125,26 +134,29 @@ class Model(NamedTuple):
     cut: float
     threshold: float
 
+    def worth(self, features: np.ndarray) -> np.ndarray:
+        return standard(features, self.mean, self.scale) @ self.theta
+
     def scores(self, features: np.ndarray) -> np.ndarray:
-        worth = (features - self.mean) / self.scale @ self.theta
+        worth = self.worth(features)
         return 1 / (1 + np.exp(-np.clip(worth - self.cut + np.log(self.threshold / (1 - self.threshold)), -700, 700)))
 
 
-_EXAMPLE = StructType([StructField("label", IntegerType()), StructField("features", ArrayType(DoubleType()))])
+_EXAMPLE = StructType([StructField("label", IntegerType()), StructField("chosen", BooleanType()), StructField("features", ArrayType(DoubleType()))])
 
 
 def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     features, types = Features(), to_arrow(_EXAMPLE)
     for batch in batches:
-        rows = [features(t.as_py()) for t in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int32()), pa.array(rows, types.field(1).type)], schema=types)
+        rows = [features(t.as_py()) for t in batch.column(2)]
+        yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int32()), batch.column(1), pa.array(rows, types.field(2).type)], schema=types)
 
 
 def fit(features: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Mean, scale and weights: full-batch Adam on the Bradley-Terry loss."""
     mean, scale = features.mean(0), features.std(0)
     scale = np.where(scale < 1e-9, 1.0, scale)
-    x = np.clip((features - mean) / scale, -8, 8)
+    x = standard(features, mean, scale)
     chosen = np.random.default_rng(20)
     better, worse = np.flatnonzero(labels == 1), np.flatnonzero(labels == 0)
     count = min(PAIRS, 4 * len(labels))
@@ -158,21 +170,32 @@ def fit(features: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return mean, scale, theta
 
 
-def quantile(values: np.ndarray, weights: np.ndarray, share: float) -> float:
-    """The middle between the last value within ``share`` of the weight and the next one."""
-    order = np.argsort(values, kind="stable")
-    below = np.cumsum(weights[order]) / weights.sum()
-    at = int(np.searchsorted(below, share + 1e-9, "right"))
-    at = min(max(at, 1), len(values) - 1)
-    return float((values[order[at - 1]] + values[order[at]]) / 2)
+def quantile(values: DataFrame, share: float) -> float:
+    """The middle between the ``value`` at ``share`` of all rows and the next one."""
+    low = values.agg(F.percentile_approx("value", share, RANKS)).first()[0]
+    above = values.where(F.col("value") > low).agg(F.min("value")).first()[0]
+    return low if above is None else (low + above) / 2
+
+
+def _worths(model: Model):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                features = batch.column(0).values.to_numpy(zero_copy_only=False)[batch.column(0).offset * WIDTH :][: batch.num_rows * WIDTH]
+                yield pa.RecordBatch.from_arrays([pa.array(model.worth(features.reshape(-1, WIDTH)))], names=["value"])
+
+    return run
 
 
 def train(docs: DataFrame, labels: DataFrame, limit: int = LIMIT, threshold: float = THRESHOLD) -> Model:
     neutral = Model(np.zeros(WIDTH), np.ones(WIDTH), np.zeros(WIDTH), 0.0, threshold)
-    chosen, counts, shares = labelled.sample(labels, "quality", limit)
+    usable, counts, _ = labelled.usable(labels, "quality", limit)
     if len(counts) < 2:
         return neutral
-    rows = labelled.texts(docs, chosen).mapInArrow(_examples, _EXAMPLE).collect()
+    if sum(counts.values()) <= BROADCAST_ROWS:
+        usable = F.broadcast(usable)
+    examples = staged(labelled.all_texts(docs, usable).mapInArrow(lean(_examples), _EXAMPLE), "examples")
+    rows = examples.where("chosen").collect()
     y = np.array([r["label"] for r in rows])
     if len(set(y.tolist())) < 2:
         return neutral
@@ -182,9 +205,10 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = LIMIT, threshold: flo
     x, y = x[order], y[order]
     mean, scale, theta = fit(x, y)
     model = Model(mean, scale, theta, 0.0, threshold)
-    weight = np.where(y == 1, 1 / shares[1], 1 / shares[0])
-    worth = (x - mean) / scale @ theta
-    return model._replace(cut=quantile(worth, weight, weight[y == 0].sum() / weight.sum()))
+    worths = staged(examples.select("features").mapInArrow(lean(_worths(model)), "value double"), "worths")
+    bad = examples.agg(F.avg((F.col("label") == 0).cast("int"))).first()[0]
+    freed(examples)
+    return model._replace(cut=quantile(worths, bad))
 
 
 def with_score(docs: DataFrame, model: Model, name: str) -> DataFrame:
@@ -199,7 +223,7 @@ def with_score(docs: DataFrame, model: Model, name: str) -> DataFrame:
             scores = model.scores(np.array(rows)) if rows else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*(batch.column(c).cast(types.field(c).type) for c in others), pa.array(scores)], schema=types)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
