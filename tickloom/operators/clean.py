@@ -48,15 +48,18 @@ def min_rows(df: DataFrame, at_least: int = MIN_TRAIN_ROWS) -> DataFrame:
     return df.join(small_side(enough), "ticker", "left_semi")
 
 
-def latest(ticks: DataFrame) -> DataFrame:
+def latest(ticks: DataFrame, summary: DataFrame | None = None) -> DataFrame:
     """The last tick of every ticker.
 
-    The last times come first, from two columns only.  They are then looked up,
-    skipping files without one of their days.  (Carrying whole rows
-    through one aggregate would sort all ticks.)
+    The last times come first, from two columns only, or from a ``summary`` by day
+    (ticker, last_time).  They are then looked up, skipping files without one of
+    their days.  (Carrying whole rows through one aggregate would sort all ticks.)
     """
     known = ordered(ticks)
-    last = durable(known.groupBy("ticker").agg(F.max("event_time").alias("event_time")))
+    if summary is None:
+        last = durable(known.groupBy("ticker").agg(F.max("event_time").alias("event_time")))
+    else:
+        last = durable(summary.groupBy("ticker").agg(F.max("last_time").alias("event_time")))
     day = day_number(last)
     known = in_days(known, day_ranges(last.select(day.alias("low"), day.alias("high"))))
     rest = [name for name in ticks.columns if name not in ("ticker", "event_time")]

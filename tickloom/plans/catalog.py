@@ -20,7 +20,8 @@ from ..operators.features import SERVING, TRAINING
 from ..schema import FEATURES, MESSAGE_SCHEMA
 from ..session import durable, stored, work_path
 from ..sources import kafka, lake, metrics
-from ..streaming import ingest
+from ..streaming import ingest, sinks
+from . import feature_table as feature_tables
 from . import serve, train
 
 # Rows from which the chunked form of the features cuts a series in the test data.
@@ -375,6 +376,89 @@ def lake_compact(spark, folder):
     )
 
 
+def mixed_lake(spark, folder):
+    """A lake of which every second tick is in older files, without ``event_time``."""
+    path, rows = work_path(spark, "lake"), _lake_rows(spark, folder)
+    lake.write(rows.where("seq % 2 = 0").drop("event_time"), path)
+    lake.write(rows.where("seq % 2 = 1"), path)
+    return _zoneless(lake.scan(spark, path)).select("ticker", "event_time", "seq", "price", "volume")
+
+
+def publish_round_trip(spark, folder):
+    """Ticks published as a stream of messages, and the messages read back."""
+    source, out = work_path(spark, "ticks"), work_path(spark, "messages")
+    _lake_rows(spark, folder).write.parquet(source)
+    stream = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
+    query = kafka.publish_stream(kafka.to_messages(stream), work_path(spark, "offsets"), trigger={"availableNow": True}, form="parquet", path=out)
+    query.awaitTermination()
+    messages = spark.read.parquet(out)
+    return _zoneless(ingest.parse_ticks(messages)).select("ticker", "event_time", "price", "volume")
+
+
+def _tables(spark, folder, batches: int = 4) -> str:
+    """The tables of ``streaming.sinks`` after all messages, in batches that each hold ticks of all times.
+
+    Two events in 97 also come as a message that is no tick.
+    """
+    source, root, checkpoint = (work_path(spark, name) for name in ("messages", "tables", "offsets"))
+    events = table(spark, folder, "events").where("event_id % 97 < 2")
+    broken = events.select(
+        F.encode(F.when(F.col("event_id") % 97 == 0, F.col("props")).otherwise(F.concat(F.lit("!"), F.col("props"))), "UTF-8").alias("value"),
+        F.lit("stock_none").alias("topic"),
+        F.lit(1).alias("partition"),
+        F.col("event_id").alias("offset"),
+    )
+    _envelopes(spark, folder).unionByName(broken).repartition(batches, "offset").write.parquet(source)
+    stream = spark.readStream.schema(spark.read.parquet(source).schema).option("maxFilesPerTrigger", 1).parquet(source)
+    sinks.start(stream, root, checkpoint, {"availableNow": True}).awaitTermination()
+    return root
+
+
+def ingest_tables(spark, folder):
+    """Accepted ticks of a stream that feeds several tables."""
+    return _zoneless(sinks.ticks(spark, _tables(spark, folder))).select("ticker", "event_time", "seq", "price", "volume")
+
+
+def ingest_rejects(spark, folder):
+    """Its messages that are no tick, as they came, and why."""
+    return sinks.rejects(spark, _tables(spark, folder)).select("value", "partition", F.col("offset").alias("place"), "reason")
+
+
+def day_summary(spark, folder):
+    """Its summary by day, after compaction of the small parts."""
+    root = _tables(spark, folder)
+    sinks.compact(spark, root)
+    return sinks.days(spark, root).select("ticker", "day", "n", "last_seq")
+
+
+def compact_tables(spark, folder):
+    """Its ticks after compaction."""
+    root = _tables(spark, folder)
+    sinks.compact(spark, root)
+    return _zoneless(sinks.ticks(spark, root)).select("ticker", "event_time", "seq", "price", "volume")
+
+
+def recent_by_summary(spark, folder):
+    """The last rows of every series, by the summary instead of a count of the lake."""
+    root = _tables(spark, folder)
+    found = serve.recent(sinks.ticks(spark, root).drop("timestamp"), 20, summary=sinks.days(spark, root))
+    return rounded(_zoneless(found))
+
+
+def feature_table(spark, folder):
+    """The feature table after two updates, of which the second brings late ticks of all days."""
+    root, rows = work_path(spark, "features"), _tables(spark, folder)
+    first = work_path(spark, "tables")
+    # The first update sees two batches only.
+    versions, some = sinks.Versions(spark, rows), sinks.Versions(spark, first)
+    for part in versions.parts()[:2]:
+        sinks.write_part(some, versions.read(sinks.TICKS, sinks.LAKE_SCHEMA, [part]).drop("part"), part.name)
+        some.change(lambda now, part=part: [*now, part])
+    feature_tables.update(spark, first, root)
+    feature_tables.update(spark, rows, root)
+    return rounded(_zoneless(feature_tables.read(spark, root)))
+
+
 # Splits and evaluation
 
 
@@ -764,6 +848,14 @@ REGISTERED: list[Query] = [
     model_names,
     stream_ingest,
     lake_compact,
+    mixed_lake,
+    publish_round_trip,
+    ingest_tables,
+    ingest_rejects,
+    day_summary,
+    compact_tables,
+    recent_by_summary,
+    feature_table,
     tail_split,
     tail_split_chunked,
     hash_split,

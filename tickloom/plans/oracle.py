@@ -282,6 +282,18 @@ FROM events, (VALUES ('random_forest', 'Random Forest'), ('ensemble', 'Stacking
   ('voting_ensemble', 'Voting Ensemble')) AS names(slug, model)""",
         "stream_ingest": _TICK,
         "lake_compact": _TICK,
+        "mixed_lake": _TICK,
+        "publish_round_trip": f"SELECT upper(ticker) AS ticker, event_time, price, volume FROM ({_TICK})",
+        "ingest_tables": _TICK,
+        "compact_tables": _TICK,
+        "ingest_rejects": """SELECT CASE event_id % 97 WHEN 0 THEN props ELSE '!' || props END AS value, 1::INTEGER AS partition,
+  event_id AS place, CASE event_id % 97 WHEN 0 THEN 'no ticker' ELSE 'no JSON' END AS reason
+FROM events WHERE event_id % 97 < 2""",
+        "day_summary": """SELECT event_type AS ticker, (ts::DATE - DATE '1970-01-01')::BIGINT AS day, count(*) AS n,
+  max_by(event_id, (ts, event_id)) AS last_seq
+FROM events GROUP BY 1, 2""",
+        "recent_by_summary": _recent(20, _ticks()),
+        "feature_table": features_p,
         "tail_split": f"WITH {_SPLIT} SELECT ticker, seq, is_test FROM parts",
         "tail_split_chunked": f"WITH {_SPLIT} SELECT ticker, seq, is_test FROM parts",
         "kfold_ids": f"""WITH {_features('serving', _ticks())}, {_NUMBERED},

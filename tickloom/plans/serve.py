@@ -24,7 +24,11 @@ from ..sources.metrics import no_metrics, read_metrics, read_metrics_document
 
 
 def recent(
-    ticks: DataFrame, n: int = 100, profile: Profile = SERVING, max_rows: int = MAX_SERIES_ROWS
+    ticks: DataFrame,
+    n: int = 100,
+    profile: Profile = SERVING,
+    max_rows: int = MAX_SERIES_ROWS,
+    summary: DataFrame | None = None,
 ) -> DataFrame:
     """The last ``n`` feature rows of every ticker, one per time.
 
@@ -32,10 +36,15 @@ def recent(
     ticker and day, merged before the shuffle, tells from which day on to read.
     Where those days turn out too few (many copies, many incomplete rows) they
     are widened until every ticker has its rows or its whole history is read.
+    With a ``summary`` (ticker, day, n), as ``streaming.sinks.days`` keeps it, no
+    other day is looked at.
     """
     rows = ordered(ticks)
     rows = rows.withColumn("_day", day_number(rows))
-    days = durable(rows.groupBy("ticker", "_day").agg(F.count("*").alias("n")))
+    if summary is None:
+        days = durable(rows.groupBy("ticker", "_day").agg(F.count("*").alias("n")))
+    else:
+        days = durable(summary.select("ticker", F.col("day").alias("_day"), "n"))
     wanted = n + profile.horizon
     found = None
     while True:
@@ -117,9 +126,12 @@ def direction(predicted: Column, current: Column) -> Column:
     return F.when(predicted > current, F.lit("UP")).otherwise(F.lit("DOWN"))
 
 
-def market_state(ticks: DataFrame, as_of: datetime | str, idle: str = "15 minutes") -> DataFrame:
-    """CLOSED where the last tick is older than ``idle`` at ``as_of``."""
-    last = ordered(ticks).groupBy("ticker").agg(F.max("event_time").alias("last_tick"))
+def market_state(ticks: DataFrame, as_of: datetime | str, idle: str = "15 minutes", summary: DataFrame | None = None) -> DataFrame:
+    """CLOSED where the last tick is older than ``idle`` at ``as_of``; from a ``summary`` by day alone, if there is one."""
+    if summary is None:
+        last = ordered(ticks).groupBy("ticker").agg(F.max("event_time").alias("last_tick"))
+    else:
+        last = summary.groupBy("ticker").agg(F.max("last_time").alias("last_tick"))
     now = F.lit(as_of).cast(last.schema["last_tick"].dataType)
     closed = F.col("last_tick") < now - F.expr(f"INTERVAL {idle}")
     return last.withColumn("state", F.when(closed, F.lit("CLOSED")).otherwise(F.lit("OPEN")))

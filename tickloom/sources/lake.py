@@ -35,16 +35,18 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
 def scan(spark: SparkSession, path: str, schema: T.StructType = LAKE_SCHEMA) -> DataFrame:
     """All ticks of a lake; no rows when the lake does not exist yet.
 
-    A lake written without ``event_time`` gets it from the time's text.  One written
-    without ``seq`` has none here, which every ordered operator refuses; ``with_seq``
-    numbers it.
+    Files written without ``event_time`` get it from the time's text, also beside newer
+    ones; those that have it are read with filters on it pushed down, and passed over in
+    the search for others by their statistics.  A lake written without ``seq`` has none
+    here, which every ordered operator refuses; ``with_seq`` numbers it.
     """
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
     ticks = spark.read.schema(schema).parquet(path)
-    if "event_time" in schema.names and "event_time" not in spark.read.parquet(path).columns:
-        ticks = ticks.withColumn("event_time", parse_time("timestamp"))
-    return ticks
+    if not {"event_time", "timestamp"} <= set(schema.names):
+        return ticks
+    older = ticks.where("event_time IS NULL").withColumn("event_time", parse_time("timestamp"))
+    return ticks.where("event_time IS NOT NULL").unionByName(older)
 
 
 def scan_ticker(spark: SparkSession, path: str, ticker: str) -> DataFrame:

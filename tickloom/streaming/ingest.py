@@ -22,7 +22,7 @@ def parse_ticks(envelope: DataFrame) -> DataFrame:
     place in its topic, where the source has one.
     """
     fields = F.from_json(F.col("value").cast("string"), MESSAGE_SCHEMA)
-    parsed = envelope.select(fields.alias("data"), _seq(envelope).alias("seq"))
+    parsed = envelope.select(fields.alias("data"), message_seq(envelope).alias("seq"))
     return parsed.select(
         "data.timestamp",
         parse_time("data.timestamp").alias("event_time"),
@@ -33,7 +33,8 @@ def parse_ticks(envelope: DataFrame) -> DataFrame:
     )
 
 
-def _seq(envelope: DataFrame) -> Column:
+def message_seq(envelope: DataFrame) -> Column:
+    """The number of a message's tick, from its place in the topic, where the source has one."""
     if {"partition", "offset"} <= set(envelope.columns):
         return F.shiftleft(F.col("partition").cast("long"), _OFFSET_BITS) + F.col("offset")
     return F.xxhash64("value")
