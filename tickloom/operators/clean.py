@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.scalar import zero_or_missing
 from ..schema import FEATURES, MIN_TRAIN_ROWS
 from ..session import durable
-from .series import TIED_ORDER, day_number, day_ranges, in_days, number_rows, numbered, ordered, small_side, tied
+from .ranks import cuts
+from .series import TIED_ORDER, Size, day_number, day_ranges, in_days, micros, number_rows, numbered, ordered, size_of, small_side, tied
 
 
 def one_ticker(df: DataFrame, ticker: str) -> DataFrame:
@@ -73,21 +74,39 @@ def latest(ticks: DataFrame, summary: DataFrame | None = None) -> DataFrame:
 _TOP_N = 1000
 
 
-def last_n(df: DataFrame, n: int) -> DataFrame:
+#: Rows of a ticker that are ranked in one task.
+TAIL_ROWS = 200_000
+
+
+def last_n(df: DataFrame, n: int, size: Size | None = None, tail_rows: int = TAIL_ROWS) -> DataFrame:
     """The last ``n`` rows of every ticker.
 
     The rank filter is a top-n for the optimizer: each task passes on at most
-    ``n`` rows per ticker.  A large ``n`` goes by row numbers instead.
+    ``n`` rows per ticker.  Of a ticker of more than ``tail_rows`` rows the rows before a
+    cut, found by counts, are left out first, so the tasks pass on a bounded number
+    together.  A large ``n`` goes by row numbers instead.
     """
+    size = size or size_of(df)
     if n > _TOP_N:
-        numbered = number_rows(df)
+        numbered = number_rows(df, size=size)
         newest_rows = numbered.where(F.col("row_no") > F.col("series_rows") - n)
         return newest_rows.drop("row_no", "series_rows")
     newest = Window.partitionBy("ticker").orderBy(*(F.desc(k) for k in TIED_ORDER))
+    if size.longest > tail_rows:
+        df = from_cut(ordered(df), n, tail_rows)
     ranked = tied(ordered(df)).withColumn("_rank", F.row_number().over(newest))
     return ranked.where(F.col("_rank") <= n).drop("_rank", "_tie")
 
 
+def from_cut(rows: DataFrame, n: int, tail_rows: int) -> DataFrame:
+    """The last ``n`` rows of every ticker, and at most about ``tail_rows`` before them."""
+    placed = rows.withColumns({"_a": micros(rows), "_b": F.col("seq")})
+    found = cuts(placed.select("ticker", "_a", "_b"), F.lit(n), tail_rows)
+    low = found.select("ticker", F.col("a").alias("_low_a"), F.col("b").alias("_low_b"))
+    after = (F.col("_a") > F.col("_low_a")) | ((F.col("_a") == F.col("_low_a")) & (F.col("_b") >= F.col("_low_b")))
+    return placed.join(small_side(low), "ticker").where(after).select(*rows.columns)
+
+
 def last_of_series(df: DataFrame, ticker: str, n: int) -> DataFrame:
     """The last ``n`` rows of one ticker, oldest first."""
     newest = one_ticker(df, ticker).orderBy(F.desc("event_time"), F.desc("seq")).limit(n)

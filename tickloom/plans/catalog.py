@@ -515,6 +515,16 @@ def hash_split(spark, folder):
     return _shares(split.hash_split(_rows(spark, folder)))
 
 
+def share_split(spark, folder):
+    """An exact share of each series, by the hashes of the rows."""
+    return split.share_split(ticks(spark, folder)).select("ticker", "seq", "is_test")
+
+
+def last_n_hot(spark, folder):
+    """The last rows of every series, after cuts found by counts."""
+    return clean.last_n(ticks(spark, folder), 10, tail_rows=50)
+
+
 def random_split(spark, folder):
     seen, tested = split.random_split(_rows(spark, folder))
     return _shares(seen.withColumn("is_test", F.lit(False)).unionByName(tested.withColumn("is_test", F.lit(True))))
@@ -860,6 +870,8 @@ REGISTERED: list[Query] = [
     tail_split_chunked,
     hash_split,
     random_split,
+    share_split,
+    last_n_hot,
     kfold_ids,
     mae_rmse_accuracy,
     persistence_many_tickers,

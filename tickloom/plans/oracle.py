@@ -367,6 +367,11 @@ CASE WHEN TIMESTAMP '2024-01-31 00:00:00' - max(ts) > INTERVAL 15 MINUTES
   THEN 'CLOSED' ELSE 'OPEN' END AS state FROM events GROUP BY 1
 UNION ALL SELECT DISTINCT o_orderpriority, NULL, 'OPEN' FROM orders""",
         "hash_split": _SHARES,
+        "last_n_hot": f"WITH {_ticks()} {_LATEST}".replace("place = 1", "place <= 10"),
+        "share_split": f"""WITH {_ticks()},
+h AS (SELECT ticker, seq, ('0x' || substr(md5(ticker || '|' || epoch_us(event_time) || '|' || seq), 1, 15))::BIGINT AS h FROM ticks),
+r AS (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY h DESC) AS place, count(*) OVER (PARTITION BY ticker) AS n FROM h)
+SELECT ticker, seq, place <= ceil(n * 0.2::DOUBLE) AS is_test FROM r""",
         "random_split": _SHARES,
         "train_lr": _facts("Linear Regression"),
         "train_lr_mllib": _facts("Linear Regression"),

@@ -99,7 +99,7 @@ def _recent_part(
     tail = tail.join(limits, "ticker").where("_day >= read_from").drop("read_from")
     made = features(tail, profile, max_rows, Size(longest or 0, total or 0))
     made = made.where("_day >= keep_from").drop("_day", "keep_from")
-    return last_n(first_per_time(made), n)
+    return last_n(first_per_time(made), n, Size(longest or 0, total or 0))
 
 
 def records(df: DataFrame) -> DataFrame:
