@@ -69,6 +69,44 @@ def test_waves_are_ridge_over_the_cosines(table):
             assert np.allclose(got[ticker, without].waves, constants)
 
 
+def descent(z, y, epsilon, steps=60_000):
+    """The least objective that a long subgradient descent over the same columns finds."""
+    w, b, best = np.zeros(z.shape[1]), np.median(y), np.inf
+    for k in range(1, steps + 1):
+        miss = y - b - z @ w
+        sign = np.sign(miss) * (np.abs(miss) > epsilon)
+        best = min(best, w @ w / 2 + np.clip(np.abs(miss) - epsilon, 0, None).sum())
+        rate = 2.0 / (k + 100) ** 0.75
+        w, b = w - rate * (w - z.T @ sign) / 10, b + rate * sign.sum() / 10
+    return best
+
+
+@pytest.mark.parametrize("state_bytes", [32_000_000, 300])
+def test_the_tube_is_near_the_optimum_of_its_objective(table, monkeypatch, state_bytes):
+    monkeypatch.setattr(moments, "STATE_BYTES", state_bytes)
+    rows = table([("A", 90), ("B", 61)])
+    basis, epsilon = moments.Basis(waves=8), 3.0
+    got = {(r.ticker, r.without): r for r in moments.fit_tube(rows, basis, FOLDS, epsilon=epsilon).collect()}
+    assert set(got) == {(t, f) for t in "AB" for f in (-1, 0, 1, 2)}
+    local = rows.toPandas()
+    for (ticker, without), fit in got.items():
+        mine = local[local["ticker"] == ticker]
+        x = mine[FEATURES].to_numpy()
+        z = np.sqrt(2 / 8) * np.cos(np.column_stack([x, np.ones(len(x))]) @ np.array(fit.waves).T)
+        keep = (mine["fold"] != without).to_numpy()
+        z, y, w = z[keep], mine["target"].to_numpy()[keep], np.array(fit.weights)
+        assert fit.n == len(y)
+        objective = w @ w / 2 + np.clip(np.abs(y - fit.intercept - z @ w) - epsilon, 0, None).sum()
+        assert objective <= 1.01 * descent(z, y, epsilon)
+
+
+def test_a_tube_over_plain_columns_ignores_far_outliers(table):
+    rows = table([("A", 120)])
+    spoiled = rows.withColumn("target", F.when(F.col("seq") == 7, 1e5).otherwise(2 * F.col("price") + 1))
+    fit = moments.fit_tube(spoiled, moments.Basis(inputs=("price",)), cost=10.0, epsilon=0.05).first()
+    assert fit.weights[0] == pytest.approx(2, abs=0.05) and fit.without == -1
+
+
 def test_a_ticker_with_one_fold_has_no_fit_without_it(table):
     rows = table([("A", 40)]).withColumn("fold", F.lit(1))
     assert {r.without for r in moments.fit_folds(rows, moments.Basis(), FOLDS).collect()} == {-1, 0, 2}

@@ -734,6 +734,21 @@ def train_rbf(spark, folder):
     return _trained(spark, folder, "RBF Features")
 
 
+def train_tube(spark, folder):
+    """Waves with the epsilon-insensitive loss, and ensembles of them and lines."""
+    size = series.size_of(ticks(spark, folder))
+    run = train.train_ensembles(_rows(spark, folder, size), work_path(spark, "ensembles"), ["Linear Regression", "RBF Support Vectors"], folds=2, size=size)
+    return _facts(run.metrics(), _persistence(run.predictions().where("model = 'Voting Ensemble'")))
+
+
+def retrain_from_lake(spark, folder):
+    """A lake, trained anew from its ticks; the published metrics' facts."""
+    path = work_path(spark, "lake")
+    lake.write(_lake_rows(spark, folder), path)
+    run = train.retrain(spark, path, work_path(spark, "ensembles"), bases=["Linear Regression", "RBF Features"])
+    return _facts(run.metrics(), _persistence(run.predictions().where("model = 'Voting Ensemble'")))
+
+
 def stacking(spark, folder):
     size = series.size_of(ticks(spark, folder))
     rows = _rows(spark, folder, size)
@@ -907,6 +922,8 @@ REGISTERED: list[Query] = [
     train_rbf,
     train_gbt,
     train_boosted,
+    train_tube,
+    retrain_from_lake,
     stacking,
 ]
 

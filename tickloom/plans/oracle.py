@@ -379,6 +379,8 @@ SELECT ticker, seq, place <= ceil(n * 0.2::DOUBLE) AS is_test FROM r""",
         "train_gbt": _facts("GBTRegressor"),
         "train_boosted": _facts("Boosted Trees"),
         "train_rbf": _facts("RBF Features"),
+        "train_tube": _facts("Linear Regression", "RBF Support Vectors", "Voting Ensemble", "Stacking Ensemble"),
+        "retrain_from_lake": _facts("Linear Regression", "RBF Features", "Voting Ensemble", "Stacking Ensemble"),
         "stacking": _facts(
             "Linear Regression", "Random Forest", "RBF Features", "Boosted Trees", "Voting Ensemble", "Stacking Ensemble"
         ),
