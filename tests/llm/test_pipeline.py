@@ -11,7 +11,7 @@ from test_operators import ODD, cut, groups, words
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tickloom.llm import packing, toxicity
+from tickloom.llm import packing, stages, toxicity
 from tickloom.llm.store import staged
 
 SOURCE = "/root/testdata/sf0.001"
@@ -62,7 +62,7 @@ def test_toxic_documents_go(spark, folder, steps):
 
 def test_one_of_each_group_stays(steps):
     rows = texts(steps[1])
-    component = {(i, n): c for i, n, c in groups(rows)}
+    component = {(i, n): c for i, n, c in groups(rows, stages.NEAR_SHINGLE, stages.NEAR_PERCENT)}
     want = {i for (i, n), c in component.items() if i is not None and (c == i or n == 0)}
     assert {i for i, _ in texts(steps[2]) if i is not None} == want
     assert sum(i is None for i, _ in texts(steps[2])) == sum(i is None for i, _ in rows)

@@ -8,7 +8,7 @@ on the order of work.
 
 Null text: no words, base_failed.  Null doc_id: judged, never in the target.  Repeated rows
 are judged alike, and each counts in the corpus.  An empty target, or no labels: every ratio
-is 0.  Extra columns stay.  Long texts are counted whole.
+is 0.  Extra columns are left out.  Long texts are counted whole.
 """
 
 from __future__ import annotations
