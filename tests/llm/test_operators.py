@@ -127,7 +127,9 @@ def near(dice, base, edits):
     return " ".join(own)
 
 
-def test_near_copies_equal_brute_force(spark):
+@pytest.mark.parametrize("last_pairs", [partenum.LAST_PAIRS, 0])
+def test_near_copies_equal_brute_force(spark, monkeypatch, last_pairs):
+    monkeypatch.setattr(partenum, "LAST_PAIRS", last_pairs)
     dice = random.Random(10)
     rows = list(ODD)
     base = [f"b{i}" for i in range(150)]
@@ -158,6 +160,8 @@ def test_sets_that_link_share_a_signature(shingles, dice, percent):
     if other and 100 * len(other & shingles) >= percent * len(other | shingles):
         a, b = (partenum.signatures(np.array(sorted(s), np.uint64), limits) for s in (shingles, other))
         assert set(a.tolist()) & set(b.tolist())
+        a, b = (partenum.second_signatures(np.array(sorted(s), np.uint64), limits) for s in (shingles, other))
+        assert set(a.tolist()) & set(b.tolist())
 
 
 def test_one_of_each_group_stays(spark):

@@ -20,8 +20,10 @@ most (100 - p) / (100 + p) * (|r| + |s|) shingles and so in no more cells, so mo
 that only share a signature end in the join.  The others are verified on the exact sets.
 A signature with few classes gives all its pairs.  One with many first gives only pairs
 with leaders, the classes in most of the large signatures; linked classes merge, and then
-pairs of still separate classes are looked at.  Links inside a component are not all
-listed, but none that joins two is lost.
+pairs of still separate classes are looked at.  Where a signature would give very many of those
+(a passage that many unlinked texts share), they must also have an equal part of a second,
+independent partition, which pairs that link have as well.  Links inside a component are not
+all listed, but none that joins two is lost.
 
 Null or blank text: n_shingles 0, linked with nothing.  Null doc_id: counted, never
 linked, component_id null.  Rows that share a doc_id are told apart by their sets; an
@@ -51,6 +53,8 @@ PERCENT = 85
 SPARE = 0.06
 #: Signatures shared by at most so many classes give all their pairs.
 SMALL = 12
+#: Pairs that a signature may give in the last round by itself.
+LAST_PAIRS = 100_000
 #: 64-bit words of a sketch.
 SKETCH = 8
 
@@ -127,6 +131,16 @@ def signatures(shingles: np.ndarray, limits: Bands) -> np.ndarray:
     return np.concatenate(found)
 
 
+def second_signatures(shingles: np.ndarray, limits: Bands) -> np.ndarray:
+    """All parts of a sorted set in a partition of its own, empty ones too."""
+    mixed, found, own = np.sort(mix(shingles + _U(0x8CB92BA72F3D8DD7))), [], limits.band(len(shingles))
+    for band in range(max(0, own - 1), own + 1):
+        parts, _, edges = limits.parts(band)
+        hashes, _ = _contents(mixed, edges)
+        found.append(mix(hashes ^ mix(np.arange(parts, dtype=_U) + _U(mix_one(band + 1) ^ 0x5851F42D4C957F2D))))
+    return np.unique(np.concatenate(found))
+
+
 def set_id(shingles: np.ndarray) -> int:
     """64 bits that name a set; 0 is the empty set."""
     if not len(shingles):
@@ -188,6 +202,18 @@ def _shingle_rows(shingle: int):
     return run
 
 
+def _second_rows(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types, limits = to_arrow(_MEMBER), Bands(percent)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 500):
+                part = batch.slice(lo, 500)
+                signed = [second_signatures(s.values.to_numpy().view(_U), limits).view(np.int64) for s in part.column(1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(signed, types.field(1).type)], schema=types)
+
+    return run
+
+
 def _verified(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = to_arrow(_LINK)
@@ -277,6 +303,8 @@ def link_components(members: DataFrame, sets_of, percent: int) -> DataFrame:
             outside = outside.join(leaders, ["signature", "class"], "left_semi")
         inside = labelled.join(largest.select("signature"), "signature", "left_semi")
         apart = F.col("x.component") != F.col("y.component")
+        if last:
+            outside, inside = _narrowed(outside, inside, sets, percent)
         links = staged(_links(_pairs(outside, inside, percent, apart), sets, percent), "links")
         labels = _joined(labels, links)
         freed(links, labelled)
@@ -284,6 +312,23 @@ def link_components(members: DataFrame, sets_of, percent: int) -> DataFrame:
     return labels
 
 
+def _narrowed(outside: DataFrame, inside: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides, where the signatures that would give too many pairs are replaced by them and a second equal part."""
+    few = outside.groupBy("signature").agg(F.count("*").alias("o")).join(inside.groupBy("signature").agg(F.count("*").alias("i")), "signature")
+    heavy = staged(few.where(F.col("o") * F.col("i") > LAST_PAIRS).select("signature"), "heavy")
+    if heavy.isEmpty():
+        return outside, inside
+    classes = staged(inside.join(heavy, "signature", "left_semi").select("class").distinct(), "heavy-classes")
+    second = staged(sets.join(classes, "class", "left_semi").mapInArrow(lean(_second_rows(percent)), _MEMBER), "second")
+
+    def spread(side: DataFrame) -> DataFrame:
+        narrow = side.join(heavy, "signature", "left_semi").join(second, "class").withColumn("second", F.explode("shingles"))
+        narrow = narrow.withColumn("signature", F.xxhash64("signature", "second")).select(*side.columns)
+        return side.join(heavy, "signature", "left_anti").select(*side.columns).unionByName(narrow)
+
+    return spread(outside), spread(inside)
+
+
 def near_copies(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """A row per document: doc_id, n_shingles, class (64-bit name of its set), component (a class of its group) and component_id."""
     everything = staged(docs.select("doc_id", "text").mapInArrow(lean(_set_rows(shingle, percent)), _SETS), "signed-sets")
