@@ -232,3 +232,21 @@ def test_a_hot_model_is_copied_and_every_request_gets_one_row(spark, monkeypatch
     assert placed.count() == 2500
     tasks = answered.where("ticker = 'A'").groupBy(F.spark_partition_id()).count()
     assert tasks.agg(F.sum("count")).first()[0] == 2500
+
+
+def test_models_of_all_tickers_together_answer_as_those_of_one(spark, table, tmp_path):
+    from tickloom.plans import train
+
+    rows = table([("A", 120), ("B", 90), ("C", 9)]).drop("fold")
+    models = ["Linear Regression", "Boosted Trees", "Nobody"]
+    run = train.train_together(rows, str(tmp_path / "all"), models)
+    status = {(r.ticker, r.model): r.status.split(":")[0] for r in run.registry().collect()}
+    assert status == {(t, m): "skipped" if t == "C" else "failed" if m == "Nobody" else "ok" for t in "ABC" for m in models}
+    alone = train.train_together(rows.where("ticker = 'B'"), str(tmp_path / "one"), models[:2])
+    got, want = ({(r.ticker, r.seq, r.model): r.prediction for r in x.predictions().where("ticker = 'B'").collect()} for x in (run, alone))
+    assert set(got) == set(want) and len(got) == 36
+    assert all(got[k] == pytest.approx(want[k]) for k in got)
+    importances = run.importances().groupBy("ticker").agg(F.sum("importance").alias("s")).collect()
+    assert {r.ticker: round(r.s, 9) for r in importances} == {"A": 1.0, "B": 1.0}
+    with pytest.raises(ValueError, match="already"):
+        train.train_together(rows, str(tmp_path / "all"), models)

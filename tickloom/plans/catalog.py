@@ -666,6 +666,26 @@ def train_lr_many_tickers(spark, folder):
     return metrics_.select("ticker", "n", F.round("mean_target", 6).alias("mean_target"), bounds.alias("is_sound"))
 
 
+def train_trees_many_tickers(spark, folder):
+    """Boosted trees per user, all grown together; exact facts of the test rows."""
+    rows = features.features(ticks(spark, folder, "user_id"), TRAINING)
+    run = train.train_together(rows, work_path(spark, "together"), ["Boosted Trees"], at_least=1)
+    metrics_ = run.metrics()
+    bounds = F.col("accuracy").between(0, 100) & (F.col("rmse") >= F.col("mae"))
+    return metrics_.select("ticker", "n", F.round("mean_target", 6).alias("mean_target"), bounds.alias("is_sound"))
+
+
+def predict_prices(spark, folder):
+    """Every feature row as a request to its series' line; published prices and bands."""
+    rows = _rows(spark, folder)
+    line = regress.ols_one_feature(rows, FEATURES[0])
+    weights = F.array(F.col("slope"), *(F.lit(0.0) for _ in FEATURES[1:]))
+    member = F.struct(F.lit("linear").alias("kind"), "intercept", weights.alias("weights"), F.lit(None).alias("waves"), F.lit(None).alias("trees")).cast(scoring.MEMBER)
+    models = line.select("ticker", F.lit("Line").alias("model"), F.lit(0.0).alias("intercept"), F.array(F.lit(1.0)).alias("weights"), F.array(member).alias("members"))
+    answered = scoring.predict(rows.withColumn("model", F.lit("Line")), models).withColumn("prediction", F.round("prediction", 5))
+    return serve.with_band(answered).select("ticker", "seq", "status", "predicted_price", "confidence_lower", "confidence_upper")
+
+
 def two_feature_lines(spark, folder):
     """Least squares on two features, all tickers in one aggregate."""
     fitted = regress.fit_linear(_rows(spark, folder), ["MA5", "lag3"])
@@ -913,6 +933,8 @@ REGISTERED: list[Query] = [
     unknown_market_state,
     train_lr,
     train_lr_many_tickers,
+    train_trees_many_tickers,
+    predict_prices,
     train_lr_mllib,
     train_rf,
     feature_importance,

@@ -191,6 +191,13 @@ SELECT ticker, seq, round(my + wa * (i0 + s0 * price - ma) + wb * (i1 + s1 * MA5
 FROM parts JOIN meta USING (ticker) JOIN l USING (ticker) WHERE is_test"""
 
 
+_MANY_TICKERS = f"""WITH {_features('training', _ticks('user_id'))}, {_NUMBERED},
+parts AS (SELECT *, row_no > series_rows - ceil(series_rows * 0.2::DOUBLE) AS is_test FROM n),
+fitted AS (SELECT DISTINCT ticker FROM parts WHERE NOT is_test)
+SELECT ticker, count(*) AS n, round(avg(target), 6) AS mean_target, TRUE AS is_sound
+FROM parts JOIN fitted USING (ticker) WHERE is_test GROUP BY ticker"""
+
+
 def _facts(*models: str) -> str:
     """Test rows of each ticker and model, whose errors are within the bound."""
     names = ", ".join(f"('{model}')" for model in models)
@@ -384,11 +391,13 @@ SELECT ticker, seq, place <= ceil(n * 0.2::DOUBLE) AS is_test FROM r""",
         "stacking": _facts(
             "Linear Regression", "Random Forest", "RBF Features", "Boosted Trees", "Voting Ensemble", "Stacking Ensemble"
         ),
-        "train_lr_many_tickers": f"""WITH {_features('training', _ticks('user_id'))}, {_NUMBERED},
-parts AS (SELECT *, row_no > series_rows - ceil(series_rows * 0.2::DOUBLE) AS is_test FROM n),
-fitted AS (SELECT DISTINCT ticker FROM parts WHERE NOT is_test)
-SELECT ticker, count(*) AS n, round(avg(target), 6) AS mean_target, TRUE AS is_sound
-FROM parts JOIN fitted USING (ticker) WHERE is_test GROUP BY ticker""",
+        "train_lr_many_tickers": _MANY_TICKERS,
+        "train_trees_many_tickers": _MANY_TICKERS,
+        "predict_prices": f"""WITH {_features('serving', _ticks())},
+l AS (SELECT ticker, regr_slope(target, price) AS s, regr_intercept(target, price) AS i FROM f GROUP BY ticker),
+r AS (SELECT ticker, seq, round(i + s * price, 5) AS p FROM f JOIN l USING (ticker))
+SELECT upper(ticker) AS ticker, seq, 'ok' AS status, {_cents('p')} AS predicted_price,
+  {_cents('p * (1 - 0.02::DOUBLE)')} AS confidence_lower, {_cents('p * (1 + 0.02::DOUBLE)')} AS confidence_upper FROM r""",
         "feature_importance": f"""WITH {_SPLIT}
 SELECT DISTINCT ticker, 'Random Forest' AS model, 12 AS n_features, TRUE AS sums_to_one, TRUE AS none_negative,
   'MA10,MA20,MA5,lag1,lag2,lag3,pct_change,price,price_change,rolling_mean,rolling_std,volume' AS features FROM parts""",
