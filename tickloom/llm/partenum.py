@@ -53,8 +53,9 @@ PERCENT = 85
 SPARE = 0.06
 #: Signatures shared by at most so many classes give all their pairs.
 SMALL = 12
-#: Pairs that a signature may give in the last round by itself.
-LAST_PAIRS = 100_000
+#: Pairs of classes that one signature may compare in the last round by itself.  Beyond, a pair that is alike
+#: comes once for each equal part of the second partition, which pays only where nearly all pairs are not.
+LAST_PAIRS = 1_000_000_000
 #: 64-bit words of a sketch.
 SKETCH = 8
 
