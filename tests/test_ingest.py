@@ -104,7 +104,9 @@ def test_rejects_go_to_their_own_table(spark, tmp_path):
     add(spark, source, [body(), *BAD])
     run(spark, source, out, str(tmp_path / "offsets"), bad)
     assert lake.scan(spark, out).count() == 1
-    assert lake.scan(spark, bad).count() == len(BAD)
+    kept = spark.read.schema(ingest.REJECT_SCHEMA).parquet(bad).orderBy("offset").collect()
+    assert [r.value for r in kept] == BAD and [r.offset for r in kept] == list(range(1, len(BAD) + 1))
+    assert {r.reason for r in kept} == {"no JSON", "no ticker", "no value", "no price", "no time"}
 
 
 def test_without_rejects_everything_reaches_the_lake(spark, tmp_path):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.scalar import parse_time
@@ -33,6 +34,17 @@ def parse_ticks(envelope: DataFrame) -> DataFrame:
     )
 
 
+REJECT_SCHEMA = T.StructType(
+    [
+        T.StructField("value", T.StringType()),
+        T.StructField("topic", T.StringType()),
+        T.StructField("partition", T.IntegerType()),
+        T.StructField("offset", T.LongType()),
+        T.StructField("reason", T.StringType()),
+    ]
+)
+
+
 def message_seq(envelope: DataFrame) -> Column:
     """The number of a message's tick, from its place in the topic, where the source has one."""
     if {"partition", "offset"} <= set(envelope.columns):
@@ -53,6 +65,27 @@ def rejects(ticks: DataFrame) -> DataFrame:
     return ticks.where(is_reject())
 
 
+def judged(envelope: DataFrame) -> DataFrame:
+    """The tick of each message beside the message itself, and why it is none (``reason``, null for a tick)."""
+    text = F.col("value").cast("string")
+    fields = F.from_json(text, MESSAGE_SCHEMA)
+    place = [F.col(c) if c in envelope.columns else F.lit(None).cast(REJECT_SCHEMA[c].dataType).alias(c) for c in ("topic", "partition", "offset")]
+    rows = envelope.select(text.alias("value"), *place, fields.alias("data"), message_seq(envelope).alias("seq"), F.try_parse_json(text).isNotNull().alias("_is_json"))
+    ticks = rows.select(*REJECT_SCHEMA.names[:4], "seq", "_is_json", "data.*").withColumn("event_time", parse_time("timestamp"))
+    return ticks.withColumn("reason", _reason()).drop("_is_json")
+
+
+def _reason() -> Column:
+    why = (
+        F.when(F.col("value").isNull(), "no value")
+        .when(~F.col("_is_json"), "no JSON")
+        .when(F.col("ticker").isNull(), "no ticker")
+        .when(F.col("price").isNull(), "no price")
+        .otherwise("no time")
+    )
+    return F.when(is_reject(), why)
+
+
 def start_ingest(
     envelope: DataFrame,
     lake: str,
@@ -63,27 +96,28 @@ def start_ingest(
     """Append a message stream to the lake, partitioned by ticker.
 
     Without ``rejects_to`` unreadable messages reach the lake as well, under
-    the default partition.  With it, they go to a table of their own, by a
-    second query.  ``trigger`` takes the arguments of ``DataStreamWriter.trigger``.
+    the default partition.  With it, they go to a table of their own, as they came
+    (``REJECT_SCHEMA``), by a second query.  ``trigger`` takes the arguments of ``DataStreamWriter.trigger``.
     """
     ticks = parse_ticks(envelope)
     if rejects_to is None:
         return [_append(ticks, lake, checkpoint, trigger)]
     return [
         _append(accepted(ticks), lake, f"{checkpoint}/accepted", trigger),
-        _append(rejects(ticks), rejects_to, f"{checkpoint}/rejects", trigger),
+        _append(judged(envelope).where("reason IS NOT NULL").select(*REJECT_SCHEMA.names), rejects_to, f"{checkpoint}/rejects", trigger, None),
     ]
 
 
-def _append(ticks: DataFrame, out: str, checkpoint: str, trigger: dict | None) -> StreamingQuery:
+def _append(ticks: DataFrame, out: str, checkpoint: str, trigger: dict | None, by: str | None = "ticker") -> StreamingQuery:
     refuse_lost_checkpoint(ticks.sparkSession, out, checkpoint)
     writer = (
         ticks.writeStream.outputMode("append")
         .format("parquet")
         .option("path", out)
         .option("checkpointLocation", checkpoint)
-        .partitionBy("ticker")
     )
+    if by:
+        writer = writer.partitionBy(by)
     if trigger:
         writer = writer.trigger(**trigger)
     return writer.start()

@@ -15,27 +15,17 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.scalar import parse_time
 from ..operators.series import day_number
-from ..schema import LAKE_SCHEMA, MESSAGE_SCHEMA
+from ..schema import LAKE_SCHEMA
 from ..sources.versions import Part, Versions
-from .ingest import message_seq
+from .ingest import REJECT_SCHEMA, judged
 
 TICKS, REJECTS, DAYS = "ticks", "rejects", "days"
-REJECT_SCHEMA = T.StructType(
-    [
-        T.StructField("value", T.StringType()),
-        T.StructField("topic", T.StringType()),
-        T.StructField("partition", T.IntegerType()),
-        T.StructField("offset", T.LongType()),
-        T.StructField("reason", T.StringType()),
-    ]
-)
 DAY_SCHEMA = T.StructType(
     [
         T.StructField("ticker", T.StringType()),
@@ -50,26 +40,6 @@ _TICK_COLUMNS = LAKE_SCHEMA.names
 LARGE_PART = 8_000_000
 
 
-def judged(envelope: DataFrame) -> DataFrame:
-    """The tick of each message beside the message itself, and why it is none (``reason``, null for a tick)."""
-    text = F.col("value").cast("string")
-    fields = F.from_json(text, MESSAGE_SCHEMA)
-    place = [F.col(c) if c in envelope.columns else F.lit(None).cast(REJECT_SCHEMA[c].dataType).alias(c) for c in ("topic", "partition", "offset")]
-    rows = envelope.select(text.alias("value"), *place, fields.alias("data"), message_seq(envelope).alias("seq"), F.try_parse_json(text).isNotNull().alias("_is_json"))
-    ticks = rows.select(*REJECT_SCHEMA.names[:4], "seq", "_is_json", "data.*").withColumn("event_time", parse_time("timestamp"))
-    return ticks.withColumn("reason", _reason()).drop("_is_json")
-
-
-def _reason() -> Column:
-    return (
-        F.when(F.col("value").isNull(), "no value")
-        .when(~F.col("_is_json"), "no JSON")
-        .when(F.col("ticker").isNull(), "no ticker")
-        .when(F.col("price").isNull(), "no price")
-        .when(F.col("event_time").isNull(), "no time")
-    )
-
-
 def by_day(ticks: DataFrame) -> DataFrame:
     """Count and last tick of each ticker and day."""
     last = F.max(F.struct("event_time", "seq"))
