@@ -69,7 +69,7 @@ def test_waves_are_ridge_over_the_cosines(table):
             assert np.allclose(got[ticker, without].waves, constants)
 
 
-def descent(z, y, epsilon, steps=60_000):
+def descent(z, y, epsilon, steps=25_000):
     """The least objective that a long subgradient descent over the same columns finds."""
     w, b, best = np.zeros(z.shape[1]), np.median(y), np.inf
     for k in range(1, steps + 1):
