@@ -173,6 +173,42 @@ def test_large_tickers_grow_the_trees_of_small_ones(table):
             assert sum(got.gains) == pytest.approx(sum(want.gains), rel=0.05)
 
 
+def test_groups_grown_together_have_the_trees_of_each_alone():
+    draw = np.random.default_rng(3)
+    sizes = [40, 1, 25, 7, 90]
+    group = np.repeat(np.arange(len(sizes)), sizes)
+    codes = np.ascontiguousarray(draw.integers(0, trees.BINS, (len(FEATURES), len(group))).astype(np.uint8))
+    y, rows = draw.normal(size=len(group)), draw.integers(-(2**62), 2**62, len(group))
+    for kind in (trees.Kind(trees=4, depth=5, choices=4), trees.Kind(trees=4, depth=3, rate=0.5)):
+        together = [c.to_pylist() for c in trees._Grown(kind, codes, y, rows, group, len(sizes)).columns()]
+        for i in range(len(sizes)):
+            mine = group == i
+            alone = [c.to_pylist()[0] for c in trees._Grown(kind, np.ascontiguousarray(codes[:, mine]), y[mine], rows[mine], group[mine] * 0, 1).columns()]
+            assert [c[i] for c in together] == alone
+            if kind.rate:
+                # The first tree's leaves hold the mean of what the start left over.
+                left = y[mine] - y[mine].mean()
+                assert alone[1][0]["nodes"][0]["value"] == pytest.approx(left.mean(), abs=1e-9) and len(alone[1]) == 4
+
+
+def test_a_task_grows_its_tickers_in_few_calls(monkeypatch, table):
+    rows = table([(f"T{i}", 30) for i in range(40)], whole=True)
+    at = trees.cuts(rows)
+    calls, plain = [], trees._Grown
+    monkeypatch.setattr(trees, "_Grown", lambda *a: calls.append(a[-1]) or plain(*a))
+    small = trees.binned(rows, at, "target").where("fold != 0").selectExpr("ticker", "'M' model", "0 without", "row", "y", "codes").orderBy("ticker")
+    run = trees._grown_here({"M": trees.Kind(trees=2, depth=2, rate=0.5)})
+    batches = small.toArrow().to_batches(max_chunksize=37)
+    found = [r["ticker"] for b in run(iter(batches)) for r in b.to_pylist()]
+    assert sorted(found) == sorted(f"T{i}" for i in range(40)) and calls == [40]
+    # Tickers beyond the rows of a call go on in the next one, and none is torn.
+    monkeypatch.setattr(trees, "ROWS_TOGETHER", 50)
+    again = {r["ticker"]: r for b in run(iter(batches)) for r in b.to_pylist()}
+    assert len(again) == 40 and len(calls) > 10
+    whole = {r["ticker"]: r for b in trees._grown_here({"M": trees.Kind(trees=2, depth=2, rate=0.5)})(iter(batches)) for r in b.to_pylist()}
+    assert whole == again
+
+
 def test_a_forest_draws_rows_and_features():
     keys = np.arange(20_000, dtype=np.int64)
     for tree in (0, 1):
