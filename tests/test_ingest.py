@@ -141,6 +141,20 @@ def test_compaction_keeps_all_ticks_in_fewer_files(spark, tmp_path):
     assert count(large) <= 4 < count(small)
 
 
+def test_tasks_of_a_compaction_are_bounded(spark, tmp_path, monkeypatch):
+    from tickloom.operators.series import ROWS_PER_TASK
+    from tickloom.plans import catalog
+
+    assert lake.ROWS_PER_FILE <= ROWS_PER_TASK
+    monkeypatch.setattr(catalog, "ROWS_PER_INPUT", 50)
+    monkeypatch.setattr(catalog, "work_path", lambda _, label: str(tmp_path / label))
+    events = spark.range(1000).selectExpr("id event_id", "timestamp_ntz'2026-05-01 09:30:00' + make_interval(0, 0, 0, 0, 0, id) ts", "'view' event_type", "double(id) value", """'{"k": 1}' props""")
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    assert catalog.lake_compact(spark, str(tmp_path)).count() == 1000
+    # 20 files of 50 ticks, not 8 whatever the number of ticks.
+    assert len(list((tmp_path / "lake").rglob("*.parquet"))) == 20
+
+
 def test_lake_without_seq_is_numbered_once(spark, tmp_path):
     raw = spark.createDataFrame(
         [("2026-05-01 09:30:00-04:00", "0700", 1.0, 5)] * 20,

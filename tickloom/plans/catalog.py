@@ -29,6 +29,9 @@ SMALL_CELL = 500
 
 AS_OF = "2024-01-31 00:00:00"
 
+# Rows of a file that a query writes as its input, so that the files follow the data.
+ROWS_PER_INPUT = 250_000
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -369,7 +372,8 @@ def stream_ingest(spark, folder):
 def lake_compact(spark, folder):
     """A lake of small files rewritten in time order, and read back."""
     small, large = work_path(spark, "lake"), work_path(spark, "compact")
-    lake.write(_lake_rows(spark, folder).repartition(8), small)
+    pieces = max(8, -(-table(spark, folder, "events").count() // ROWS_PER_INPUT))
+    lake.write(_lake_rows(spark, folder).repartition(pieces), small)
     lake.compact(lake.scan(spark, small), large)
     return _zoneless(lake.scan(spark, large)).select(
         "ticker", "event_time", "seq", "price", "volume"

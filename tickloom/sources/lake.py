@@ -10,12 +10,13 @@ from pyspark.sql import types as T
 
 from ..functions.scalar import parse_time
 from ..operators.clean import one_ticker
+from ..operators.series import ROWS_PER_TASK
 from ..schema import LAKE_SCHEMA
 
 TICK = ["ticker", "event_time", "seq", "price", "volume"]
 
-# About 200 MB of ticks in one file.
-ROWS_PER_FILE = 8_000_000
+# About 50 MB of ticks in one file, which one task sorts.
+ROWS_PER_FILE = ROWS_PER_TASK
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
