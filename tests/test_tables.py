@@ -137,6 +137,20 @@ def test_the_summary_answers_as_the_lake_does(spark, places):
     assert "price" not in plan
 
 
+def test_batches_of_a_query_have_files_for_their_messages(spark, tmp_path, monkeypatch):
+    from tickloom.plans import catalog
+
+    monkeypatch.setattr(catalog, "ROWS_PER_INPUT", 60)
+    monkeypatch.setattr(catalog, "work_path", lambda _, label: str(tmp_path / label))
+    events = spark.range(1000).selectExpr("id event_id", "timestamp_ntz'2026-05-01 09:30:00' + make_interval(0, 0, 0, 0, 0, id) ts", "'view' event_type", "double(id) value", """'{"k": 1}' props""")
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    root = catalog._tables(spark, str(tmp_path))
+    assert len(list((tmp_path / "messages").glob("*.parquet"))) == 20
+    parts = Versions(spark, root).parts()
+    assert [p.batch for p in parts] == [0, 1, 2, 3] and sum(p.rows for p in parts) == 1000
+    assert sinks.ticks(spark, root).select("seq").distinct().count() == 1000
+
+
 # compaction
 
 
