@@ -258,3 +258,12 @@ def test_retrain_from_a_lake(spark, tmp_path):
 def test_records(spark):
     df = spark.createDataFrame([("A", 1.5)], "ticker string, price double")
     assert [r.record for r in serve.records(df).collect()] == ['{"ticker":"A","price":1.5}']
+
+
+def test_a_tickers_rows_are_shared_by_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(train, "ROWS_PER_SHARE", 100)
+    names = ", ".join(f"double((id * {7 + i}) % 31) {f}" for i, f in enumerate(FEATURES))
+    rows = spark.range(450).coalesce(1).selectExpr("'A' ticker", "timestamp_seconds(id) event_time", "id seq", *names.split(", "), "double(id % 13) target", "id >= 400 is_test")
+    run = train._Run(spark, str(tmp_path / "run"), rows, 1)
+    assert len(run.data.where("ticker = 'A'").inputFiles()) == 5
+    assert run.data.count() == 450
