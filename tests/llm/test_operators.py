@@ -172,6 +172,30 @@ def test_one_of_each_group_stays(spark):
     assert got.count() == 6
 
 
+def test_slices_of_the_join_find_what_the_whole_does(spark, monkeypatch):
+    dice, base = random.Random(12), [f"b{i}" for i in range(120)]
+    rows = [*ODD, *((100 + i, near(dice, base, dice.choice((1, 2, 3)))) for i in range(30))]
+    # Equal texts in several tasks sign several times, and still are one class.
+    rows += [(200 + i, " ".join(base)) for i in range(30)] + [(300 + i, " ".join(f"w{i % 5}x{k}" for k in range(60))) for i in range(40)]
+    for name in ("SLICED_ROWS", "SLICED_PAIRS"):
+        monkeypatch.setattr(partenum, name, 0)
+    tables, plain = {}, partenum.staged
+
+    def staged(df, label):
+        table = plain(df, label)
+        tables.setdefault(label, []).append([r.signature for r in table.select("signature").collect()] if label == "shared" else table.count())
+        return table
+
+    monkeypatch.setattr(partenum, "staged", staged)
+    got = partenum.near_copies(documents(spark, rows).repartition(6)).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted((tuple(r) for r in got), key=repr) == groups(rows)
+    # No step takes all signatures at once, and a signature of one class goes no further.
+    found = tables["shared"]
+    assert len(found) == partenum.SLICES and sum(map(len, found)) == len(set().union(*found)) > 2 * max(map(len, found))
+    own = {s for i in range(5) for s in partenum.signatures(np.unique(next(iter(text.shingle_sets(pa.array([" ".join(f"w{i}x{k}" for k in range(60))]), 4)))), partenum.Bands(85)).view(np.int64).tolist()}
+    assert own and not own & set().union(*found)
+
+
 def test_components_of_a_long_path(spark):
     edges = [(i, i + 1) for i in range(300)] + [(1000, 1001), (1001, 1000), (5, 5), (None, 3)]
     got = components.components(spark.createDataFrame(edges, "a long, b long"))

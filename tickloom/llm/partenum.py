@@ -30,6 +30,8 @@ linked, component_id null.  Rows that share a doc_id are told apart by their set
 equal row is in the same class.  Empty tables give no rows.  Extra columns of the input
 are not in the result.  Sets and shingles are named by 64-bit hashes.  Signatures are
 counted by an aggregate and joined with their counts, so no task gets all rows of one.
+Large tables of signatures, sets and pairs are worked on in slices, whose shuffle files go
+before the next slice begins.
 """
 
 from __future__ import annotations
@@ -43,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from tickloom.llm.components import components
-from tickloom.llm.store import lean, staged, to_arrow
+from tickloom.llm.store import lean, staged, staged_parts, to_arrow
 from tickloom.llm.text import mix, mix_one, shingle_sets
 from tickloom.session import freed
 
@@ -58,6 +60,10 @@ SMALL = 12
 LAST_PAIRS = 1_000_000_000
 #: 64-bit words of a sketch.
 SKETCH = 8
+#: Work over more rows (signatures, shingles; pairs of sets) than these goes in slices, one after another, so
+#: that only a slice's rows lie in shuffle files at a time.  Pairs are sliced by both of their classes.
+SLICED_ROWS, SLICES = 10_000_000, 8
+SLICED_PAIRS, PAIR_SLICES = 50_000, 3
 
 _U = np.uint64
 
@@ -233,14 +239,34 @@ def _verified(percent: int):
     return run
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose sets link."""
-    a = sets.select(F.col("class").alias("a"), F.col("shingles").alias("left"))
-    b = sets.select(F.col("class").alias("b"), F.col("shingles").alias("right"))
+def _links(pairs: DataFrame, sets: DataFrame, percent: int, slices: int = 1, cell: tuple[int, int] = (0, 0)) -> DataFrame:
+    """The pairs (a, b) of classes whose sets link; all a and all b are of one slice each."""
+    left, right = (sets.where(_slice("class", slices, i)) for i in cell)
+    a = left.select(F.col("class").alias("a"), F.col("shingles").alias("left"))
+    b = right.select(F.col("class").alias("b"), F.col("shingles").alias("right"))
     joined = pairs.join(a, "a").join(b, "b").select("a", "b", "left", "right")
     return joined.mapInArrow(lean(_verified(percent)), _LINK)
 
 
+def _slice(column: str, slices: int, i: int):
+    return F.pmod(F.xxhash64(F.col(column).cast("long")), F.lit(slices)) == i
+
+
+def _slices(rows: DataFrame) -> int:
+    """The slices of so many rows as the only value of a table says."""
+    return SLICES if (rows.first()[0] or 0) > SLICED_ROWS else 1
+
+
+def _sliced_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``_links``, stored."""
+    pairs = staged(pairs, "candidates")
+    slices = PAIR_SLICES if pairs.count() > SLICED_PAIRS else 1
+    cells = ((i, j) for i in range(slices) for j in range(slices))
+    links = staged_parts((_links(pairs.where(_slice("a", slices, i) & _slice("b", slices, j)), sets, percent, slices, (i, j)) for i, j in cells), "links")
+    freed(pairs)
+    return links
+
+
 def _like(percent: int):
     """Whether classes x and y may link, by sizes and sketches."""
     cells = sum((F.bit_count(F.col(f"x.k{i}").bitwiseXOR(F.col(f"y.k{i}"))) for i in range(SKETCH)), F.lit(0))
@@ -270,14 +296,19 @@ def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
 def link_components(members: DataFrame, sets_of, percent: int) -> DataFrame:
     """(vertex, component) of all links of signature members (signature, class, n, size, sketch).
 
-    ``sets_of`` gives the exact sets of a table of classes.
+    ``sets_of`` gives the exact sets of a table of classes, stored.
     """
     small, large = members.where(F.col("n") <= SMALL), members.where(F.col("n") > SMALL)
-    pairs = staged(_pairs(small, small, percent, F.col("x.class") < F.col("y.class")), "pairs")
+    slices = SLICES if small.count() > SLICED_ROWS else 1
+    by_slice = (small.where(_slice("signature", slices, i)) for i in range(slices))
+    pairs = staged_parts((_pairs(part, part, percent, F.col("x.class") < F.col("y.class")) for part in by_slice), "pairs")
+    if slices > 1:
+        met, pairs = pairs, staged(pairs.distinct(), "pairs")
+        freed(met)
     wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).union(large.select("class"))
-    sets = staged(sets_of(wanted.distinct()), "shingles")
+    sets = sets_of(wanted.distinct())
     if large.isEmpty():
-        links = staged(_links(pairs, sets, percent), "links")
+        links = _sliced_links(pairs, sets, percent)
         freed(pairs, sets)
         return components(links)
     support = large.groupBy("class").agg(F.sum("n").alias("support"))
@@ -285,7 +316,7 @@ def link_components(members: DataFrame, sets_of, percent: int) -> DataFrame:
     best = F.max(F.struct("support", "class")).alias("best")
     leaders = large.groupBy("signature").agg(best).select("signature", F.col("best.class").alias("class"))
     led = _pairs(large.join(leaders, ["signature", "class"], "left_semi"), large, percent)
-    links = staged(_links(pairs.union(led).distinct(), sets, percent), "links")
+    links = _sliced_links(pairs.union(led).distinct(), sets, percent)
     freed(pairs)
     labels = components(links)
     freed(links)
@@ -306,7 +337,7 @@ def link_components(members: DataFrame, sets_of, percent: int) -> DataFrame:
         apart = F.col("x.component") != F.col("y.component")
         if last:
             outside, inside = _narrowed(outside, inside, sets, percent)
-        links = staged(_links(_pairs(outside, inside, percent, apart), sets, percent), "links")
+        links = _sliced_links(_pairs(outside, inside, percent, apart), sets, percent)
         labels = _joined(labels, links)
         freed(links, labelled)
     freed(sets, large)
@@ -337,23 +368,40 @@ def near_copies(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT)
     known = everything.where("class != 0 AND doc_id IS NOT NULL")
     classes = known.groupBy("class").agg(F.min("doc_id").alias("least"), F.max("n_shingles").alias("size"), F.max("sketch").alias("sketch"))
     classes = staged(classes.select("class", "least", "size", *(F.col("sketch")[i].alias(f"k{i}") for i in range(SKETCH))), "classes")
-    # Signatures are most of what is stored here: those of copies go first, then those that only one class has.
-    # A class whose least document comes in several rows signs once.  The join is dealt by class alone, as the aggregate is.
-    least = classes.select(F.col("class").alias("__class"), "least")
-    first = (F.col("class") == F.col("__class")) & F.col("doc_id").between(F.col("least"), F.col("least"))
-    signed = everything.where("signatures IS NOT NULL").join(least, first, "left_semi")
-    signed = staged(signed.groupBy("class").agg(F.first("signatures").alias("signatures")), "signed")
-    freed(everything)
+    # Signatures are most of what is stored here, so they are looked at slice by slice.  Equal sets that several
+    # tasks signed have the same ones: a signature is shared where its classes differ.
+    signed = everything.where("signatures IS NOT NULL")
+    slices = _slices(signed.agg(F.sum(F.size("signatures"))))
     spread = signed.select("class", F.explode("signatures").alias("signature"))
-    shared = staged(spread.groupBy("signature").agg(F.count("*").alias("n")).where("n > 1"), "shared")
-    members = staged(spread.join(shared, "signature").join(classes.drop("least"), "class"), "members")
-    freed(signed, shared)
+
+    def shared() -> Iterator[DataFrame]:
+        for i in range(slices):
+            part = spread.where(_slice("signature", slices, i))
+            ends = part.groupBy("signature").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+            several = staged(ends.where("low != high").select("signature"), "shared")
+            met = staged(part.join(several, "signature").distinct(), "met")
+            freed(several)
+            counts = met.groupBy("signature").agg(F.count("*").alias("n"))
+            yield met.join(counts, "signature").join(classes.drop("least"), "class")
+            freed(met)
+
+    members = staged_parts(shared(), "members")
+    freed(everything)
 
     def sets_of(wanted: DataFrame) -> DataFrame:
-        chosen = staged(wanted.join(classes, "class").select("class", "least"), "wanted")
-        texts = docs.join(chosen.select(F.col("least").alias("doc_id")).distinct(), "doc_id", "left_semi").select("text")
-        found = texts.mapInArrow(lean(_shingle_rows(shingle)), _MEMBER).join(chosen.select("class"), "class", "left_semi")
-        return found.dropDuplicates(["class"])
+        chosen = staged(wanted.join(classes, "class").select("class", "least", "size"), "wanted")
+        slices = _slices(chosen.agg(F.sum("size")))
+
+        def part(i: int) -> DataFrame:
+            mine = chosen.where(_slice("least", slices, i))
+            some = docs.where(_slice("doc_id", slices, i))
+            texts = some.join(mine.select(F.col("least").alias("doc_id")).distinct(), "doc_id", "left_semi").select("text")
+            found = texts.mapInArrow(lean(_shingle_rows(shingle)), _MEMBER).join(mine.select("class"), "class", "left_semi")
+            return found.dropDuplicates(["class"])
+
+        found = staged_parts(map(part, range(slices)), "shingles")
+        freed(chosen)
+        return found
 
     labels = link_components(members, sets_of, percent)
     freed(members)
