@@ -1,11 +1,13 @@
 import random
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
+from tickloom import session
 from tickloom.operators import clean, ensemble, regress, scoring, split
 from tickloom.operators.evaluate import evaluate
 from tickloom.operators.features import TRAINING, features
@@ -267,3 +269,19 @@ def test_a_tickers_rows_are_shared_by_tasks(spark, tmp_path, monkeypatch):
     run = train._Run(spark, str(tmp_path / "run"), rows, 1)
     assert len(run.data.where("ticker = 'A'").inputFiles()) == 5
     assert run.data.count() == 450
+
+
+def test_model_tables_are_read_a_few_rows_at_a_time(spark, tmp_path):
+    """A reader decodes a row group of nested columns as a whole."""
+    nodes = "transform(sequence(0, 59), i -> struct(cast(pmod(i, 12) as int) feature, cast(xxhash64(id, t, i) as double) threshold, cast(i as int) `left`, cast(i as int) `right`, cast(xxhash64(i, t, id) as double) value))"
+    trees = f"transform(sequence(0, 49), t -> struct(0.1D weight, {nodes} nodes))"
+    member = f"struct('trees' kind, 0D intercept, cast(null as array<double>) weights, cast(null as array<array<double>>) waves, {trees} trees)"
+    members = spark.range(700, numPartitions=1).selectExpr("cast(id as string) ticker", "'Boosted Trees' model", f"{member} member")
+    kept = session.stored(members, "fitted", options=session.MODEL_ROWS)
+    out = train._Out(spark, str(tmp_path / "run"))
+    out.models(scoring.plain_models(kept))
+    # A row has 3,000 nodes.
+    for path in kept.inputFiles() + train.Trained(spark, out.folder).models().inputFiles():
+        groups = pq.ParquetFile(path.removeprefix("file://")).metadata
+        assert max(groups.row_group(i).num_rows for i in range(groups.num_row_groups)) <= 300
+    assert kept.count() == 700
