@@ -280,6 +280,35 @@ def chain(depth):
     return [*nodes, (-1, 0.0, -1, -1, float(depth))]
 
 
+def test_rows_walk_uneven_trees_as_one_by_one():
+    draw, member = np.random.default_rng(7), scoring._Member.__new__(scoring._Member)
+    roots, nodes = [], []
+    for _ in range(6):
+        roots.append(len(nodes))
+        first, waiting = len(nodes), [0]
+        nodes.append([0, 0.0, -1, -1, draw.normal()])
+        while waiting and len(nodes) - first < 60:
+            at = first + waiting.pop(draw.integers(len(waiting)))
+            left = len(nodes)
+            nodes[at][:4] = [int(draw.integers(len(FEATURES))), draw.normal(), left, left + 1]
+            nodes += [[-1, 0.0, -1, -1, draw.normal()] for _ in range(2)]
+            waiting += [left - first, left + 1 - first]
+    columns = list(zip(*nodes, strict=True))
+    member.kind, member.intercept, member.weights, member.roots = "trees", 0.25, draw.normal(size=6), np.array(roots)
+    member.feature, member.threshold, member.left, member.right, member.value = (np.array(c) for c in columns)
+    x = draw.normal(size=(300, len(FEATURES)))
+    x[::7] = np.inf
+
+    def walked(row, at):
+        while member.left[at] >= 0:
+            at = member.left[at] if row[member.feature[at]] <= member.threshold[at] else member.right[at]
+        return member.value[at]
+
+    want = [0.25 + sum(w * walked(row, root) for w, root in zip(member.weights, roots, strict=True)) for row in x]
+    for rows in (x, np.asfortranarray(x), x[:1]):
+        assert np.allclose(member.predict(rows), want[: len(rows)])
+
+
 def test_trees_of_any_depth_answer(spark):
     depth = 400
     member = ("trees", 0.5, None, None, [(2.0, chain(depth)), (1.0, [(-1, 0.0, -1, -1, 7.0)])])
